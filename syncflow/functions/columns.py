@@ -72,6 +72,12 @@ def truncated(column: Column, dtype: T.DataType, precision: str | None) -> Colum
 def epoch_millis_text(column: Column, zone: str = "UTC") -> Column:
     """``yyyy-MM-dd HH:mm:ss`` in ``zone``; sub-second digits are cut towards zero."""
     whole = F.timestamp_seconds(F.call_function("div", column, F.lit(1000)))
+    return datetime_text(whole, zone)
+
+
+def datetime_text(column: Column, zone: str = "UTC") -> Column:
+    """A timestamp as ``yyyy-MM-dd HH:mm:ss`` in ``zone``, cut to the second."""
+    whole = F.date_trunc("SECOND", column)
     return F.convert_timezone(None, F.lit(zone), whole).cast("string")
 
 

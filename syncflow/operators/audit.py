@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from syncflow.functions.columns import instant
+from syncflow.functions.columns import instant, quoted
 
 #: Fixed values of the status column.
 STATUS = {"failure": 0, "success": 1, "no_data": 2}
@@ -67,36 +67,64 @@ def audit_row(
     )
 
 
-BATCH_SCHEMA = T.StructType(
-    [
-        T.StructField("object_name", T.StringType()),
-        T.StructField("created_on_date", T.TimestampType()),
-        T.StructField("is_merged", T.IntegerType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
+@dataclass(frozen=True)
+class BatchColumns:
+    """Column names of a batch registry."""
 
+    object_name: str = "object_name"
+    created: str = "created_on_date"
+    merged: str = "is_merged"
+    batch: str = "batch_id"
 
-def register_batch(registry: DataFrame, object_name: str, run_ts: datetime | str) -> DataFrame:
-    """The registry row of a new batch; its id follows the greatest of all objects.
+    def schema(self) -> T.StructType:
+        return T.StructType(
+            [
+                T.StructField(self.object_name, T.StringType()),
+                T.StructField(self.created, T.TimestampType()),
+                T.StructField(self.merged, T.IntegerType()),
+                T.StructField(self.batch, T.LongType()),
+            ]
+        )
+
+
+def next_batch_id(registry: DataFrame, columns: BatchColumns = BatchColumns()) -> DataFrame:
+    """One row: the id that follows the greatest one of all objects."""
+    newest = F.coalesce(F.max(quoted(columns.batch)), F.lit(0))
+    return registry.agg((newest + 1).cast("bigint").alias(columns.batch))
+
+
+def register_batch(
+    registry: DataFrame,
+    object_name: str,
+    run_ts: datetime | str,
+    batch_id: int | None = None,
+    columns: BatchColumns = BatchColumns(),
+) -> DataFrame:
+    """The registry row of a new batch, not merged yet.
 
-    The id is computed here and stored with the row, not read back after an
-    append. One writer at a time per registry.
+    The id is computed here, or handed in, and stored with the row; it is not
+    read back after an append. One writer at a time per registry.
     """
-    newest = registry.agg(F.max("batch_id").alias("newest"))
-    return newest.select(
-        F.lit(object_name).alias("object_name"),
-        instant(run_ts).alias("created_on_date"),
-        F.lit(0).alias("is_merged"),
-        (F.coalesce(F.col("newest"), F.lit(0)) + 1).cast("bigint").alias("batch_id"),
+    if batch_id is None:
+        row = next_batch_id(registry, columns)
+    else:
+        row = registry.sparkSession.range(1).select(
+            F.lit(batch_id).cast("bigint").alias(columns.batch)
+        )
+    return row.select(
+        F.lit(object_name).alias(columns.object_name),
+        instant(run_ts).alias(columns.created),
+        F.lit(0).alias(columns.merged),
+        quoted(columns.batch),
     )
 
 
-def latest_batch(registry: DataFrame, object_name: str) -> DataFrame:
+def latest_batch(
+    registry: DataFrame, object_name: str, columns: BatchColumns = BatchColumns()
+) -> DataFrame:
     """One row: the newest batch id of an object, null if it has none."""
-    return registry.where(F.col("object_name") == F.lit(object_name)).agg(
-        F.max("batch_id").alias("batch_id")
-    )
+    mine = registry.where(quoted(columns.object_name) == F.lit(object_name))
+    return mine.agg(F.max(quoted(columns.batch)).alias(columns.batch))
 
 
 def tag_snapshot(

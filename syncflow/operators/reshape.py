@@ -62,12 +62,14 @@ def apply_mapping(
     maps: Sequence[ColumnMap],
     cast: str | None = "try",
     truncate: bool = False,
+    keep: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Rename, prune, reorder and cast in a single projection.
 
     ``cast="try"`` turns malformed and overflowing values into null,
     ``"strict"`` raises on them, ``None`` keeps the source types. ``truncate``
-    cuts text to the length its mapped type allows.
+    cuts text to the length its mapped type allows. ``keep`` adds columns
+    computed from the source row after the mapped ones.
     """
     if cast not in ("try", "strict", None):
         raise ValueError(f"cast must be 'try', 'strict' or None, not {cast!r}")
@@ -79,6 +81,7 @@ def apply_mapping(
         if truncate and m.max_length is not None:
             value = F.substring(value, 1, m.max_length)
         projected.append(value.alias(m.target))
+    projected += [column.alias(name) for name, column in (keep or {}).items()]
     return df.select(*projected)
 
 

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from syncflow.operators.audit import AuditColumns
+from syncflow.operators.audit import AuditColumns, BatchColumns
 from syncflow.operators.delta import NEXT_RULES
 from syncflow.operators.reshape import ColumnMap
 from syncflow.sinks.export import BATCH_SIZE
@@ -97,6 +97,7 @@ class InboundConfig(_Settings):
     datetime_as_string: bool = False
     zone: str = "UTC"
     audit_columns: AuditColumns = AuditColumns()
+    batch_columns: BatchColumns = BatchColumns()
 
     REQUIRED = (
         "landing", "snapshot", "registry", "audit", "mapping", "object_name", "created", "updated",

@@ -7,17 +7,18 @@ between executors and storage. The driver sees the watermark and counts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from syncflow.functions.columns import instant, is_true, quoted
-from syncflow.operators.audit import BATCH_SCHEMA, audit_row, register_batch, tag_snapshot
+from syncflow.functions.columns import datetime_text, is_true, quoted
+from syncflow.operators.audit import audit_row, next_batch_id, register_batch, tag_snapshot
 from syncflow.operators.delta import delta_scan, delta_stats, next_watermark, watermark
 from syncflow.operators.merge import dedup_latest, keyed_rows, unkeyed_rows
-from syncflow.operators.reconcile import failure_log, failures
+from syncflow.operators.reconcile import align_by_key, failures
 from syncflow.operators.reshape import apply_mapping, epoch_millis_to_datetime, mask_closed
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.sinks.export import append_snapshot, export_batches
@@ -25,6 +26,11 @@ from syncflow.sources.records import object_schema, read_json_object
 from syncflow.sources.tables import TableRef, append_table, read_table
 from syncflow.staging import Staging
 
+#: Failure text of rows that cannot be delivered because their key is null.
+NO_KEY = "key is null"
+
+_CHANGED, _CREATED, _KEY = "_changed", "_created", "_source_key"
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -111,8 +117,8 @@ def run_outbound(spark: SparkSession, cfg: OutboundConfig) -> RunResult:
                 read_table(spark, cfg.source), mark, cfg.created, cfg.updated, cfg.strict
             )
             # The source may move on: count, delivery and failure matching all
-            # use this one copy.
-            delta = staging.write(rows, "delta")
+            # use this one copy, which holds only the columns they need.
+            delta = staging.write(rows.select(*_needed_columns(rows, cfg)), "delta")
             count, reached = _measure(delta, cfg, mark)
             if count == 0:
                 return audit.append(RunResult("no_data", 0, mark))
@@ -123,50 +129,100 @@ def run_outbound(spark: SparkSession, cfg: OutboundConfig) -> RunResult:
         raise
 
 
+def _needed_columns(rows: DataFrame, cfg: OutboundConfig) -> list[Column]:
+    wanted = {m.source.lower() for m in cfg.mapping} | {cfg.created.lower()}
+    wanted |= {c.lower() for pair in cfg.mask.items() for c in pair}
+    wanted |= {cfg.updated.lower()} if cfg.updated else set()
+    return [quoted(c) for c in rows.columns if c.lower() in wanted]
+
+
+def outgoing_rows(delta: DataFrame, cfg: OutboundConfig) -> DataFrame:
+    """Masked, mapped rows, plus what is needed to order them and report failures."""
+    for value, end in cfg.mask.items():
+        delta = mask_closed(delta, value, end)
+    changed = quoted(cfg.created)
+    if cfg.updated:
+        changed = F.greatest(changed, quoted(cfg.updated))
+    return apply_mapping(
+        delta,
+        cfg.mapping,
+        keep={
+            _CHANGED: changed,
+            _CREATED: quoted(cfg.created),
+            _KEY: quoted(cfg.key).cast("string"),
+        },
+    )
+
+
 def _deliver(
     spark: SparkSession, cfg: OutboundConfig, delta: DataFrame, staging: Staging
 ) -> int:
-    order = [cfg.updated, cfg.created] if cfg.updated else [cfg.created]
-    latest = dedup_latest(keyed_rows(delta, [cfg.key]), [cfg.key], order)
-    for value, end in cfg.mask.items():
-        latest = mask_closed(latest, value, end)
-    outgoing = staging.write(apply_mapping(latest, cfg.mapping), "outgoing")
+    """Deliver the staged delta, log what failed, return how many rows that is."""
+    mapped = outgoing_rows(delta, cfg)
+    keyed = keyed_rows(mapped, [cfg.target_key])
+    # A target sees each key once, with its latest row.
+    latest = staging.write(
+        dedup_latest(keyed, [cfg.target_key], [_CHANGED, _CREATED]).drop(_CHANGED), "latest"
+    )
+    outgoing = latest.drop(_CREATED, _KEY)
 
-    log = unkeyed_rows(delta, [cfg.key]).select(
-        quoted(cfg.key).cast("string").alias(cfg.key),
-        F.lit("key is null").alias("error_message"),
-        quoted(cfg.created).alias("created_on_date"),
+    log = unkeyed_rows(mapped, [cfg.target_key]).select(
+        F.col(_KEY).alias(cfg.key),
+        F.lit(NO_KEY).alias("error_message"),
+        F.col(_CREATED).alias("created_on_date"),
     )
     accepted = outgoing
     if cfg.export_path is not None:
         folder = f"{cfg.export_path.rstrip('/')}/{staging.path.rsplit('-', 1)[-1]}"
         export_batches(outgoing, folder, cfg.batch_size)
         if cfg.deliver is not None:
-            # Results are asked for once; failures are few next to the delta.
+            # The results are asked for once.
             failed = staging.write(failures(cfg.deliver(folder)), "failed")
-            matched = failure_log(failed, delta, cfg.key, cfg.created, result_key=cfg.target_key)
-            log = log.unionByName(matched.withColumn(cfg.key, quoted(cfg.key).cast("string")))
-            refused = failed.select(quoted(cfg.target_key).cast("string").alias("_refused"))
-            accepted = outgoing.join(
-                refused, quoted(cfg.target_key).cast("string") == F.col("_refused"), "left_anti"
+            matched = align_by_key(failed, latest, cfg.target_key, [_CREATED, _KEY])
+            log = log.unionByName(
+                matched.select(
+                    F.col(_KEY).alias(cfg.key),
+                    F.col("error").alias("error_message"),
+                    F.col(_CREATED).alias("created_on_date"),
+                )
             )
+            accepted = _without(outgoing, failed, cfg.target_key)
     log = staging.write(log, "failures")
     failed_count = log.count()
     if cfg.target is not None:
-        cfg.target.upsert(accepted, null_policy=cfg.null_policy)
+        cfg.target.upsert(accepted, null_policy=cfg.null_policy, unique=True)
     if failed_count:
         append_table(log, cfg.failure_log)
     return failed_count
 
 
+def _without(outgoing: DataFrame, failed: DataFrame, key: str) -> DataFrame:
+    """The rows whose key did not fail."""
+    refused = failed.select(quoted(key).cast("string").alias("_refused")).distinct()
+    return outgoing.join(
+        refused, quoted(key).cast("string") == F.col("_refused"), "left_anti"
+    )
+
+
 def run_inbound(spark: SparkSession, cfg: InboundConfig) -> RunResult:
     """Append the landed records created or modified since the last run."""
     cfg.validate()
+    return sync_records(spark, cfg, read_landed(spark, cfg))
+
+
+def read_landed(spark: SparkSession, cfg: InboundConfig) -> DataFrame:
+    """All landed records, mapped columns only."""
+    schema = object_schema(cfg.mapping, cfg.read_types)
+    return read_json_object(spark, cfg.landing, schema, cfg.multi_line)
+
+
+def sync_records(spark: SparkSession, cfg: InboundConfig, records: DataFrame) -> RunResult:
+    """One inbound run over records at hand: a landing folder or a micro-batch."""
     audit, reached = _Audit(spark, cfg), None
     try:
         mark = audit.watermark()
         with Staging(spark, "inbound") as staging:
-            delta = staging.write(inbound_delta(spark, cfg, mark), "delta")
+            delta = staging.write(inbound_delta(records, cfg, mark), "delta")
             count, reached = _measure(delta, cfg, mark)
             if count == 0:
                 return audit.append(RunResult("no_data", 0, mark))
@@ -177,10 +233,8 @@ def run_inbound(spark: SparkSession, cfg: InboundConfig) -> RunResult:
         raise
 
 
-def inbound_delta(spark: SparkSession, cfg: InboundConfig, mark: datetime) -> DataFrame:
+def inbound_delta(records: DataFrame, cfg: InboundConfig, mark: datetime) -> DataFrame:
     """Typed, renamed records above the mark; dates are timestamps, moved to the end."""
-    schema = object_schema(cfg.mapping, cfg.read_types)
-    records = read_json_object(spark, cfg.landing, schema, cfg.multi_line)
     active = None if cfg.active is None else is_true(quoted(cfg.active))
     shaped = epoch_millis_to_datetime(
         apply_mapping(records, cfg.mapping), cfg.epoch_columns, move_last=True
@@ -189,28 +243,28 @@ def inbound_delta(spark: SparkSession, cfg: InboundConfig, mark: datetime) -> Da
 
 
 def _append_batch(spark: SparkSession, cfg: InboundConfig, delta: DataFrame) -> int:
-    registry = cfg.registry
-    if registry.path and registry.schema is None:
-        registry = TableRef(registry.format, registry.path, registry.options, BATCH_SCHEMA)
-    now = _utc_now()
-    batch_id = register_batch(read_table(spark, registry), cfg.object_name, now).first()["batch_id"]
-    row = spark.range(1).select(
-        F.lit(cfg.object_name).alias("object_name"),
-        instant(now).alias("created_on_date"),
-        F.lit(0).alias("is_merged"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
-    append_table(row, registry)
+    """Write the snapshot batch, then register it.
+
+    A batch is registered once it is complete. A crash in between leaves the id
+    free, so the next run replaces the same snapshot partition.
+    """
+    ref, names = cfg.registry, cfg.batch_columns
+    if ref.path and ref.schema is None:
+        ref = TableRef(ref.format, ref.path, ref.options, names.schema())
+    registry, now = read_table(spark, ref), _utc_now()
+    batch_id = next_batch_id(registry, names).first()[0]
 
-    dates = {c.lower() for c in cfg.epoch_columns}
-    columns = [c for c in delta.columns if c.lower() not in dates]
-    shown = [c for c in delta.columns if c.lower() in dates]
+    dates = [quoted(c) for c in delta.columns if c.lower() in _lower(cfg.epoch_columns)]
+    others = [quoted(c) for c in delta.columns if c.lower() not in _lower(cfg.epoch_columns)]
     tagged = tag_snapshot(delta, batch_id, now)
     if cfg.datetime_as_string:
-        def as_text(column):
-            whole = F.date_trunc("SECOND", column)
-            return F.convert_timezone(None, F.lit(cfg.zone), whole).cast("string")
-
-        tagged = tagged.withColumns({c: as_text(quoted(c)) for c in shown})
-    append_snapshot(tagged.select(*columns, "time_stamp", *shown, "batch_id"), cfg.snapshot)
+        tagged = tagged.withColumns(
+            {c: datetime_text(quoted(c), cfg.zone) for c in delta.select(*dates).columns}
+        )
+    append_snapshot(tagged.select(*others, "time_stamp", *dates, "batch_id"), cfg.snapshot)
+    append_table(register_batch(registry, cfg.object_name, now, batch_id, names), ref)
     return batch_id
+
+
+def _lower(names: Sequence[str]) -> set[str]:
+    return {name.lower() for name in names}

@@ -75,8 +75,11 @@ _NUMBERED = """
 
 _SENT = """
     select *, row_number() over (
-        partition by o_custkey, run order by o_orderdate desc, o_orderkey desc) as rn
-    from (select *, case when o_orderdate > timestamp '2000-01-01' then 2 else 1 end as run
+        partition by o_custkey, run
+        order by o_orderdate desc, program desc, o_totalprice desc, o_orderkey desc) as rn
+    from (select *,
+                 case when o_orderdate > timestamp '2000-01-01' then 2 else 1 end as run,
+                 case when o_orderstatus = 'F' then 'NA' else o_orderpriority end as program
           from orders where o_orderpriority <> '1-URGENT')
 """
 
@@ -280,8 +283,7 @@ ORACLES: dict[str, str] = {
         from ({_DELTA}) join customer on o_custkey = c_custkey""",
     "run_outbound_target": f"""
         select customer_key, program, price, last_order from (
-            select cast(o_custkey as varchar) as customer_key,
-                   case when o_orderstatus = 'F' then 'NA' else o_orderpriority end as program,
+            select cast(o_custkey as varchar) as customer_key, program,
                    cast(o_totalprice as decimal(12,2)) as price, o_orderkey as last_order,
                    row_number() over (partition by o_custkey order by run desc) as newest
             from ({_SENT}) where rn = 1 and o_totalprice <= 400000)
@@ -304,6 +306,18 @@ ORACLES: dict[str, str] = {
         select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,
                cast(batch_id as bigint) as batch_id
         from (select * from first_run union all select * from second_run)""",
+    "stream_inbound": f"""
+        with r as ({_RECORDS}),
+        first_run as (select *, 1 as batch_id from r where ts <= timestamp '2024-01-10'),
+        mark as (select coalesce(max(greatest(LastModifiedDate, CreatedDate)),
+                                 timestamp '1970-01-01') as m from first_run),
+        second_run as (
+            select r.*, 2 as batch_id from r, mark
+            where r.ts > timestamp '2024-01-10'
+              and (r.CreatedDate > m or r.LastModifiedDate > m))
+        select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,
+               cast(batch_id as bigint) as batch_id
+        from (select * from first_run union all select * from second_run)""",
     "run_inbound_audit": f"""
         {_INBOUND},
         runs as (

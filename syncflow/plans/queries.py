@@ -506,7 +506,7 @@ def results_ingest(spark, d):
 @query
 def audit_history(spark, d):
     """Three runs over the growing order table, each audited with its own delta."""
-    rows = source_orders(spark, d)
+    rows = table(spark, d, "orders")
     history = None
     runs = [("1970-01-01", "2000-01-01"), ("2000-01-01", "2001-07-01"), ("2001-07-01", "2100-01-01")]
     for mark, until in runs:
@@ -763,13 +763,12 @@ def run_outbound_audit(spark, d):
     return _audit_rows(spark, _outbound_runs(spark, d).audit)
 
 
-def _inbound_runs(spark, d) -> InboundConfig:
-    """Three runs: older records, newer records, nothing new.
+def _inbound(spark, d, staging) -> tuple[InboundConfig, DataFrame, DataFrame]:
+    """Settings, older records and newer records.
 
     A record was modified ``user_id`` hours after its creation; errors are
     inactive; clicks never logged in.
     """
-    staging = Staging(spark, "inbound-job")
     created = F.unix_millis(F.col("ts").cast("timestamp"))
     modified = created + F.col("user_id") * 3_600_000
     records = table(spark, d, "events").select(
@@ -802,22 +801,43 @@ def _inbound_runs(spark, d) -> InboundConfig:
         read_types={"IsActive": "boolean"},
     )
     newer = F.col("ts") > instant("2024-01-10", T.TimestampNTZType())
-    records.where(~newer).drop("ts").write.json(cfg.landing)
+    return cfg, records.where(~newer).drop("ts"), records.where(newer).drop("ts")
+
+
+def _inbound_runs(spark, d) -> InboundConfig:
+    """Three runs: older records, newer records, nothing new."""
+    cfg, older, newer = _inbound(spark, d, Staging(spark, "inbound-job"))
+    older.write.json(cfg.landing)
     run_inbound(spark, cfg)
-    records.where(newer).drop("ts").write.mode("append").json(cfg.landing)
+    newer.write.mode("append").json(cfg.landing)
     run_inbound(spark, cfg)
     run_inbound(spark, cfg)
     return cfg
 
 
-@query
-def run_inbound_snapshot(spark, d):
-    cfg = _inbound_runs(spark, d)
+def _snapshot_rows(spark, cfg: InboundConfig) -> DataFrame:
     dates = {c: F.col(c).cast("timestamp_ntz") for c in cfg.epoch_columns}
     rows = read_table(spark, cfg.snapshot).drop("time_stamp").withColumns(dates)
     return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+@query
+def run_inbound_snapshot(spark, d):
+    return _snapshot_rows(spark, _inbound_runs(spark, d))
+
+
+@query
+def stream_inbound(spark, d):
+    """The inbound job as a stream over new landing files."""
+    staging = Staging(spark, "inbound-stream")
+    cfg, older, newer = _inbound(spark, d, staging)
+    checkpoint = staging.folder("checkpoint")
+    for rows in (older, newer):
+        rows.write.mode("append").json(cfg.landing)
+        incremental.stream_inbound(spark, cfg, checkpoint).awaitTermination()
+    return _snapshot_rows(spark, cfg)
+
+
 @query
 def run_inbound_audit(spark, d):
     return _audit_rows(spark, _inbound_runs(spark, d).audit)

@@ -82,8 +82,7 @@ class KeyedTable:
     # -- writing ------------------------------------------------------------
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
-        # Text form, so that a key hashes alike whatever width its column has.
-        hashed = F.xxhash64(*[quoted(k).cast("string") for k in self.keys])
+        hashed = F.xxhash64(*[quoted(k) for k in self.keys])
         return df.withColumn(_BUCKET, F.pmod(hashed, F.lit(self.buckets)).cast("int"))
 
     def _broadcastable(self, staged: DataFrame) -> bool:
@@ -98,11 +97,13 @@ class KeyedTable:
         null_policy: str = "overwrite",
         writer: str | None = None,
         batch: int | None = None,
+        unique: bool = False,
         compact: bool = False,
     ) -> bool:
         """Merge ``source`` in; the newest row by ``order`` wins within the source.
 
-        ``compact`` rewrites the touched buckets into well-sized files.
+        ``unique`` promises one row per key. ``compact`` rewrites the touched
+        buckets into well-sized files.
 
         A ``batch`` that ``writer`` has committed before is skipped, which makes
         redelivery harmless. Returns whether anything was committed.
@@ -113,10 +114,17 @@ class KeyedTable:
             return False
 
         with Staging(self.spark, "upsert") as staging:
-            ordered_by = [c for c in order if c not in self.keys]
-            incoming = dedup_latest(keyed_rows(source, self.keys), self.keys, ordered_by)
+            incoming = keyed_rows(source, self.keys)
+            if not unique:
+                ordered_by = [c for c in order if c not in self.keys]
+                incoming = dedup_latest(incoming, self.keys, ordered_by)
+            # Typed like the table, so that equal keys hash alike.
             incoming = incoming.select(
-                *[quoted(c) for c in source.columns if c in self.schema.names]
+                *[
+                    quoted(f.name).cast(f.dataType).alias(f.name)
+                    for f in self.schema.fields
+                    if f.name in source.columns
+                ]
             )
             incoming = staging.write(self._with_bucket(incoming), "incoming")
             # At most ``buckets`` numbers come to the driver.

@@ -9,8 +9,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from syncflow.operators.audit import tag_snapshot
+from syncflow.plans.config import InboundConfig
+from syncflow.plans.jobs import sync_records
 from syncflow.sinks.export import append_snapshot
 from syncflow.sinks.keyed_table import KeyedTable
+from syncflow.sources.records import object_schema
 from syncflow.sources.tables import TableRef
 
 #: Fixed value: the cadence of the periodic run.
@@ -82,3 +85,31 @@ def stream_snapshots(
         append_snapshot(tag_snapshot(rows, batch_id), snapshot)
 
     return _start(stream, each, checkpoint, every)
+
+
+def stream_inbound(
+    spark: SparkSession,
+    cfg: InboundConfig,
+    checkpoint: str,
+    every: str | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """The inbound job over new landing files only.
+
+    ``run_inbound`` reads the whole landing folder each time; here the
+    checkpoint remembers the files that were taken. Each micro-batch is one
+    audited run.
+    """
+    cfg.validate()
+    stream = read_landing(
+        spark,
+        cfg.landing,
+        object_schema(cfg.mapping, cfg.read_types),
+        max_files=max_files,
+        options={"multiLine": str(cfg.multi_line).lower()},
+    )
+
+    def each(batch: DataFrame, _batch_id: int) -> None:
+        sync_records(spark, cfg, batch)
+
+    return _start(stream, each, checkpoint, every)
