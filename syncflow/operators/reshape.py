@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from syncflow.functions.columns import (
     MASK_TOKEN,
@@ -16,6 +17,7 @@ from syncflow.functions.columns import (
     column_name,
     epoch_millis_instant,
     epoch_millis_text,
+    lenient_cast,
     quoted,
 )
 
@@ -77,7 +79,11 @@ def apply_mapping(
     for source, m in zip(check_mapping(df, maps), maps):
         value = quoted(source)
         if cast and m.spark_type:
-            value = value.try_cast(m.spark_type) if cast == "try" else value.cast(m.spark_type)
+            target = T.DataType.fromDDL(m.spark_type)
+            if cast == "try":
+                value = lenient_cast(value, df.schema[source].dataType, target)
+            else:
+                value = value.cast(target)
         if truncate and m.max_length is not None:
             value = F.substring(value, 1, m.max_length)
         projected.append(value.alias(m.target))

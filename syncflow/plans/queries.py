@@ -587,8 +587,14 @@ def _land(rows: DataFrame, path: str) -> None:
     rows.withColumn(MICROS, micros).drop("ts").write.mode("append").json(path)
 
 
-_LANDED = T.StructType.fromDDL(
-    f"event_id bigint, user_id bigint, event_type string, value double, {MICROS} bigint"
+_LANDED = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField(MICROS, T.LongType()),
+    ]
 )
 
 
@@ -677,8 +683,13 @@ def outbound_delta(spark, d):
 
 _SPLIT = "2000-01-01"
 _PRICE_LIMIT = 400_000
-_TARGET = T.StructType.fromDDL(
-    "customer_key string, program string, price decimal(12,2), last_order bigint"
+_TARGET = T.StructType(
+    [
+        T.StructField("customer_key", T.StringType()),
+        T.StructField("program", T.StringType()),
+        T.StructField("price", T.DecimalType(12, 2)),
+        T.StructField("last_order", T.LongType()),
+    ]
 )
 
 

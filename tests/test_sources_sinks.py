@@ -1,0 +1,157 @@
+from __future__ import annotations
+
+import os
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import plan_of, rows_of
+from syncflow.operators.audit import tag_snapshot
+from syncflow.operators.reshape import ColumnMap
+from syncflow.sinks.export import append_snapshot, export_batches
+from syncflow.sources import files
+from syncflow.sources.mapping import load_mapping
+from syncflow.sources.records import object_schema, read_json_object, read_results
+from syncflow.sources.tables import JdbcSplit, TableRef, append_table, read_table
+from syncflow.staging import Staging, staging_root
+
+
+def write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as out:
+        out.write(text)
+
+
+def test_mapping_file_with_quoted_types_na_and_windows_line_ends(spark, folder):
+    path = folder("map/m.csv")
+    write(path, 'from,to,kind\r\na,A,NA\r\nb,B,"decimal(12,2)"\r\nc,C,\r\n')
+    assert load_mapping(spark, path, "from", "to", "kind") == [
+        ColumnMap("a", "A"), ColumnMap("b", "B", "decimal(12,2)"), ColumnMap("c", "C"),
+    ]
+    assert load_mapping(spark, path, "from", "to", None)[1] == ColumnMap("b", "B")
+
+
+MAPS = [
+    ColumnMap("Id", "Id", "varchar(100)"),
+    ColumnMap("IsActive", "IsActive", "varchar(100)"),
+    ColumnMap("LastLoginDate", "LastLoginDate", "bigint"),
+]
+
+
+def test_json_records_pages_absent_attributes_and_empty_objects(spark, folder):
+    write(folder("in/a.json"), '{"Id": "1", "IsActive": true, "LastLoginDate": 5, "Other": {"x": 1}}\n{}\n')
+    write(folder("in/b.json"), '[{"Id": "2", "IsActive": false}, {"Id": "3", "LastLoginDate": -7}]\n')
+    schema = object_schema(MAPS, {"IsActive": "boolean"})
+    got = read_json_object(spark, folder("in"), schema)
+    assert rows_of(got) == [
+        ("1", True, 5), ("2", False, None), ("3", None, -7), (None, None, None),
+    ]
+
+
+def test_json_pages_that_span_lines(spark, folder):
+    write(folder("in/a.json"), '[\n {"Id": "2",\n  "IsActive": false}\n]\n')
+    got = read_json_object(spark, folder("in"), object_schema(MAPS), multi_line=True)
+    assert rows_of(got) == [("2", "false", None)]
+
+
+def test_no_landed_files_give_no_rows(spark, folder):
+    os.makedirs(folder("in"))
+    assert read_json_object(spark, folder("in"), object_schema(MAPS)).isEmpty()
+
+
+def test_results_from_csv_and_json(spark, folder):
+    write(folder("csv/a.csv"), 'id,success,created,error\nx,true,true,\ny,false,false,"a ""b"", c\nd"\n')
+    want = [("x", "true", "true", None), ("y", "false", "false", 'a "b", c\nd')]
+    assert rows_of(read_results(spark, folder("csv"))) == want
+    write(folder("json/a.json"), '{"id": "y", "success": false, "error": "e", "key": "k"}\n')
+    got = read_results(spark, folder("json"), "json", extra=["key"])
+    assert rows_of(got) == [("y", "false", None, "e", "k")]
+
+
+def test_no_results_are_an_empty_table(spark, folder):
+    os.makedirs(folder("csv"))
+    got = read_results(spark, folder("csv"))
+    assert got.isEmpty() and got.columns == ["id", "success", "created", "error"]
+
+
+def test_result_headers_are_checked(spark, folder):
+    write(folder("csv/a.csv"), "id,error,created,success\nx,e,true,false\n")
+    with pytest.raises(Exception, match="CSV header|does not conform"):
+        read_results(spark, folder("csv")).collect()
+
+
+TEXTS = ['plain', 'comma, "quote"', "two\nlines", "  blanks  ", "", None, "é–ü", "back\\slash"]
+
+
+def test_exported_texts_survive_whole(spark, folder):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id int, text string")
+    export_batches(rows, folder("out"), size=3)
+    back = spark.read.schema(rows.schema).csv(
+        folder("out"), header=True, multiLine=True, escape='"', enforceSchema=False
+    )
+    assert [r["text"] for r in back.orderBy("id").collect()] == [
+        text or None for text in TEXTS  # CSV has one form for null and empty
+    ]
+
+
+def test_exported_files_hold_at_most_size_rows_each_with_a_header(spark, folder):
+    export_batches(spark.range(25).coalesce(1), folder("out"), size=10)
+    counts = []
+    for name in os.listdir(folder("out")):
+        if name.startswith("part"):
+            lines = open(os.path.join(folder("out"), name)).read().splitlines()
+            assert lines[0] == "id"
+            counts.append(len(lines) - 1)
+    assert sorted(counts) == [5, 10, 10]
+
+
+def test_append_and_missing_tables(spark, folder):
+    schema = T.StructType().add("a", T.IntegerType())
+    ref = TableRef(path=folder("t"), schema=schema)
+    assert read_table(spark, ref).isEmpty()
+    append_table(spark.createDataFrame([(1,)], schema), ref)
+    append_table(spark.createDataFrame([(2,)], schema), ref)
+    assert rows_of(read_table(spark, ref)) == [(1,), (2,)]
+
+
+def test_jdbc_options_of_a_split_read():
+    options = {"url": "jdbc:x", "dbtable": "v"}
+    ref = TableRef("jdbc", options=options, split=JdbcSplit("id", "0", "1000", 8))
+    assert ref.read_options() == {
+        **options, "partitionColumn": "id", "lowerBound": "0", "upperBound": "1000", "numPartitions": "8",
+    }
+    with pytest.raises(ValueError, match="dbtable"):
+        TableRef("jdbc", options={"query": "select 1"}, split=ref.split).read_options()
+    assert "jdbc:x" not in repr(ref)  # options may hold a password
+
+
+def test_snapshot_batches_are_replaced_not_doubled(spark, folder):
+    ref = TableRef(path=folder("snap"))
+    rows = spark.range(3)
+    append_snapshot(tag_snapshot(rows, 1, "2022-01-01"), ref)
+    append_snapshot(tag_snapshot(rows, 2, "2022-01-02"), ref)
+    append_snapshot(tag_snapshot(rows, 2, "2022-01-02"), ref)
+    got = read_table(spark, ref).groupBy("batch_id").count()
+    assert rows_of(got) == [(1, 3), (2, 3)]
+    assert "PartitionFilters: [isnotnull(batch_id" in plan_of(read_table(spark, ref).where("batch_id = 2"))
+
+
+def test_staged_rows_stay_when_their_source_changes_and_go_with_the_run(spark, folder):
+    spark.createDataFrame([(1, Decimal("1.5"), datetime(2022, 1, 1))], "a int, b decimal(9,2), c timestamp").write.parquet(folder("t"))
+    with Staging(spark) as staging:
+        staged = staging.write(spark.read.parquet(folder("t")))
+        spark.createDataFrame([(2,)], "a int").write.mode("overwrite").parquet(folder("t"))
+        assert rows_of(staged.select("a", "b")) == [(1, Decimal("1.50"))]
+        assert staging.path.startswith(staging_root(spark)) and files.exists(spark, staging.path)
+    assert not files.exists(spark, staging.path)
+
+
+def test_published_files_are_never_replaced(spark, folder):
+    files.publish_text(spark, folder("c/1.json"), "ä1")
+    with pytest.raises(FileExistsError):
+        files.publish_text(spark, folder("c/1.json"), "2")
+    assert files.read_text(spark, folder("c/1.json")) == "ä1"
+    assert files.list_names(spark, folder("nothing")) == []
