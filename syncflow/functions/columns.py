@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -51,6 +52,14 @@ def instant(value: datetime | str, dtype: T.DataType | None = None) -> Column:
     return F.lit(text + "Z").cast("timestamp")
 
 
+def all_set(columns: Sequence[str]) -> Column:
+    """True if none of the columns is null."""
+    condition = F.lit(True)
+    for name in columns:
+        condition = condition & quoted(name).isNotNull()
+    return condition
+
+
 def blank(column: Column) -> Column:
     """True for null and for the empty string."""
     return column.isNull() | (F.length(column) == 0)

@@ -7,26 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from syncflow.functions.columns import quoted
+from syncflow.functions.columns import all_set, quoted
+from syncflow.operators.skew import HOT_ROWS, join_one
 
 NULL_POLICIES = ("overwrite", "keep")
 
 
-def _all_keys_set(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & quoted(key).isNotNull()
-    return condition
-
-
 def keyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that can be delivered: no key column is null."""
-    return df.where(_all_keys_set(keys))
+    return df.where(all_set(keys))
 
 
 def unkeyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows to report as failures: some key column is null."""
-    return df.where(~_all_keys_set(keys))
+    return df.where(~all_set(keys))
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -58,14 +52,14 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return target.select(*columns).join(wanted, list(keys), "left_semi").distinct()
 
 
-def classify_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def classify_changes(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``source`` plus ``action``: ``update`` if the target has the key, else ``insert``."""
     known = matched_keys(target, source, keys).withColumn("_known", F.lit(True))
-    return (
-        source.join(known, list(keys), "left")
-        .withColumn("action", F.when(F.col("_known"), F.lit("update")).otherwise(F.lit("insert")))
-        .drop("_known")
-        .select(*[quoted(c) for c in source.columns], "action")
+    action = F.when(F.col("_known"), F.lit("update")).otherwise(F.lit("insert"))
+    return join_one(source, known, keys, "left", hot_rows).select(
+        *[quoted(c) for c in source.columns], action.alias("action")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from syncflow.functions.columns import quoted
 from syncflow.operators.numbering import number_rows
+from syncflow.operators.skew import HOT_ROWS, join_one
 from syncflow.staging import Staging
 
 RESULT_COLUMNS = ("id", "success", "error")
@@ -27,7 +28,12 @@ def failures(results: DataFrame, null_is_failure: bool = True) -> DataFrame:
 
 
 def align_by_key(
-    results: DataFrame, sent: DataFrame, key: str, carry: Sequence[str], result_key: str | None = None
+    results: DataFrame,
+    sent: DataFrame,
+    key: str,
+    carry: Sequence[str],
+    result_key: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join results to the sent rows on the external key.
 
@@ -36,15 +42,11 @@ def align_by_key(
     per key first (with a partial aggregate) keeps a repeated key from pairing
     with itself. Keys are compared as text, which is how results carry them.
     """
-    result_key = result_key or key
     newest = F.max(F.struct(*[quoted(c) for c in carry]))
     rows = sent.groupBy(quoted(key).cast("string").alias("_key")).agg(newest.alias("_sent"))
     rows = rows.select("_key", *[F.col("_sent").getField(c).alias(c) for c in carry])
-    return (
-        results.withColumn("_key", quoted(result_key).cast("string"))
-        .join(rows, "_key", "inner")
-        .drop("_key")
-    )
+    found = results.withColumn("_key", quoted(result_key or key).cast("string"))
+    return join_one(found, rows, ["_key"], hot_rows=hot_rows).drop("_key")
 
 
 def align_by_position(
