@@ -15,6 +15,9 @@ EPOCH = datetime(1970, 1, 1)
 MASK_TOKEN = "NA"
 NULL_TOKENS = ("None", "nan", "")
 
+#: Fixed value: how dates are written where they travel as text.
+DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
 
 def quoted(name: str) -> Column:
     """Column by exact name, also for names with dots or leading digits."""

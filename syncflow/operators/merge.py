@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from syncflow.functions.columns import all_set, quoted
 from syncflow.operators.skew import HOT_ROWS, join_one
+from syncflow.staging import Staging
 
 NULL_POLICIES = ("overwrite", "keep")
 
@@ -53,9 +54,19 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 
 def classify_changes(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    staging: Staging | None = None,
 ) -> DataFrame:
-    """``source`` plus ``action``: ``update`` if the target has the key, else ``insert``."""
+    """``source`` plus ``action``: ``update`` if the target has the key, else ``insert``.
+
+    The source is read several times. With ``staging`` it is computed once and
+    written; leave that out if it is a table already.
+    """
+    if staging is not None:
+        source = staging.write(source, "source")
     known = matched_keys(target, source, keys).withColumn("_known", F.lit(True))
     action = F.when(F.col("_known"), F.lit("update")).otherwise(F.lit("insert"))
     return join_one(source, known, keys, "left", hot_rows).select(
@@ -109,14 +120,18 @@ def upsert(
     keys: Sequence[str],
     null_policy: str = "overwrite",
     order: Sequence[str] = (),
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The target after the source rows were merged in by key.
 
     Source values win. ``null_policy="keep"`` lets a null leave the target
     value alone. Target columns the source does not carry keep their values
     (null on new rows). Source rows without a key are left out; repeated keys
-    are reduced to their latest row by ``order``.
+    are reduced to their latest row by ``order``. The source is read several
+    times; with ``staging`` it is computed once and written.
     """
     incoming = dedup_latest(keyed_rows(source, keys), keys, order)
+    if staging is not None:
+        incoming = staging.write(incoming, "incoming")
     changed, added = merge_parts(target, incoming, keys, null_policy)
     return changed.unionByName(added)

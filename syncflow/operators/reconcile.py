@@ -42,9 +42,14 @@ def align_by_key(
     per key first (with a partial aggregate) keeps a repeated key from pairing
     with itself. Keys are compared as text, which is how results carry them.
     """
-    newest = F.max(F.struct(*[quoted(c) for c in carry]))
-    rows = sent.groupBy(quoted(key).cast("string").alias("_key")).agg(newest.alias("_sent"))
-    rows = rows.select("_key", *[F.col("_sent").getField(c).alias(c) for c in carry])
+    grouped = sent.groupBy(quoted(key).cast("string").alias("_key"))
+    if len(carry) == 1:  # a plain maximum needs no sort
+        rows = grouped.agg(F.max(quoted(carry[0])).alias(carry[0]))
+    else:
+        newest = F.max(F.struct(*[quoted(c) for c in carry])).alias("_sent")
+        rows = grouped.agg(newest).select(
+            "_key", *[F.col("_sent").getField(c).alias(c) for c in carry]
+        )
     found = results.withColumn("_key", quoted(result_key or key).cast("string"))
     return join_one(found, rows, ["_key"], hot_rows=hot_rows).drop("_key")
 

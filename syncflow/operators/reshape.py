@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from syncflow.functions.columns import (
+    DATETIME_FORMAT,
     MASK_TOKEN,
     NULL_TOKENS,
     blank,
@@ -137,6 +138,18 @@ def epoch_millis_to_datetime(
     return df.select(*[convert(c) if c in names else quoted(c) for c in df.columns])
 
 
+def text_to_datetime(
+    df: DataFrame, columns: Sequence[str], pattern: str = DATETIME_FORMAT
+) -> DataFrame:
+    """Dates written as text to timestamps; text in another form becomes null.
+
+    Maxima and watermarks need this first: text only sorts like time as long as
+    the form has a fixed width.
+    """
+    names = [column_name(df, c) for c in columns]
+    return df.withColumns({c: F.try_to_timestamp(quoted(c), F.lit(pattern)) for c in names})
+
+
 def nullify_tokens(
     df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = NULL_TOKENS
 ) -> DataFrame:

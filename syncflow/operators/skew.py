@@ -28,6 +28,8 @@ def join_one(
     get their partner by broadcast. There are at most ``rows / hot_rows`` hot
     keys, each with one partner, so that broadcast is bounded. Rows without a
     key, which a left join would gather in one task, are not shuffled at all.
+
+    ``many`` is read three times: hand in a table or staged rows.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")

@@ -185,6 +185,10 @@ ORACLES: dict[str, str] = {
         from ({_MILLIS})""",
     "epoch_to_timestamp": """
         select event_id, date_trunc('millisecond', ts) as modified, event_type from events""",
+    "text_watermark": """
+        select count(*) as row_count,
+               greatest(max(date_trunc('second', ts)), timestamp '2024-01-01') as next_watermark
+        from events""",
     "require_columns": f"select * from ({_TEXT}) where user_id <> '' and event_id <> ''",
     "missing_columns": f"select * from ({_TEXT}) where user_id is null",
     "dedup_latest": """

@@ -87,24 +87,22 @@ def delivery_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incoming_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per ordering customer from the delta, plus a prospect row of each.
+    """A row of every ordering customer from the delta, and a prospect row of each.
 
     Prospects have negative keys, which the target does not hold.
     """
+    key, priority = F.col("o_custkey"), F.col("o_orderpriority")
     latest = merge.dedup_latest(
         order_delta(spark, sf_dir).select(
-            F.col("o_custkey").alias("c_custkey"),
-            F.col("o_orderpriority").alias("c_mktsegment"),
-            "o_orderdate",
-            "o_orderkey",
+            "o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority"
         ),
-        ["c_custkey"],
+        ["o_custkey"],
         ["o_orderdate", "o_orderkey"],
     )
-    segment = F.when(F.col("c_mktsegment") != "5-LOW", F.col("c_mktsegment"))
-    known = latest.select("c_custkey", segment.alias("c_mktsegment"))
-    prospects = known.select((-1 - F.col("c_custkey")).alias("c_custkey"), "c_mktsegment")
-    return known.unionByName(prospects)
+    return latest.select(
+        F.explode(F.array(key, -1 - key)).alias("c_custkey"),
+        F.when(priority != "5-LOW", priority).alias("c_mktsegment"),
+    )
 
 
 # -- watermark and delta --------------------------------------------------------
@@ -303,6 +301,17 @@ def epoch_to_timestamp(spark, d):
     return rows.withColumn("modified", F.col("modified").cast("timestamp_ntz"))
 
 
+@query
+def text_watermark(spark, d):
+    """Dates that travelled as text, parsed back before the next mark is taken."""
+    rows = reshape.epoch_millis_to_datetime(_with_millis(spark, d), ["modified"], as_string=True)
+    created = reshape.text_to_datetime(rows, ["modified"]).withColumnRenamed("modified", "made")
+    stats = delta.delta_stats(created, ["made"])
+    return delta.next_watermark(stats, "2024-01-01", "made").select(
+        "row_count", F.col("next_watermark").cast("timestamp_ntz").alias("next_watermark")
+    )
+
+
 @query
 def require_columns(spark, d):
     rows = reshape.nullify_tokens(_landed_as_text(spark, d), ["user_id"])
@@ -333,23 +342,32 @@ def unkeyed_rows(spark, d):
 @query
 def classify_changes(spark, d):
     return merge.classify_changes(
-        table(spark, d, "customer"), incoming_customers(spark, d), ["c_custkey"]
+        table(spark, d, "customer"),
+        incoming_customers(spark, d),
+        ["c_custkey"],
+        staging=Staging(spark, "changes"),
     )
 
 
-@query
-def upsert(spark, d):
+def _upsert(spark, d, null_policy) -> DataFrame:
     return merge.upsert(
-        table(spark, d, "customer"), incoming_customers(spark, d), ["c_custkey"]
+        table(spark, d, "customer"),
+        incoming_customers(spark, d),
+        ["c_custkey"],
+        null_policy,
+        staging=Staging(spark, "upsert"),
     )
 
 
+@query
+def upsert(spark, d):
+    return _upsert(spark, d, "overwrite")
+
+
 @query
 def upsert_keep(spark, d):
     """A null in the source leaves the target value alone."""
-    return merge.upsert(
-        table(spark, d, "customer"), incoming_customers(spark, d), ["c_custkey"], "keep"
-    )
+    return _upsert(spark, d, "keep")
 
 
 @query

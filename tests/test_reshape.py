@@ -135,6 +135,12 @@ def test_epoch_timestamp_keeps_milliseconds_and_can_move_last(spark):
     )
 
 
+def test_text_dates(spark):
+    rows = spark.createDataFrame([("2022-04-15 05:20:00",), ("15.04.2022",), ("None",), (None,)], "at string")
+    got = reshape.text_to_datetime(rows, ["AT"]).select(F.col("at").cast("timestamp_ntz"))
+    assert [r[0] for r in got.collect()] == [datetime(2022, 4, 15, 5, 20), None, None, None]
+
+
 def test_tokens_become_null(spark):
     rows = spark.createDataFrame([("None",), ("nan",), ("",), ("x",), (None,)], "a string")
     assert [r[0] for r in reshape.nullify_tokens(rows, ["a"]).collect()] == [

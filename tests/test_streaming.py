@@ -64,12 +64,13 @@ def test_snapshots_carry_their_batch(spark, folder):
     assert rows_of(read_table(spark, ref).select("v", "batch_id")) == [("a", 0), ("b", 1)]
 
 
-def test_cadence_keeps_the_stream_running(spark, folder):
+def test_an_interval_keeps_the_stream_running(spark, folder):
+    assert incremental.CADENCE == "5 minutes"
     land(spark, folder, [(1, 1, "a")])
     target = KeyedTable(spark, folder("target"), SCHEMA, ["k"], buckets=2)
     stream = incremental.read_landing(spark, folder("landing"), SCHEMA, max_files=1)
     started = incremental.stream_incremental(
-        stream, target, folder("checkpoint"), ["at"], every=incremental.CADENCE
+        stream, target, folder("checkpoint"), ["at"], every="1 second"
     )
     try:
         started.processAllAvailable()
