@@ -41,15 +41,19 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
-def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def matched_keys(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool = False
+) -> DataFrame:
     """Distinct keys of ``source`` that ``target`` holds already.
 
-    Only key columns are read. The source is the build side, so a small delta
-    is broadcast by its known size and the target is not shuffled; for a large
-    one Catalyst falls back to a sort-merge join on the keys.
+    Only key columns are read. The source is the build side: a ``small`` one is
+    broadcast and the target is not shuffled; otherwise both sides are joined
+    by a shuffle of their keys.
     """
     columns = [quoted(k) for k in keys]
     wanted = source.select(*columns).distinct()
+    if small:
+        wanted = F.broadcast(wanted)
     return target.select(*columns).join(wanted, list(keys), "left_semi").distinct()
 
 
@@ -65,9 +69,10 @@ def classify_changes(
     The source is read several times. With ``staging`` it is computed once and
     written; leave that out if it is a table already.
     """
+    small = False
     if staging is not None:
-        source = staging.write(source, "source")
-    known = matched_keys(target, source, keys).withColumn("_known", F.lit(True))
+        source, small = staging.write_checked(source, "source")
+    known = matched_keys(target, source, keys, small).withColumn("_known", F.lit(True))
     action = F.when(F.col("_known"), F.lit("update")).otherwise(F.lit("insert"))
     return join_one(source, known, keys, "left", hot_rows).select(
         *[quoted(c) for c in source.columns], action.alias("action")
@@ -75,13 +80,17 @@ def classify_changes(
 
 
 def merge_parts(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], null_policy: str = "overwrite"
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_policy: str = "overwrite",
+    small: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The two halves of an upsert: the target with new values, and the new rows.
 
     ``source`` has one row per key and no null keys. The target is the probe
-    side of both joins, so against a delta of known small size it is neither
-    shuffled nor collected.
+    side of both joins. A source whose written size was checked (``small``) is
+    broadcast, and then the target is not shuffled.
     """
     if null_policy not in NULL_POLICIES:
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}, not {null_policy!r}")
@@ -95,6 +104,8 @@ def merge_parts(
         *[quoted(c).alias(f"_new_{c}") for c in carried],
         F.lit(True).alias("_hit"),
     )
+    if small:
+        arriving = F.broadcast(arriving)
     types = {f.name: f.dataType for f in target.schema.fields}
 
     def merged(name: str) -> Column:
@@ -110,7 +121,9 @@ def merge_parts(
         return value.cast(types[name]).alias(name)
 
     changed = target.join(arriving, list(keys), "left").select(*[merged(c) for c in target.columns])
-    fresh_rows = source.join(matched_keys(target, source, keys), list(keys), "left_anti")
+    fresh_rows = source.join(
+        matched_keys(target, source, keys, small), list(keys), "left_anti"
+    )
     return changed, fresh_rows.select(*[added(c) for c in target.columns])
 
 
@@ -131,7 +144,8 @@ def upsert(
     times; with ``staging`` it is computed once and written.
     """
     incoming = dedup_latest(keyed_rows(source, keys), keys, order)
+    small = False
     if staging is not None:
-        incoming = staging.write(incoming, "incoming")
-    changed, added = merge_parts(target, incoming, keys, null_policy)
+        incoming, small = staging.write_checked(incoming, "incoming")
+    changed, added = merge_parts(target, incoming, keys, null_policy, small)
     return changed.unionByName(added)

@@ -165,9 +165,11 @@ ORACLES: dict[str, str] = {
                cast(o_orderdate as date) as order_day
         from orders""",
     "map_truncate": """
-        select doc_id, substring(text, 1, 100) as text, substring(source, 1, 25) as source
-        from documents""",
-    "overlong_rows": "select doc_id from documents where length(text) > 100 or length(source) > 25",
+        select o_orderkey as order_key, left(o_orderpriority, 8) as priority,
+               left(o_orderstatus, 1) as status
+        from orders""",
+    "overlong_rows": """
+        select * from orders where length(o_orderpriority) > 8 or length(o_orderstatus) > 1""",
     "nullify_and_cast": """
         select event_id,
                case when event_type <> 'error' then user_id end as user_id,

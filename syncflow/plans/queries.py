@@ -233,23 +233,23 @@ def map_cast_try(spark, d):
     return reshape.apply_mapping(table(spark, d, "orders"), maps)
 
 
-_DOCUMENT_MAPPING = [
-    ColumnMap("doc_id", "doc_id", "bigint"),
-    ColumnMap("text", "text", "varchar(100)"),
-    ColumnMap("source", "source", "varchar(25)"),
+_SHORT_MAPPING = [
+    ColumnMap("o_orderkey", "order_key", "bigint"),
+    ColumnMap("o_orderpriority", "priority", "varchar(8)"),
+    ColumnMap("o_orderstatus", "status", "char(1)"),
 ]
 
 
 @query
 def map_truncate(spark, d):
     """Texts cut to the length of their mapped type."""
-    return reshape.apply_mapping(table(spark, d, "documents"), _DOCUMENT_MAPPING, truncate=True)
+    return reshape.apply_mapping(table(spark, d, "orders"), _SHORT_MAPPING, truncate=True)
 
 
 @query
 def overlong_rows(spark, d):
     """Rows to reject where cutting is not wanted."""
-    return reshape.overlong_rows(table(spark, d, "documents"), _DOCUMENT_MAPPING).select("doc_id")
+    return reshape.overlong_rows(table(spark, d, "orders"), _SHORT_MAPPING)
 
 
 def _landed_as_text(spark, d) -> DataFrame:

@@ -85,11 +85,6 @@ class KeyedTable:
         hashed = F.xxhash64(*[quoted(k) for k in self.keys])
         return df.withColumn(_BUCKET, F.pmod(hashed, F.lit(self.buckets)).cast("int"))
 
-    def _broadcastable(self, staged: DataFrame) -> bool:
-        """Whether Spark will broadcast these written rows, by their size on disk."""
-        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        return 2 * files.size(self.spark, staged.inputFiles()) <= limit
-
     def upsert(
         self,
         source: DataFrame,
@@ -126,20 +121,22 @@ class KeyedTable:
                     if f.name in source.columns
                 ]
             )
-            incoming = staging.write(self._with_bucket(incoming), "incoming")
+            incoming, small = staging.write_checked(self._with_bucket(incoming), "incoming")
             # At most ``buckets`` numbers come to the driver.
             touched = [r[0] for r in incoming.select(_BUCKET).distinct().collect()]
             if touched:
                 old = self._read_folders([current[str(b)] for b in touched if str(b) in current])
                 changed, added = (
                     self._with_bucket(part)
-                    for part in merge_parts(old, incoming.drop(_BUCKET), self.keys, null_policy)
+                    for part in merge_parts(
+                        old, incoming.drop(_BUCKET), self.keys, null_policy, small
+                    )
                 )
                 # Rebalancing splits large buckets and joins small ones, so file
                 # sizes follow the advisory partition size. Old rows are already
-                # read bucket by bucket; against a delta small enough to be
-                # broadcast they stay where they are and only new rows move.
-                if self._broadcastable(incoming) and not compact:
+                # read bucket by bucket; against a delta that is broadcast they
+                # stay where they are and only new rows move.
+                if small and not compact:
                     merged = changed.unionByName(added.hint("rebalance", _BUCKET))
                 else:
                     merged = changed.unionByName(added).hint("rebalance", _BUCKET)

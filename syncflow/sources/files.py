@@ -27,13 +27,10 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
 
 
-def size(spark: SparkSession, paths: list[str]) -> int:
-    """Total bytes of some files."""
-    total = 0
-    for path in paths:
-        fs, jpath = _fs(spark, path)
-        total += fs.getFileStatus(jpath).getLen()
-    return total
+def size(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path``."""
+    fs, jpath = _fs(spark, path)
+    return fs.getContentSummary(jpath).getLength()
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -11,11 +11,18 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from syncflow.functions.columns import quoted
 from syncflow.sources import files
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Written rows are broadcast up to these sizes: bytes of parquet, bytes decoded.
+SMALL_ON_DISK = 16 * 1024 * 1024
+SMALL_DECODED = 64 * 1024 * 1024
+
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder of the session; a temporary one only in local mode."""
@@ -29,6 +36,19 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def decoded_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: 16 per column, plus the length of texts and nested values."""
+    row = F.lit(16 * len(df.columns))
+    for field in df.schema.fields:
+        value = quoted(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        row = row + F.coalesce(F.octet_length(value), F.lit(0))
+    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
 class Staging:
     """Written intermediate tables of one run; ``with`` removes them at its end."""
 
@@ -47,6 +67,17 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_checked(self, df: DataFrame, name: str = "rows") -> tuple[DataFrame, bool]:
+        """``write``, and whether the rows are small enough to be broadcast.
+
+        Parquet may shrink repeated values without limit, so small files are
+        measured once more by the size of their decoded rows.
+        """
+        written = self.write(df, name)
+        on_disk = files.size(self.spark, f"{self.path}/{self._count:03d}-{name}")
+        small = on_disk <= SMALL_ON_DISK and decoded_bytes(written) <= SMALL_DECODED
+        return written, small
+
     def __enter__(self) -> Staging:
         return self
 

@@ -110,15 +110,11 @@ def test_vacuum_drops_what_no_kept_commit_needs(spark, table):
     assert table.vacuum(keep=1) == []
 
 
-def test_large_delta_goes_through_the_rebalanced_path(spark, table):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        rows = spark.range(500).select(
-            F.col("id").cast("int").alias("k"), F.lit("a").alias("a"), F.col("id").alias("n")
-        )
-        table.upsert(rows)
-        table.upsert(rows.where("k >= 250").withColumn("a", F.lit("b")))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_large_delta_goes_through_the_rebalanced_path(spark, table, monkeypatch):
+    monkeypatch.setattr("syncflow.staging.SMALL_ON_DISK", 0)
+    rows = spark.range(500).select(
+        F.col("id").cast("int").alias("k"), F.lit("a").alias("a"), F.col("id").alias("n")
+    )
+    table.upsert(rows)
+    table.upsert(rows.where("k >= 250").withColumn("a", F.lit("b")))
     assert rows_of(table.read().groupBy("a").count()) == [("a", 250), ("b", 250)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows_of
 from syncflow.operators import merge
+from syncflow.staging import Staging
 
 
 def test_latest_row_per_key_nulls_least_ties_by_the_rest(spark):
@@ -97,13 +98,26 @@ def test_upsert_agrees_with_brute_force(spark):
     assert rows_of(got) == sorted({**old, **new}.values(), key=repr)
 
 
-def test_small_written_delta_does_not_shuffle_the_target(spark, folder):
-    spark.range(100_000).select("id", F.lit("a").alias("a")).write.parquet(folder("target"))
-    spark.range(10).select("id", F.lit("b").alias("a")).write.parquet(folder("source"))
-    target = spark.read.parquet(folder("target"))
-    changed, _ = merge.merge_parts(target, spark.read.parquet(folder("source")), ["id"])
-    plan = plan_of(changed)
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+def test_small_delta_does_not_shuffle_the_target(spark, folder, monkeypatch):
+    monkeypatch.setattr("syncflow.staging.SMALL_ON_DISK", 10_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.range(50_000).select("id", F.lit("a").alias("a")).write.parquet(folder("target"))
+        target = spark.read.parquet(folder("target"))
+        with Staging(spark) as staging:
+            few = spark.range(49_995, 50_005).select("id", F.lit("b").alias("a"))
+            merged = merge.upsert(target, few, ["id"], staging=staging)
+            changed, added = plan_of(merged).split("LeftAnti", 1)
+            assert "BroadcastHashJoin" in changed and "Exchange hash" not in changed.split("LeftOuter")[0]
+            assert "BroadcastHashJoin" in added
+            assert rows_of(merged.groupBy("a").count()) == [("a", 49_995), ("b", 10)]
+
+            many = spark.range(25_000, 75_000).select("id", F.lit("b").alias("a"))
+            merged = merge.upsert(target, many, ["id"], staging=staging)
+            assert "BroadcastHashJoin" not in plan_of(merged)
+            assert rows_of(merged.groupBy("a").count()) == [("a", 25_000), ("b", 50_000)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_classify(spark, target):

@@ -16,7 +16,7 @@ from syncflow.sources import files
 from syncflow.sources.mapping import load_mapping
 from syncflow.sources.records import object_schema, read_json_object, read_results
 from syncflow.sources.tables import JdbcSplit, TableRef, append_table, read_table
-from syncflow.staging import Staging, staging_root
+from syncflow.staging import Staging, decoded_bytes, staging_root
 
 
 def write(path, text):
@@ -149,6 +149,17 @@ def test_staged_rows_stay_when_their_source_changes_and_go_with_the_run(spark, f
     assert not files.exists(spark, staging.path)
 
 
+def test_rows_that_shrink_well_on_disk_are_not_called_small(spark, monkeypatch):
+    monkeypatch.setattr("syncflow.staging.SMALL_DECODED", 1_000_000)
+    with Staging(spark) as staging:
+        few = spark.range(10).withColumn("text", F.lit("x" * 1000))
+        assert staging.write_checked(few)[1]
+        assert decoded_bytes(few) == 10 * (32 + 1000)
+        assert not staging.write_checked(few.unionByName(spark.range(2000).withColumn("text", F.lit("x" * 1000))))[1]
+        nested = spark.range(1).select(F.array(F.lit("abc")).alias("a"))
+        assert decoded_bytes(nested) > 16
+
+
 def test_published_files_are_never_replaced(spark, folder):
     files.publish_text(spark, folder("c/1.json"), "ä1")
     with pytest.raises(FileExistsError):
