@@ -109,18 +109,14 @@ class KeyedTable:
             return False
 
         with Staging(self.spark, "upsert") as staging:
-            incoming = keyed_rows(source, self.keys)
+            # Typed like the table first, so that equal keys hash and match alike.
+            carried = [f for f in self.schema.fields if f.name in source.columns]
+            typed = source.withColumns({f.name: quoted(f.name).cast(f.dataType) for f in carried})
+            incoming = keyed_rows(typed, self.keys)
             if not unique:
                 ordered_by = [c for c in order if c not in self.keys]
                 incoming = dedup_latest(incoming, self.keys, ordered_by)
-            # Typed like the table, so that equal keys hash alike.
-            incoming = incoming.select(
-                *[
-                    quoted(f.name).cast(f.dataType).alias(f.name)
-                    for f in self.schema.fields
-                    if f.name in source.columns
-                ]
-            )
+            incoming = incoming.select(*[quoted(f.name) for f in carried])
             incoming, small = staging.write_checked(self._with_bucket(incoming), "incoming")
             # At most ``buckets`` numbers come to the driver.
             touched = [r[0] for r in incoming.select(_BUCKET).distinct().collect()]

@@ -88,6 +88,17 @@ def test_bucket_count_is_fixed_at_creation_and_keys_are_typed(spark, table, fold
     assert rows_of(again.read()) == [(1, "wide", 1)]
 
 
+def test_keys_that_differ_only_before_typing_are_one_key(spark, table):
+    table.upsert(spark.createDataFrame([("1", "a", 1), ("01", "b", 2)], "k string, a string, n long"), ["n"])
+    assert rows_of(table.read()) == [(1, "b", 2)]
+
+
+def test_rows_may_be_ordered_by_a_column_the_table_lacks(spark, table):
+    rows = spark.createDataFrame([(1, "a", 9), (1, "b", 3)], "k int, a string, seen int")
+    table.upsert(rows, ["seen"])
+    assert rows_of(table.read()) == [(1, "a", None)]
+
+
 def test_keep_policy_and_compaction(spark, table):
     table.upsert(frame(spark, [(1, "x", 1)]))
     table.upsert(frame(spark, [(1, None, 2)]), null_policy="keep", compact=True)
