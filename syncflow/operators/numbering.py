@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from syncflow.functions.columns import quoted
-from syncflow.staging import Staging
+from syncflow.staging import Staging, sized_shuffles
 
 # monotonically_increasing_id keeps the partition above this bit and the
 # position inside the partition below it.
@@ -41,9 +41,10 @@ def number_rows(
     if not unique:
         df = staging.write(df.withColumn("_tie", F.monotonically_increasing_id()), "input")
         keys.append(F.col("_tie").asc())
-    placed = staging.write(
-        df.orderBy(*keys).withColumn("_place", F.monotonically_increasing_id()), "sorted"
-    )
+    with sized_shuffles(df.sparkSession, staging.size()):
+        placed = staging.write(
+            df.orderBy(*keys).withColumn("_place", F.monotonically_increasing_id()), "sorted"
+        )
 
     part = F.shiftright("_place", _PARTITION_SHIFT)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))

@@ -24,7 +24,7 @@ from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.sinks.export import append_snapshot, export_batches
 from syncflow.sources.records import object_schema, read_json_object
 from syncflow.sources.tables import TableRef, append_table, read_table
-from syncflow.staging import Staging
+from syncflow.staging import Staging, sized_shuffles
 
 #: Failure text of rows that cannot be delivered because their key is null.
 NO_KEY = "key is null"
@@ -122,7 +122,8 @@ def run_outbound(spark: SparkSession, cfg: OutboundConfig) -> RunResult:
             count, reached = _measure(delta, cfg, mark)
             if count == 0:
                 return audit.append(RunResult("no_data", 0, mark))
-            failed = _deliver(spark, cfg, delta, staging)
+            with sized_shuffles(spark, staging.size()):
+                failed = _deliver(spark, cfg, delta, staging)
         return audit.append(RunResult("success", count, reached, failed))
     except Exception:
         audit.failed(reached)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from syncflow.functions.columns import quoted
 from syncflow.operators.merge import classify_changes, dedup_latest, keyed_rows, merge_parts
 from syncflow.sources import files
-from syncflow.staging import Staging
+from syncflow.staging import Staging, sized_shuffles
 
 _BUCKET = "_bucket"
 
@@ -79,6 +79,11 @@ class KeyedTable:
         """The table as of its newest commit."""
         return self._read_folders(sorted(self._commit().get("current", {}).values()))
 
+    def _size(self) -> int:
+        """Bytes of the table, kept old versions included."""
+        data = f"{self.path}/data"
+        return files.size(self.spark, data) if files.exists(self.spark, data) else 0
+
     # -- writing ------------------------------------------------------------
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
@@ -137,7 +142,9 @@ class KeyedTable:
                 else:
                     merged = changed.unionByName(added).hint("rebalance", _BUCKET)
                 version = f"{max(self._versions(), default=0) + 1:08d}-{uuid.uuid4().hex[:8]}"
-                merged.write.partitionBy(_BUCKET).parquet(f"{self.path}/data/{version}")
+                bytes_in = staging.size() + (0 if small else self._size())
+                with sized_shuffles(self.spark, bytes_in):
+                    merged.write.partitionBy(_BUCKET).parquet(f"{self.path}/data/{version}")
                 current.update({str(b): f"{version}/{_BUCKET}={b}" for b in touched})
         if writer is not None and batch is not None:
             writers[writer] = batch

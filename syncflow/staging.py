@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,28 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+#: Parquet bytes that one shuffle partition should hold at most.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, bytes_in: int) -> Iterator[int]:
+    """Shuffles inside have enough partitions for ``bytes_in`` of parquet input.
+
+    The setting is only raised, never lowered: too many partitions are joined at
+    run time, too few cannot be split. It is put back at the end.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    wanted = max(int(before), -(-bytes_in // PARTITION_BYTES))
+    spark.conf.set(_PARTITIONS, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
 def decoded_bytes(df: DataFrame) -> int:
     """Bytes of all rows: 16 per column, plus the length of texts and nested values."""
     row = F.lit(16 * len(df.columns))
@@ -67,6 +91,10 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def size(self) -> int:
+        """Bytes written so far."""
+        return files.size(self.spark, self.path) if self._count else 0
+
     def write_checked(self, df: DataFrame, name: str = "rows") -> tuple[DataFrame, bool]:
         """``write``, and whether the rows are small enough to be broadcast.
 

@@ -16,7 +16,7 @@ from syncflow.sources import files
 from syncflow.sources.mapping import load_mapping
 from syncflow.sources.records import object_schema, read_json_object, read_results
 from syncflow.sources.tables import JdbcSplit, TableRef, append_table, read_table
-from syncflow.staging import Staging, decoded_bytes, staging_root
+from syncflow.staging import PARTITION_BYTES, Staging, decoded_bytes, sized_shuffles, staging_root
 
 
 def write(path, text):
@@ -160,6 +160,17 @@ def test_rows_that_shrink_well_on_disk_are_not_called_small(spark, monkeypatch):
         assert decoded_bytes(nested) > 16
 
 
+def test_shuffle_partitions_follow_the_input_and_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(spark, 100 * PARTITION_BYTES + 1) as wanted:
+        assert wanted == 101 and spark.conf.get("spark.sql.shuffle.partitions") == "101"
+    with pytest.raises(OSError), sized_shuffles(spark, 10**12):
+        raise OSError
+    with sized_shuffles(spark, 0) as wanted:
+        assert str(wanted) == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_published_files_are_never_replaced(spark, folder):
     files.publish_text(spark, folder("c/1.json"), "ä1")
     with pytest.raises(FileExistsError):
