@@ -374,7 +374,7 @@ def upsert_keep(spark, d):
 def keyed_table_upsert(spark, d):
     """The same upsert into a bucketed table on storage."""
     customers = table(spark, d, "customer")
-    path = Staging(spark, "target").path
+    path = Staging(spark, "target").folder("table")
     target = KeyedTable(spark, path, customers.schema, ["c_custkey"], buckets=8)
     target.upsert(customers)
     target.upsert(incoming_customers(spark, d))
@@ -429,7 +429,7 @@ def preview(spark, d):
 def export_batches(spark, d):
     """Documents out as CSV batches and back: every text arrives whole."""
     documents = table(spark, d, "documents").select("doc_id", "lang", "text")
-    path = Staging(spark, "export").path
+    path = Staging(spark, "export").folder("csv")
     export.export_batches(documents, path, 100)
     back = spark.read.schema(documents.schema).options(
         **CSV_OPTIONS, multiLine="true", enforceSchema="false"

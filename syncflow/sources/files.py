@@ -19,6 +19,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def make_scratch(spark: SparkSession, path: str) -> None:
+    """Make a folder that goes away with the application at the latest."""
+    fs, jpath = _fs(spark, path)
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under ``path``; empty if there is no such directory."""
     fs, jpath = _fs(spark, path)

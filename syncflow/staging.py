@@ -74,12 +74,17 @@ def decoded_bytes(df: DataFrame) -> int:
 
 
 class Staging:
-    """Written intermediate tables of one run; ``with`` removes them at its end."""
+    """Written intermediate tables of one run.
+
+    ``with`` removes them at its end. Otherwise they stay as long as the
+    application, since the rows handed out are read from them.
+    """
 
     def __init__(self, spark: SparkSession, label: str = "stage"):
         self.spark = spark
         self.path = f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self._count = 0
+        files.make_scratch(spark, self.path)
 
     def folder(self, name: str) -> str:
         self._count += 1
@@ -93,7 +98,7 @@ class Staging:
 
     def size(self) -> int:
         """Bytes written so far."""
-        return files.size(self.spark, self.path) if self._count else 0
+        return files.size(self.spark, self.path)
 
     def write_checked(self, df: DataFrame, name: str = "rows") -> tuple[DataFrame, bool]:
         """``write``, and whether the rows are small enough to be broadcast.
