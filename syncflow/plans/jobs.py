@@ -217,43 +217,73 @@ def read_landed(spark: SparkSession, cfg: InboundConfig) -> DataFrame:
     return read_json_object(spark, cfg.landing, schema, cfg.multi_line)
 
 
-def sync_records(spark: SparkSession, cfg: InboundConfig, records: DataFrame) -> RunResult:
-    """One inbound run over records at hand: a landing folder or a micro-batch."""
+def sync_records(
+    spark: SparkSession,
+    cfg: InboundConfig,
+    records: DataFrame,
+    late: bool = False,
+    batch_id: int | None = None,
+) -> RunResult:
+    """One inbound run over records at hand: a landing folder or a micro-batch.
+
+    ``late`` also takes records dated before the watermark, for callers that
+    know every record is new to them. ``batch_id`` repeats a run under the id
+    it was given before.
+    """
     audit, reached = _Audit(spark, cfg), None
     try:
         mark = audit.watermark()
         with Staging(spark, "inbound") as staging:
-            delta = staging.write(inbound_delta(records, cfg, mark), "delta")
+            delta = staging.write(inbound_delta(records, cfg, None if late else mark), "delta")
             count, reached = _measure(delta, cfg, mark)
             if count == 0:
                 return audit.append(RunResult("no_data", 0, mark))
-            batch_id = _append_batch(spark, cfg, delta)
+            batch_id = _append_batch(spark, cfg, delta, batch_id)
         return audit.append(RunResult("success", count, reached, batch_id=batch_id))
     except Exception:
         audit.failed(reached)
         raise
 
 
-def inbound_delta(records: DataFrame, cfg: InboundConfig, mark: datetime) -> DataFrame:
-    """Typed, renamed records above the mark; dates are timestamps, moved to the end."""
-    active = None if cfg.active is None else is_true(quoted(cfg.active))
+def inbound_delta(records: DataFrame, cfg: InboundConfig, mark: datetime | None) -> DataFrame:
+    """Typed, renamed, active records above the mark; dates are timestamps, moved to the end."""
     shaped = epoch_millis_to_datetime(
         apply_mapping(records, cfg.mapping), cfg.epoch_columns, move_last=True
     )
-    return delta_scan(shaped, mark, cfg.created, cfg.updated, cfg.strict, active)
+    if cfg.active is not None:
+        shaped = shaped.where(is_true(quoted(cfg.active)))
+    if mark is None:
+        return shaped
+    return delta_scan(shaped, mark, cfg.created, cfg.updated, cfg.strict)
+
+
+def read_registry(spark: SparkSession, cfg: InboundConfig) -> DataFrame:
+    """The batch registry, empty before the first batch."""
+    return read_table(spark, _registry_ref(cfg))
+
+
+def _registry_ref(cfg: InboundConfig) -> TableRef:
+    ref = cfg.registry
+    if ref.path and ref.schema is None:
+        return TableRef(ref.format, ref.path, ref.options, cfg.batch_columns.schema())
+    return ref
 
 
-def _append_batch(spark: SparkSession, cfg: InboundConfig, delta: DataFrame) -> int:
+def _append_batch(
+    spark: SparkSession, cfg: InboundConfig, delta: DataFrame, batch_id: int | None
+) -> int:
     """Write the snapshot batch, then register it.
 
     A batch is registered once it is complete. A crash in between leaves the id
     free, so the next run replaces the same snapshot partition.
     """
-    ref, names = cfg.registry, cfg.batch_columns
-    if ref.path and ref.schema is None:
-        ref = TableRef(ref.format, ref.path, ref.options, names.schema())
-    registry, now = read_table(spark, ref), _utc_now()
-    batch_id = next_batch_id(registry, names).first()[0]
+    registry, names, now = read_registry(spark, cfg), cfg.batch_columns, _utc_now()
+    known = False
+    if batch_id is None:
+        batch_id = next_batch_id(registry, names).first()[0]
+    else:
+        same = (quoted(names.batch) == batch_id) & (quoted(names.object_name) == cfg.object_name)
+        known = not registry.where(same).isEmpty()
 
     dates = [quoted(c) for c in delta.columns if c.lower() in _lower(cfg.epoch_columns)]
     others = [quoted(c) for c in delta.columns if c.lower() not in _lower(cfg.epoch_columns)]
@@ -263,7 +293,9 @@ def _append_batch(spark: SparkSession, cfg: InboundConfig, delta: DataFrame) ->
             {c: datetime_text(quoted(c), cfg.zone) for c in delta.select(*dates).columns}
         )
     append_snapshot(tagged.select(*others, "time_stamp", *dates, "batch_id"), cfg.snapshot)
-    append_table(register_batch(registry, cfg.object_name, now, batch_id, names), ref)
+    if not known:
+        row = register_batch(registry, cfg.object_name, now, batch_id, names)
+        append_table(row, _registry_ref(cfg))
     return batch_id
 
 

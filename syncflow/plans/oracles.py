@@ -313,17 +313,9 @@ ORACLES: dict[str, str] = {
                cast(batch_id as bigint) as batch_id
         from (select * from first_run union all select * from second_run)""",
     "stream_inbound": f"""
-        with r as ({_RECORDS}),
-        first_run as (select *, 1 as batch_id from r where ts <= timestamp '2024-01-10'),
-        mark as (select coalesce(max(greatest(LastModifiedDate, CreatedDate)),
-                                 timestamp '1970-01-01') as m from first_run),
-        second_run as (
-            select r.*, 2 as batch_id from r, mark
-            where r.ts > timestamp '2024-01-10'
-              and (r.CreatedDate > m or r.LastModifiedDate > m))
         select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,
-               cast(batch_id as bigint) as batch_id
-        from (select * from first_run union all select * from second_run)""",
+               cast(case when ts <= timestamp '2024-01-10' then 1 else 2 end as bigint) as batch_id
+        from ({_RECORDS})""",
     "run_inbound_audit": f"""
         {_INBOUND},
         runs as (

@@ -674,7 +674,7 @@ def stream_snapshots(spark, d):
         ).awaitTermination()
 
     _in_two_parts(spark, d, landing, run)
-    rows = read_table(spark, ref).drop("time_stamp")
+    rows = read_table(spark, ref).drop("time_stamp", "stream_id")
     return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 

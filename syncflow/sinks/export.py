@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from syncflow.sources.tables import TableRef, append_table
@@ -26,7 +28,7 @@ def export_batches(df: DataFrame, path: str, size: int = BATCH_SIZE) -> None:
     df.write.options(**CSV_OPTIONS).option("maxRecordsPerFile", size).csv(path)
 
 
-def append_snapshot(df: DataFrame, ref: TableRef, batch_col: str = "batch_id") -> None:
+def append_snapshot(df: DataFrame, ref: TableRef, partition: Sequence[str] = ("batch_id",)) -> None:
     """Append one tagged batch.
 
     In a file table the batch is a partition of its own and is replaced as a
@@ -41,6 +43,6 @@ def append_snapshot(df: DataFrame, ref: TableRef, batch_col: str = "batch_id") -
         .options(**ref.options)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
-        .partitionBy(batch_col)
+        .partitionBy(*partition)
         .save(ref.path)
     )

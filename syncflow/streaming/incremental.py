@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from syncflow.operators.audit import tag_snapshot
+from syncflow.operators.audit import next_batch_id, tag_snapshot
 from syncflow.plans.config import InboundConfig
-from syncflow.plans.jobs import sync_records
+from syncflow.plans.jobs import read_registry, sync_records
 from syncflow.sinks.export import append_snapshot
 from syncflow.sinks.keyed_table import KeyedTable
+from syncflow.sources import files
 from syncflow.sources.records import object_schema
 from syncflow.sources.tables import TableRef
 
@@ -43,6 +46,15 @@ def _start(stream: DataFrame, each: Callable, checkpoint: str, every: str | None
     return writer.trigger(**trigger).start()
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when it made this checkpoint.
+
+    Micro-batches are numbered from 0 in every new checkpoint, so a batch number
+    means something only together with this id.
+    """
+    return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
 def stream_incremental(
     stream: DataFrame,
     target: KeyedTable,
@@ -56,14 +68,17 @@ def stream_incremental(
     """Upsert every micro-batch into ``target``.
 
     Spark may run a micro-batch again after a crash. The target remembers the
-    last batch of ``writer``, so the repetition is skipped. ``every`` keeps the
-    stream running (for instance ``CADENCE``); without it the stream takes
+    last batch of this checkpoint, so the repetition is skipped. ``every`` keeps
+    the stream running (for instance ``CADENCE``); without it the stream takes
     what is there and stops.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        target.upsert(rows, order, null_policy, writer=writer, batch=batch_id)
+        stream_id = checkpoint_id(target.spark, checkpoint)
+        target.upsert(
+            rows, order, null_policy, writer=f"{writer}:{stream_id}", batch=batch_id
+        )
 
     return _start(stream, each, checkpoint, every)
 
@@ -75,14 +90,18 @@ def stream_snapshots(
     transform: Transform | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append every micro-batch as a snapshot tagged with its batch id.
+    """Append every micro-batch as a snapshot tagged with stream and batch id.
 
     A repeated micro-batch replaces its own partition.
     """
+    spark = stream.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        append_snapshot(tag_snapshot(rows, batch_id), snapshot)
+        tagged = tag_snapshot(rows, batch_id).withColumn(
+            "stream_id", F.lit(checkpoint_id(spark, checkpoint))
+        )
+        append_snapshot(tagged, snapshot, ["stream_id", "batch_id"])
 
     return _start(stream, each, checkpoint, every)
 
@@ -96,9 +115,11 @@ def stream_inbound(
 ) -> StreamingQuery:
     """The inbound job over new landing files only.
 
-    ``run_inbound`` reads the whole landing folder each time; here the
-    checkpoint remembers the files that were taken. Each micro-batch is one
-    audited run.
+    ``run_inbound`` reads the whole landing folder each time and drops what it
+    took before by date. Here the checkpoint remembers the files, so every
+    active record of a new file is taken, late ones too. Each micro-batch is
+    one audited run. Its batch id is noted next to the checkpoint before
+    anything is written; a repeated micro-batch replaces that batch.
     """
     cfg.validate()
     stream = read_landing(
@@ -109,7 +130,11 @@ def stream_inbound(
         options={"multiLine": str(cfg.multi_line).lower()},
     )
 
-    def each(batch: DataFrame, _batch_id: int) -> None:
-        sync_records(spark, cfg, batch)
+    def each(batch: DataFrame, number: int) -> None:
+        note = f"{checkpoint}/batch_ids/{checkpoint_id(spark, checkpoint)}-{number}"
+        if not files.exists(spark, note):
+            batch_id = next_batch_id(read_registry(spark, cfg), cfg.batch_columns).first()[0]
+            files.publish_text(spark, note, str(batch_id))
+        sync_records(spark, cfg, batch, late=True, batch_id=int(files.read_text(spark, note)))
 
     return _start(stream, each, checkpoint, every)

@@ -40,3 +40,12 @@ def plan_of(df) -> str:
 
 def rows_of(df) -> list[tuple]:
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def forget_last_commit(folder, name="checkpoint"):
+    """As after a crash between the work of a micro-batch and its commit."""
+    commits = os.path.join(folder(name), "commits")
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows_of
+from conftest import forget_last_commit, rows_of
 from syncflow.functions.columns import EPOCH
 from syncflow.operators.audit import AuditColumns, BatchColumns
 from syncflow.operators.reshape import apply_mapping
@@ -306,11 +306,31 @@ def test_objects_have_their_own_watermarks(spark, inbound):
     assert run_inbound(spark, inbound).batch_id == 2
 
 
-def test_inbound_stream_takes_new_files_only(spark, inbound, folder):
-    land(inbound, "1", user("u1", D[1]))
+def test_inbound_stream_takes_new_files_only_and_late_records_too(spark, inbound, folder):
+    land(inbound, "1", user("u1", D[5]))
     stream_inbound(spark, inbound, folder("checkpoint")).awaitTermination()
-    land(inbound, "2", user("u2", D[2]))
+    land(inbound, "2", user("u2", D[2]), user("off", D[2], IsActive=False))
     for _ in range(2):
         stream_inbound(spark, inbound, folder("checkpoint")).awaitTermination()
     assert rows_of(snapshot(spark, inbound)) == [("u1", 1), ("u2", 2)]
-    assert len(audits(spark, inbound)) == 2
+    assert [a[:3] for a in audits(spark, inbound)] == [(1, 1, D[5]), (1, 1, D[5])]
+
+
+def test_inbound_stream_split_over_micro_batches_loses_nothing(spark, inbound, folder):
+    for i in range(3):
+        land(inbound, str(i), user(f"u{i}", D[9 - i]))
+    stream_inbound(spark, inbound, folder("checkpoint"), max_files=1).awaitTermination()
+    assert snapshot(spark, inbound).count() == 3
+    assert snapshot(spark, inbound).select("batch_id").distinct().count() == 3
+
+
+def test_a_repeated_inbound_micro_batch_replaces_its_batch(spark, inbound, folder):
+    land(inbound, "1", user("u1", D[1]))
+    stream_inbound(spark, inbound, folder("checkpoint")).awaitTermination()
+    forget_last_commit(folder)
+    stream_inbound(spark, inbound, folder("checkpoint")).awaitTermination()
+    assert rows_of(snapshot(spark, inbound)) == [("u1", 1)]
+    assert read_table(spark, inbound.registry).count() == 1
+    land(inbound, "2", user("u2", D[2]))
+    stream_inbound(spark, inbound, folder("checkpoint")).awaitTermination()
+    assert rows_of(snapshot(spark, inbound)) == [("u1", 1), ("u2", 2)]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows_of
+from conftest import forget_last_commit, rows_of
 from syncflow.sinks.keyed_table import KeyedTable
 from syncflow.sources.tables import TableRef, read_table
 from syncflow.streaming import incremental
@@ -43,25 +43,43 @@ def test_a_transform_is_applied_to_each_batch(spark, folder, run):
     assert run(transform=lambda rows: rows.withColumn("v", F.upper("v"))) == [(1, 1, "A"), (2, 1, "B")]
 
 
-def test_a_repeated_micro_batch_changes_nothing(spark, folder):
-    """A lost stream checkpoint restarts batch numbers; the target skips them."""
+def test_a_repeated_micro_batch_is_skipped(spark, folder):
     target = KeyedTable(spark, folder("target"), SCHEMA, ["k"], buckets=2)
-    land(spark, folder, [(1, 1, "a")])
-    for checkpoint in ("one", "two"):
+
+    def run(checkpoint):
         stream = incremental.read_landing(spark, folder("landing"), SCHEMA)
         incremental.stream_incremental(
             stream, target, folder(checkpoint), ["at"], writer="w"
         ).awaitTermination()
+
+    land(spark, folder, [(1, 1, "a")])
+    run("checkpoint")
+    forget_last_commit(folder)
+    run("checkpoint")
     assert rows_of(target.read()) == [(1, 1, "a")] and target._versions() == [1]
 
+    # A new checkpoint counts from 0 again, and is not taken for a repetition.
+    land(spark, folder, [(2, 1, "b")])
+    run("new")
+    assert rows_of(target.read()) == [(1, 1, "a"), (2, 1, "b")]
 
-def test_snapshots_carry_their_batch(spark, folder):
+
+def test_snapshots_carry_their_batch_and_are_replaced_when_repeated(spark, folder):
     ref = TableRef(path=folder("snapshot"))
-    for row in [(1, 1, "a")], [(1, 2, "b")]:
-        land(spark, folder, row)
+
+    def run(checkpoint):
         stream = incremental.read_landing(spark, folder("landing"), SCHEMA)
-        incremental.stream_snapshots(stream, ref, folder("checkpoint")).awaitTermination()
-    assert rows_of(read_table(spark, ref).select("v", "batch_id")) == [("a", 0), ("b", 1)]
+        incremental.stream_snapshots(stream, ref, folder(checkpoint)).awaitTermination()
+        return rows_of(read_table(spark, ref).select("v", "batch_id"))
+
+    land(spark, folder, [(1, 1, "a")])
+    run("checkpoint")
+    land(spark, folder, [(1, 2, "b")])
+    assert run("checkpoint") == [("a", 0), ("b", 1)]
+    forget_last_commit(folder)
+    assert run("checkpoint") == [("a", 0), ("b", 1)]
+    # Another stream has partitions of its own.
+    assert run("new") == [("a", 0), ("a", 0), ("b", 0), ("b", 1)]
 
 
 def test_an_interval_keeps_the_stream_running(spark, folder):
