@@ -156,7 +156,7 @@ def nullify_tokens(
     """Turn texts that stand for "no value" into null."""
     names = [column_name(df, c) for c in columns]
     return df.withColumns(
-        {c: F.when(~quoted(c).isin(*tokens), quoted(c)) for c in names}
+        {c: F.when(~quoted(c).cast("string").isin(*tokens), quoted(c)) for c in names}
     )
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,10 +11,10 @@ from pyspark.sql import types as T
 
 from conftest import forget_last_commit, rows_of
 from syncflow.functions.columns import EPOCH
-from syncflow.operators.audit import AuditColumns, BatchColumns
 from syncflow.operators.reshape import apply_mapping
-from syncflow.plans.config import InboundConfig, OutboundConfig
+from syncflow.plans.config import OutboundConfig
 from syncflow.plans.jobs import NO_KEY, run_inbound, run_outbound
+from syncflow.plans.presets import ACCOUNT_AUDIT, USER_AUDIT, account_sync, user_sync
 from syncflow.plans.standard_mappings import ACCOUNT_MAPPING, USER_MAPPING, parse_mapping
 from syncflow.sinks.keyed_table import KeyedTable
 from syncflow.sources.tables import TableRef, read_table
@@ -49,16 +50,12 @@ def outbound(spark, folder):
     target = KeyedTable(
         spark, folder("target"), apply_mapping(empty, MAPPING).schema, ["Patient_BK__c"], buckets=4
     )
-    return OutboundConfig(
-        source=TableRef(path=folder("source")),
-        audit=TableRef(path=folder("audit")),
-        failure_log=TableRef(path=folder("failures")),
-        mapping=MAPPING,
-        key="patient_bk",
-        created="created_on_date",
-        updated="updated_on_date",
+    return account_sync(
+        TableRef(path=folder("source")),
+        TableRef(path=folder("audit")),
+        TableRef(path=folder("failures")),
         target=target,
-        mask={"VBC_Program_Name": "ENROLLMENT_end_date"},
+        audit_columns=replace(ACCOUNT_AUDIT, failed_count="failed"),
     )
 
 
@@ -169,6 +166,29 @@ def test_created_only_rule_and_override(spark, outbound):
     assert (result.count, result.watermark) == (1, D[1])
 
 
+def test_inclusive_runs_lose_no_row_that_arrives_at_the_mark(spark, outbound):
+    outbound.strict = False
+    add(spark, outbound.source, patient("a", D[1]))
+    run_outbound(spark, outbound)
+    add(spark, outbound.source, patient("late", D[1]))
+    assert run_outbound(spark, outbound).count == 2
+    assert programs(outbound) == {"a": "Program", "late": "Program"}
+
+
+def test_presets(folder):
+    ref = TableRef(path=folder("t"))
+    legacy = account_sync(ref, ref, ref, legacy=True, export_path=folder("out"))
+    legacy.validate()
+    assert (legacy.rule, legacy.on_failure, legacy.target_key) == ("created_only", "advance", "Patient_BK__c")
+    assert legacy.audit_columns.schema().names == [
+        "execution_start_time", "execution_end_time", "is_success", "Patients_Processed_Count", "created_on_date",
+    ]
+    users = user_sync(folder("l"), ref, ref, ref, legacy=True, zone="America/New_York")
+    users.validate()
+    assert (users.rule, users.datetime_as_string, users.zone) == ("day_gap", True, "America/New_York")
+    assert user_sync("", ref, ref, ref, rule="day_gap").datetime_as_string is False
+
+
 def test_every_required_setting_is_checked(outbound):
     outbound.validate()
     for name in OutboundConfig.REQUIRED:
@@ -205,20 +225,12 @@ def land(cfg, name, *records):
 
 @pytest.fixture
 def inbound(folder):
-    return InboundConfig(
-        landing=folder("landing"),
-        snapshot=TableRef(path=folder("snapshot")),
-        registry=TableRef(path=folder("registry")),
-        audit=TableRef(path=folder("audit")),
-        mapping=parse_mapping(USER_MAPPING),
-        object_name="User",
-        created="CreatedDate",
-        updated="LastModifiedDate",
-        epoch_columns=["LastModifiedDate", "CreatedDate", "LastLoginDate"],
-        active="IsActive",
-        read_types={"IsActive": "boolean"},
-        audit_columns=AuditColumns(count="Record_Count", mark="latest_date", failed_count="failed"),
-        batch_columns=BatchColumns("ObjectName", "Created_On_Date", "Is_Merged_To_DW", "batch_id"),
+    return user_sync(
+        folder("landing"),
+        TableRef(path=folder("snapshot")),
+        TableRef(path=folder("registry")),
+        TableRef(path=folder("audit")),
+        audit_columns=replace(USER_AUDIT, failed_count="failed"),
     )
 
 

@@ -148,6 +148,11 @@ def test_tokens_become_null(spark):
     ]
 
 
+def test_tokens_in_columns_of_other_types(spark):
+    rows = spark.createDataFrame([(1,), (None,)], "a int")
+    assert [r[0] for r in reshape.nullify_tokens(rows, ["a"]).collect()] == [1, None]
+
+
 def test_required_and_missing_columns_split_the_rows(spark):
     rows = spark.createDataFrame([("k", 1), ("", 2), (None, 3), ("j", None)], "a string, b int")
     assert rows_of(reshape.require_columns(rows, ["a", "b"])) == [("k", 1)]
