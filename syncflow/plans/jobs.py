@@ -162,7 +162,7 @@ def _deliver(
     mapped = outgoing_rows(delta, cfg)
     keyed = keyed_rows(mapped, [cfg.target_key])
     # A target sees each key once, with its latest row.
-    latest = staging.write(
+    latest, small = staging.write_checked(
         dedup_latest(keyed, [cfg.target_key], [_CHANGED, _CREATED]).drop(_CHANGED), "latest"
     )
     outgoing = latest.drop(_CREATED, _KEY)
@@ -178,7 +178,7 @@ def _deliver(
         export_batches(outgoing, folder, cfg.batch_size)
         if cfg.deliver is not None:
             # The results are asked for once.
-            failed = staging.write(failures(cfg.deliver(folder)), "failed")
+            failed, few = staging.write_checked(failures(cfg.deliver(folder)), "failed")
             matched = align_by_key(failed, latest, cfg.target_key, [_CREATED, _KEY])
             log = log.unionByName(
                 matched.select(
@@ -187,19 +187,23 @@ def _deliver(
                     F.col(_CREATED).alias("created_on_date"),
                 )
             )
-            accepted = _without(outgoing, failed, cfg.target_key)
+            accepted = _without(outgoing, failed, cfg.target_key, few)
+            if not few:  # a join by shuffle should not be repeated by the upsert
+                accepted, small = staging.write_checked(accepted, "accepted")
     log = staging.write(log, "failures")
     failed_count = log.count()
     if cfg.target is not None:
-        cfg.target.upsert(accepted, null_policy=cfg.null_policy, unique=True)
+        cfg.target.upsert(accepted, null_policy=cfg.null_policy, unique=True, small=small)
     if failed_count:
         append_table(log, cfg.failure_log)
     return failed_count
 
 
-def _without(outgoing: DataFrame, failed: DataFrame, key: str) -> DataFrame:
+def _without(outgoing: DataFrame, failed: DataFrame, key: str, few: bool) -> DataFrame:
     """The rows whose key did not fail."""
     refused = failed.select(quoted(key).cast("string").alias("_refused")).distinct()
+    if few:
+        refused = F.broadcast(refused)
     return outgoing.join(
         refused, quoted(key).cast("string") == F.col("_refused"), "left_anti"
     )

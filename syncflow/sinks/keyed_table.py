@@ -98,11 +98,14 @@ class KeyedTable:
         writer: str | None = None,
         batch: int | None = None,
         unique: bool = False,
+        small: bool | None = None,
         compact: bool = False,
     ) -> bool:
         """Merge ``source`` in; the newest row by ``order`` wins within the source.
 
-        ``unique`` promises one row per key. ``compact`` rewrites the touched
+        ``unique`` promises one row per key. The source is written once and
+        measured, unless ``small`` says that it is read from a written table
+        and whether its rows may be broadcast. ``compact`` rewrites the touched
         buckets into well-sized files.
 
         A ``batch`` that ``writer`` has committed before is skipped, which makes
@@ -121,8 +124,9 @@ class KeyedTable:
             if not unique:
                 ordered_by = [c for c in order if c not in self.keys]
                 incoming = dedup_latest(incoming, self.keys, ordered_by)
-            incoming = incoming.select(*[quoted(f.name) for f in carried])
-            incoming, small = staging.write_checked(self._with_bucket(incoming), "incoming")
+            incoming = self._with_bucket(incoming.select(*[quoted(f.name) for f in carried]))
+            if small is None:
+                incoming, small = staging.write_checked(incoming, "incoming")
             # At most ``buckets`` numbers come to the driver.
             touched = [r[0] for r in incoming.select(_BUCKET).distinct().collect()]
             if touched:

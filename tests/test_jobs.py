@@ -136,7 +136,9 @@ def test_a_mapping_error_is_audited(spark, outbound):
     assert audits(spark, outbound) == [(0, 0, EPOCH, 0)]
 
 
-def test_delivery_results_are_matched_to_their_rows(spark, outbound, folder):
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_delivery_results_are_matched_to_their_rows(spark, outbound, folder, monkeypatch, limit):
+    monkeypatch.setattr("syncflow.staging.SMALL_ON_DISK", limit)
     outbound.export_path = folder("batches")
     add(spark, outbound.source, patient("a", D[1]), patient("b", D[2]), patient("c", D[3]))
 
