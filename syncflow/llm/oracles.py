@@ -3,11 +3,68 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op7_source_schedule": """
+        with d as (
+            select row_number() over () as r, doc_id, source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size,
+                   md5(coalesce(doc_id::varchar, '') || '|' || md5(coalesce(text, ''))) as place
+            from documents),
+        s0 as (select source, sum(size)::bigint as source_size from d group by source),
+        s1 as (
+            select *, [3, 1, 2][((row_number() over o - 1) % 3 + 1)::int]::bigint as weight,
+                   row_number() over o - 1 as no
+            from s0 window o as (order by source nulls last)),
+        s2 as (
+            select *, (sum(source_size) over ())::bigint as all_size, 2 * source_size as lim,
+                   coalesce(sum(2 * source_size) over (o rows between unbounded preceding
+                       and 1 preceding), 0)::bigint as full_before,
+                   (sum(weight) over (o rows between current row and unbounded following))::bigint
+                       as weight_left
+            from s1 window o as (order by 2 * source_size / weight::double, no)),
+        s3 as (select *, lim * weight_left <= (all_size * 1.5::double - full_before) * weight as capped
+               from s2),
+        s4 as (select *, coalesce(sum(case when capped then lim end) over (), 0)::bigint as full_size,
+                      (sum(case when not capped then weight end) over ())::bigint as weight_rest
+               from s3),
+        s5 as (
+            select *, case when capped then lim::double
+                      else (all_size * 1.5::double - full_size) * weight / weight_rest end as target,
+                   coalesce(sum(case when capped then lim end) over w, 0)::double as int_to,
+                   coalesce(sum(case when not capped then weight end) over w, 0)::bigint as w_to
+            from s4 window w as (order by no rows between unbounded preceding and current row)),
+        s6 as (
+            select *, int_to + coalesce((all_size * 1.5::double - full_size) * w_to / weight_rest, 0)
+                       as target_to,
+                   (int_to - case when capped then lim else 0 end)
+                       + coalesce((all_size * 1.5::double - full_size)
+                           * (w_to - case when capped then 0 else weight end) / weight_rest, 0)
+                       as target_from
+            from s5),
+        s7 as (
+            select *, max(target_to) over () as total,
+                   power(2, ceil(log2(greatest((max(target_to) over ()) / 128.0::double,
+                       least(max(target_to) over (), 65536.0::double), 1.0)))) as slots
+            from s6),
+        s8 as (
+            select source, no, source_size, target,
+                   floor(greatest(least(ceil(slots * target_to / total), slots)
+                       - ceil(slots * target_from / total), 0) * (total / slots))::bigint as reach
+            from s7),
+        p as (
+            select d.r, d.doc_id, d.size, s.source_size, s.target, s.reach,
+                   (sum(d.size) over (partition by s.no order by d.place, d.size, d.doc_id, d.r))::bigint
+                       - d.size as start
+            from d join s8 s on d.source is not distinct from s.source)
+        select doc_id, size, source_size, target,
+               (greatest(0, least(start + size, reach) - start)
+                + greatest(0, least(source_size + start + size, reach) - source_size - start))::bigint
+                   as taken
+        from p""",
     "op9_warc_segments": """
         with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
         g as (select payload, max(page_id) as first_id from p group by payload)
         select p.page_id, octet_length(p.payload)::bigint as payload_bytes, 
-               list_aggregate(list_transform(range(32), i -> substr(
+               list_aggregate(list_transform(range(32), lambda i: substr(
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                    1 + ((('0x' || substr(sha1(p.payload), 5 * (i // 4) + 1, 5))::bigint
                          >> (15 - 5 * (i % 4))) & 31)::int, 1)), 'string_agg', '')

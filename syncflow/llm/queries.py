@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from syncflow.llm import line_runs, ppm, warc
+from syncflow.llm import golay, line_runs, ppm, schedule, warc
 from syncflow.staging import Staging
 
 
@@ -28,6 +28,20 @@ def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return schedule.tokens_taken(schedule.mix_sources(docs)).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
+def op8_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return golay.near_duplicates(docs).select(
+        "doc_id", golay.hex_print(F.col("print")).alias("fingerprint"), "component_id"
+    )
+
+
 def op9_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Staging(spark, "warc").folder("archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -45,6 +59,8 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
+    "op7_source_schedule": op7_source_schedule,
+    "op8_golay_simhash": op8_golay_simhash,
     "op9_warc_segments": op9_warc_segments,
     "op10_line_runs": op10_line_runs,
 }
