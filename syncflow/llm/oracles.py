@@ -3,6 +3,23 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op3_pivot_search": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding,
+                      lambda x: x is null or not isfinite(x::double))) = 0),
+        scored as (
+            select q.vec_id as query_id, c.vec_id as vec_id,
+                   coalesce(list_inner_product(q.v, c.v), 0)::bigint as score
+            from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+            where q.vec_id % 50 = 0),
+        ranked as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id)::int
+                as rank
+            from scored)
+        select query_id, rank, vec_id, score from ranked where rank <= 5""",
     "op7_source_schedule": """
         with d as (
             select row_number() over () as r, doc_id, source,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from syncflow.llm import golay, line_runs, ppm, schedule, warc
+from syncflow.llm import golay, line_runs, pivot_index, ppm, risk_rules, schedule, warc
 from syncflow.staging import Staging
 
 
@@ -28,6 +28,28 @@ def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return pivot_index.top_k(vectors, F.col("vec_id") % 50 == 0).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score"
+    )
+
+
+def op4_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return risk_rules.judge(docs, labels).documents.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op7_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return schedule.tokens_taken(schedule.mix_sources(docs)).select(
@@ -59,6 +81,8 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
+    "op3_pivot_search": op3_pivot_search,
+    "op4_risk_rules": op4_risk_rules,
     "op7_source_schedule": op7_source_schedule,
     "op8_golay_simhash": op8_golay_simhash,
     "op9_warc_segments": op9_warc_segments,
