@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from syncflow.llm import golay, line_runs, pivot_index, ppm, risk_rules, schedule, warc
+from syncflow.llm import (
+    disclosure,
+    golay,
+    line_runs,
+    pivot_index,
+    ppm,
+    risk_rules,
+    schedule,
+    warc,
+)
 from syncflow.staging import Staging
 
 
@@ -50,6 +59,16 @@ def op4_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return disclosure.sanitise(docs, keep_text=False).select(
+        "doc_id",
+        *[disclosure.kind_count(k).alias(f"n_{k}") for k in disclosure.KINDS],
+        F.sha2(disclosure.span_list(False), 256).alias("base_sha256"),
+        disclosure.span_list(True).alias("spans"),
+    )
+
+
 def op7_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return schedule.tokens_taken(schedule.mix_sources(docs)).select(
@@ -83,6 +102,7 @@ QUERIES = {
     "op1_ppm_language": op1_ppm_language,
     "op3_pivot_search": op3_pivot_search,
     "op4_risk_rules": op4_risk_rules,
+    "op6_disclosure": op6_disclosure,
     "op7_source_schedule": op7_source_schedule,
     "op8_golay_simhash": op8_golay_simhash,
     "op9_warc_segments": op9_warc_segments,
