@@ -29,7 +29,8 @@ long texts are sampled whole; a word's lattice is linear in its length.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,9 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Shift of the ranks in the weights, as in the Zipf-Mandelbrot law.
 RANK_SHIFT = 2.7
+_NONE = np.iinfo(np.int32).min
 #: Characters that are sampled together.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 21
 
 
 @dataclass
@@ -55,6 +57,7 @@ class Vocabulary:
     moves: np.ndarray
     targets: np.ndarray
     piece_of: np.ndarray
+    longest: int
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -110,6 +113,7 @@ class Vocabulary:
             moves[order],
             np.array(list(states.values()), np.int64)[order],
             np.array(piece_of, np.int64),
+            max(len(names[i]) for i in usable),
         )
 
     def decode(self, ids) -> str:
@@ -123,7 +127,7 @@ class Vocabulary:
 
 @dataclass
 class Lattice:
-    """Edges of many words, by source node; most likely first within a node.
+    """Edges of many words, by source node; the longest piece first within a node.
 
     A word of n characters has n + 1 nodes. ``piece`` is a piece id, or -1 less a
     code point that is spelled in bytes.
@@ -132,6 +136,7 @@ class Lattice:
     start: np.ndarray
     final: np.ndarray
     first: np.ndarray
+    node: np.ndarray
     target: np.ndarray
     piece: np.ndarray
     log_p: np.ndarray
@@ -139,8 +144,32 @@ class Lattice:
     below: np.ndarray
 
 
+#: Words whose lattices are built together.
+BUILD_WORDS = 1 << 14
+
+
 def build_lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
     """The lattices of words, each to be read after a space mark."""
+    parts = [
+        _build_part(words[at : at + BUILD_WORDS], vocabulary)
+        for at in range(0, len(words), BUILD_WORDS)
+    ]
+    nodes = edges = 0
+    for part in parts:
+        for of_nodes in (part.start, part.final, part.node, part.target):
+            of_nodes += nodes
+        part.first += edges
+        nodes += len(part.first) - 1
+        edges += len(part.node)
+    return Lattice(
+        *(
+            np.concatenate([getattr(p, f.name)[:-1] if f.name == "first" else getattr(p, f.name) for p in parts])
+            for f in fields(Lattice)
+        )
+    )
+
+
+def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     joined = "".join([SPACE + w for w in words])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -152,68 +181,66 @@ def build_lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
     inside = np.ones(len(codes), bool)
     inside[ends - lengths] = False
     classes[inside & (codes == ord(SPACE))] = 0
-    # Walk the trie from all characters at once.
+    # Walk the trie from all characters at once; the longest pieces come first.
+    longest = vocabulary.longest
+    pieces = np.full((len(codes), longest), _NONE, np.int32)
     at, state = np.arange(len(codes)), np.zeros(len(codes), np.int64)
-    single = np.zeros(len(codes), bool)
-    sources, spans, pieces = [], [], []
-    step = 0
-    while len(at):
-        moves = state * vocabulary.n_classes + classes[at + step]
+    for step in range(1, longest + 1):
+        here = classes[at + step - 1]
+        moves = state * vocabulary.n_classes + here
         place = np.minimum(np.searchsorted(vocabulary.moves, moves), len(vocabulary.moves) - 1)
-        found = (vocabulary.moves[place] == moves) & (classes[at + step] > 0)
+        found = (vocabulary.moves[place] == moves) & (here > 0)
         at, state = at[found], vocabulary.targets[place[found]]
-        step += 1
         piece = vocabulary.piece_of[state]
         whole = piece >= 0
-        sources.append(at[whole])
-        spans.append(np.full(int(whole.sum()), step))
-        pieces.append(piece[whole])
-        if step == 1:
-            single[at[whole]] = True
+        pieces[at[whole], longest - step] = piece[whole]
         more = left[at] > step
         at, state = at[more], state[more]
-    bare = np.flatnonzero(~single)
-    sources.append(bare)
-    spans.append(np.ones(len(bare), np.int64))
-    pieces.append(-1 - codes[bare])
-    source, span, piece = (np.concatenate(x) for x in (sources, spans, pieces))
-    weight = np.empty(len(piece))
-    own = piece >= 0
-    weight[own] = vocabulary.log_weight[piece[own]]
-    point = -1 - piece[~own]
+    bare = np.flatnonzero(pieces[:, -1] == _NONE)
+    pieces[bare, -1] = -1 - codes[bare]
+    row, column = np.nonzero(pieces != _NONE)
+    piece = pieces[row, column].astype(np.int64)
+    point = -1 - piece
     n_bytes = 1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF)
-    weight[~own] = n_bytes * vocabulary.log_weight[vocabulary.first_byte]
+    spelled = n_bytes * vocabulary.log_weight[vocabulary.first_byte]
+    weight = np.where(piece >= 0, vocabulary.log_weight[np.maximum(piece, 0)], spelled)
+    weights = np.full(pieces.shape, -np.inf)
+    weights[row, column] = weight
 
     # Backward sums, from the ends of all words at once. Node = character + word.
-    node = source + word_of[source]
-    target = node + span
-    order = np.lexsort((node, left[source]))
-    by_left = left[source][order]
+    nodes = np.arange(len(codes)) + word_of
     sums = np.zeros(len(codes) + len(words))
-    cuts = np.r_[np.flatnonzero(np.r_[True, by_left[1:] != by_left[:-1]]), len(order)]
-    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        edges = order[low:high]
-        nodes = node[edges]
-        values = weight[edges] + sums[target[edges]]
-        begin = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
-        top = np.maximum.reduceat(values, begin)
-        count = np.diff(np.r_[begin, len(nodes)])
-        total = np.add.reduceat(np.exp(values - np.repeat(top, count)), begin)
-        sums[nodes[begin]] = top + np.log(total)
+    order = np.argsort(left, kind="stable")
+    cuts = np.searchsorted(left[order], np.arange(1, left.max(initial=0) + 2))
+    for n_left, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True), 1):
+        own, steps = order[low:high], np.arange(min(n_left, longest), 0, -1)
+        values = weights[own, longest - len(steps) :] + sums[nodes[own][:, None] + steps]
+        top = values.max(axis=1)
+        sums[nodes[own]] = top + np.log(np.exp(values - top[:, None]).sum(axis=1))
+    node = nodes[row]
+    target = node + longest - column
     log_p = weight + sums[target] - sums[node]
 
-    order = np.lexsort((piece, -log_p, node))
-    node, target, piece, log_p = node[order], target[order], piece[order], log_p[order]
-    first = np.searchsorted(node, np.arange(len(codes) + len(words) + 1))
+    count = np.bincount(node, minlength=len(sums))
+    first = np.r_[0, np.cumsum(count)]
     running = np.cumsum(np.exp(log_p))
-    before = np.r_[0, running][first[:-1]]
-    below = running - before[node]
-    last = first[1:][np.diff(first) > 0] - 1
+    below = running - np.r_[0, running][first[:-1]][node]
+    last = first[1:][count > 0] - 1
     below[last] = np.inf
-    only = last[np.diff(first)[np.diff(first) > 0] == 1]
-    log_p[only] = 0.0
+    log_p[last[count[count > 0] == 1]] = 0.0
     final = ends + np.arange(len(words))
-    return Lattice(final - lengths, final, first, target, piece, np.minimum(log_p, 0.0), below)
+    # An end has no edges; nothing is drawn there.
+    small = lambda x: x.astype(np.int32)
+    return Lattice(
+        final - lengths,
+        final,
+        first,
+        small(node),
+        small(target),
+        small(piece),
+        np.minimum(log_p, 0.0),
+        below,
+    )
 
 
 # --------------------------------------------------------------------- sampling
@@ -237,7 +264,7 @@ def uniforms(seeds: np.ndarray, *places) -> np.ndarray:
 
 
 def _draw(lattice: Lattice, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """An edge of each node; the likely ones are looked at first."""
+    """An edge of each node; long pieces, mostly the likely ones, are looked at first."""
     edges = lattice.first[nodes]
     todo = np.flatnonzero(u >= lattice.below[edges])
     while len(todo):
@@ -300,20 +327,25 @@ class _OpenSet:
     taken: tuple[int, ...]
 
 
+class _Numbers(dict):
+    """Numbers for words, in order of appearance."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class _Group:
     """The search over the documents of one group."""
 
     def __init__(self, texts: list[str], seeds: np.ndarray, vocabulary: Vocabulary):
-        numbers: dict[str, int] = {}
-        per_text = []
-        for text in texts:
-            words = text.split(" ") if text else []
-            per_text.append([numbers.setdefault(w, len(numbers)) for w in words])
+        numbers = _Numbers()
+        per_text = [list(map(numbers.__getitem__, t.split(" "))) if t else [] for t in texts]
         self.lattice = build_lattice(list(numbers), vocabulary) if numbers else None
         self.vocabulary, self.seeds, self.n = vocabulary, seeds, len(texts)
         lengths = np.array([len(w) for w in per_text], np.int64)
         self.word_begin = np.r_[0, np.cumsum(lengths)]
-        self.types = np.array([w for words in per_text for w in words], np.int64)
+        self.types = np.fromiter(chain.from_iterable(per_text), np.int64, int(lengths.sum()))
         self.doc_of = np.repeat(np.arange(self.n), lengths)
         self.place = np.arange(len(self.types)) - self.word_begin[self.doc_of]
 
@@ -388,24 +420,30 @@ class _Group:
         first_edge, first_word, heads = {}, {}, {}
         since = np.zeros(self.n, np.int64)
         bound = np.full(self.n, -np.inf)
-        for d, best in chosen.items():
+        docs = np.fromiter(chosen, np.int64, len(chosen))
+        steps = np.array([best.at for best in chosen.values()])
+        draws, noise = (
+            uniforms(self.seeds[docs], steps, attempt, use).tolist() for use in (1 << 21, 1 << 22)
+        )
+        for (d, best), draw, u in zip(chosen.items(), draws, noise, strict=True):
             path = paths[best.path]
             at = path.begin[d] + best.at
-            node_edges = self._edges_beside(int(path.edges[at]))
-            rest = node_edges[~np.isin(node_edges, best.taken)]
-            p = np.exp(lattice.log_p[rest])
-            u = uniforms(self.seeds[d : d + 1], best.at, attempt, 1 << 21)[0]
-            pick = int(rest[min(np.searchsorted(np.cumsum(p), u * p.sum(), "right"), len(rest) - 1)])
+            node = lattice.node[path.edges[at]]
+            beside = range(int(lattice.first[node]), int(lattice.first[node + 1]))
+            rest = [e for e in beside if e not in best.taken]
+            p = lattice.log_p[rest]
+            p = np.exp(p - p.max())
+            choice = int(np.searchsorted(np.cumsum(p), draw * p.sum(), "right"))
+            choice = min(choice, len(rest) - 1)
+            pick = rest.pop(choice)
             first_edge[d], first_word[d] = pick, int(path.words[at])
             heads[d] = slice(int(path.begin[d]), int(at))
             since[d], bound[d] = best.at + 1, best.value
             found[d].append((attempt, best.value))
-            left = rest[rest != pick]
-            if len(left):
+            if rest:
                 before = lattice.log_p[path.edges[heads[d]]].sum()
-                mass = np.array([before + np.log(np.exp(lattice.log_p[left]).sum())])
-                u = uniforms(self.seeds[d : d + 1], best.at, attempt, 1 << 22)
-                value = float(_cut_gumbel(mass, np.array([best.value]), u)[0])
+                mass = before + np.logaddexp.reduce(lattice.log_p[rest])
+                value = float(_cut_gumbel(mass, best.value, u))
                 if value > -np.inf:
                     opened[d].append(_OpenSet(value, best.path, best.at, (*best.taken, pick)))
         # The branched words go on behind their new edge, later words start anew.
@@ -433,11 +471,6 @@ class _Group:
         self._siblings(new, attempt, since, bound, opened, k)
         return new
 
-    def _edges_beside(self, edge: int) -> np.ndarray:
-        first = self.lattice.first
-        node = int(np.searchsorted(first, edge, "right")) - 1
-        return np.arange(first[node], first[node + 1])
-
     def _finish(self, d, paths, found, opened):
         threshold = max((s.value for s in opened), default=-np.inf)
         out = []

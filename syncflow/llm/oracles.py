@@ -3,6 +3,39 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op2_quote_links": """
+        with recursive m as (
+            select conv_id, turn, coalesce(text, '') as text,
+                   trim(lower(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))) as words
+            from conversations),
+        said as (select conv_id, turn, min(words) as words from m
+                 where conv_id is not null and turn is not null group by conv_id, turn),
+        original as (
+            select words, min({'conv_id': conv_id, 'turn': turn}) as first
+            from said where words <> '' group by words),
+        linked as (
+            select m.*, b1.words as w1, b2.words as w2,
+                   case when o1.first < {'conv_id': m.conv_id, 'turn': m.turn} then o1.first end as f1,
+                   case when o2.first < {'conv_id': m.conv_id, 'turn': m.turn} then o2.first end as f2
+            from m left join said b1 on b1.conv_id = m.conv_id and b1.turn = m.turn - 1
+                   left join said b2 on b2.conv_id = m.conv_id and b2.turn = m.turn - 2
+                   left join original o1 on o1.words = b1.words
+                   left join original o2 on o2.words = b2.words),
+        thread as (
+            select conv_id, turn, coalesce(f1, f2) as up,
+                   {'conv_id': conv_id, 'turn': turn} as root, 0::bigint as depth
+            from linked where coalesce(f1, f2) is null
+            union all
+            select l.conv_id, l.turn, coalesce(l.f1, l.f2), t.root, t.depth + 1
+            from linked l join thread t
+              on coalesce(l.f1, l.f2) = {'conv_id': t.conv_id, 'turn': t.turn})
+        select l.conv_id, l.turn, t.up.conv_id as parent_conv_id, t.up.turn as parent_turn,
+               t.root.conv_id as root_conv_id, t.root.turn as root_turn, t.depth,
+               (coalesce(l.w1 <> '', false)::int + coalesce(l.w2 <> '', false)::int)::bigint
+                   as n_quoted,
+               ((l.f1 is not null)::int + (l.f2 is not null)::int)::bigint as n_linked,
+               sha256(l.text) as own_sha256
+        from linked l join thread t on t.conv_id = l.conv_id and t.turn = l.turn""",
     "op3_pivot_search": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from syncflow.llm import (
     disclosure,
     golay,
+    gumbel_pieces,
     line_runs,
     pivot_index,
     ppm,
+    quotes,
     risk_rules,
     schedule,
     warc,
@@ -37,6 +39,23 @@ def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    linked = quotes.link_quotes(quotes.as_mailbox(turns), ["conv_id", "turn"])
+    return linked.select(
+        "id.conv_id",
+        "id.turn",
+        F.col("parent.conv_id").alias("parent_conv_id"),
+        F.col("parent.turn").alias("parent_turn"),
+        F.col("root.conv_id").alias("root_conv_id"),
+        F.col("root.turn").alias("root_turn"),
+        "depth",
+        "n_quoted",
+        "n_linked",
+        F.sha2("own_text", 256).alias("own_sha256"),
+    )
+
+
 def op3_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return pivot_index.top_k(vectors, F.col("vec_id") % 50 == 0).select(
@@ -59,6 +78,31 @@ def op4_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A public sentence piece vocabulary; only the driver reads it.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op5_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "text",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"),
+    )
+    vocabulary = gumbel_pieces.Vocabulary.load(VOCABULARY)
+    sampled = gumbel_pieces.sample_segmentations(docs, vocabulary, F.col("doc_id").cast("string"))
+    decoded = gumbel_pieces.decode_ids(F.col("ids"), vocabulary, spark)
+    return sampled.select(
+        "row.doc_id",
+        "rank",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "log_prob",
+        "perturbed",
+        "inclusion",
+        (F.sha2(decoded, 256) == F.col("row.sha256")).alias("round_trip"),
+    )
+
+
 def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return disclosure.sanitise(docs, keep_text=False).select(
@@ -100,8 +144,10 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
+    "op2_quote_links": op2_quote_links,
     "op3_pivot_search": op3_pivot_search,
     "op4_risk_rules": op4_risk_rules,
+    "op5_gumbel_pieces": op5_gumbel_pieces,
     "op6_disclosure": op6_disclosure,
     "op7_source_schedule": op7_source_schedule,
     "op8_golay_simhash": op8_golay_simhash,
