@@ -167,7 +167,9 @@ def dedup_lines(
     hit = F.col("lost").isNotNull()
     joined = rows.join(
         lost.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("lost_id")), "left"
-    ).withColumn("left_over", dropped(F.when(hit, F.col("text")), F.col("lost")))
+    ).withColumn(
+        "left_over", dropped(F.when(hit, F.coalesce("text", F.lit(""))), F.col("lost"))
+    )
     before = F.size(lines_of(F.col("text")))
     after = F.when(F.col("left_over").isNull(), 0).otherwise(F.size(lines_of(F.col("left_over"))))
     return joined.select(

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from syncflow.llm import ppm
+
+TEXTS = {
+    "aa": ["the cat sat on the mat and the dog ran to the man", "a man and a cat ran on the mat"],
+    "bb": ["der hund und die katze sind im haus und im garten", "die katze und der mann im haus"],
+}
+
+
+def model_of(texts=TEXTS, min_context=2):
+    trees = []
+    for name in sorted(texts):
+        parts = [ppm.windows(np.frombuffer(t.encode(), np.uint8)) for t in texts[name]]
+        grams, n = np.unique(np.concatenate(parts), return_counts=True)
+        trees.append(ppm.ContextTree(grams, n, min_context))
+    return ppm.LanguageModel(sorted(texts), trees)
+
+
+def brute_bits(texts, data: bytes, min_context=2):
+    """Code length by the definition, from counts of whole strings."""
+    counts: dict[bytes, dict[int, int]] = {}
+    for t in texts:
+        padded = b"\0" * ppm.ORDER + t.encode()
+        for i in range(ppm.ORDER, len(padded)):
+            for k in range(ppm.ORDER + 1):
+                own = counts.setdefault(padded[i - k : i], {})
+                own[padded[i]] = own.get(padded[i], 0) + 1
+    padded, bits = b"\0" * ppm.ORDER + data, 0.0
+    for i in range(ppm.ORDER, len(padded)):
+        ruled: set[int] = set()
+        for k in range(ppm.ORDER, -1, -1):
+            own = counts.get(padded[i - k : i], {})
+            if k and sum(own.values()) < min_context:
+                continue
+            left = {b: n for b, n in own.items() if b not in ruled}
+            if not left:
+                continue
+            total, distinct = sum(left.values()), len(left)
+            if padded[i] in left:
+                bits += math.log2((total + distinct) / left[padded[i]])
+                break
+            bits += math.log2((total + distinct) / distinct)
+            ruled |= set(own)
+        else:
+            bits += math.log2(256 - len(counts[b""]))
+    return bits
+
+
+@pytest.mark.parametrize("text", ["the cat", "die katze xyz", "\0\xff?", "m", "und the und"])
+def test_code_lengths(text):
+    model = model_of()
+    got = model.bits([text.encode()])[0]
+    for bits, name in zip(got, model.languages, strict=True):
+        assert bits == pytest.approx(brute_bits(TEXTS[name], text.encode()), rel=1e-5)
+
+
+@pytest.mark.parametrize("context", [b"the", b"xyz", b"\0\0\0", b" ka", b"zze"])
+def test_probabilities_sum_to_one(context):
+    keys = np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)], np.uint32)
+    for tree in model_of().trees:
+        assert np.exp2(-tree.code_lengths(keys)).sum() == pytest.approx(1)
+
+
+def test_long_texts_are_scored_whole(monkeypatch):
+    model, data = model_of(), ("the hund und cat " * 50).encode()
+    whole = model.bits([data])
+    monkeypatch.setattr(ppm, "BLOCK", 64)
+    assert model.bits([data]) == pytest.approx(whole)
+    assert model.bits([b"x", data, b"", b"y"])[1] == pytest.approx(whole[0])
+
+
+def test_predict_edge_cases():
+    model = model_of()
+    names, scores = model.predict([None, "", "12 !?", "the man", "der mann und"])
+    assert names == ["und", "und", "und", "aa", "bb"]
+    assert list(scores[:3]) == [0, 0, 0] and all(0 < s <= 1 for s in scores[3:])
+    assert ppm.LanguageModel([], []).predict(["the"])[0] == ["und"]
+
+
+def test_train_and_identify(spark):
+    rows = [(i, t, name) for name in TEXTS for i, t in enumerate(TEXTS[name] * 3)]
+    rows += [(None, None, "aa"), (9, "the", None), (9, "the", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string")
+    model = ppm.train(docs, lang_col="lang_pred")
+    assert model.languages == ["aa", "bb"]
+    found = ppm.identify(docs, model).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if r["row"]["text"] is None:
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+        elif r["row"]["lang_pred"]:
+            assert r["lang_pred"] == r["row"]["lang_pred"]
+
+
+def test_sample_is_bounded(spark):
+    rows = [(i, "the cat" if i % 2 else "der hund", "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = ppm.train(docs, train_docs=10)
+    tree = model.trees[0]
+    assert tree.followers[0].columns[0].sum() == 10 * len("der hund")
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert ppm.identify(docs, ppm.train(docs)).collect() == []
