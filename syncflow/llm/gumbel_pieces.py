@@ -223,8 +223,10 @@ def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
 
     count = np.bincount(node, minlength=len(sums))
     first = np.r_[0, np.cumsum(count)]
-    running = np.cumsum(np.exp(log_p))
-    below = running - np.r_[0, running][first[:-1]][node]
+    # Sums within a node only: the same in any batch, to the last bit.
+    weights.fill(0.0)
+    weights[row, column] = np.exp(log_p)
+    below = np.cumsum(weights, axis=1)[row, column]
     last = first[1:][count > 0] - 1
     below[last] = np.inf
     log_p[last[count[count > 0] == 1]] = 0.0
@@ -389,9 +391,8 @@ class _Group:
     def _log_prefix(self, path: _Paths) -> np.ndarray:
         """Log-probability of what comes before each step, within its document."""
         log_p = self.lattice.log_p[path.edges]
-        total = np.cumsum(log_p) - log_p
-        first = np.minimum(path.begin[:-1], max(len(total) - 1, 0))
-        return total - np.repeat(total[first] if len(total) else 0, np.diff(path.begin))
+        each = np.split(log_p, path.begin[1:-1])
+        return np.concatenate([np.cumsum(own) - own for own in each])
 
     def _siblings(self, path, number, since, bound, opened, k) -> None:
         """Open the sets beside a path, from step ``since`` of each document on."""
