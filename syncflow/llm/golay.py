@@ -189,6 +189,9 @@ def primary(keys: np.ndarray, prints: np.ndarray) -> np.ndarray:
 
 #: Keys with more members than this get a spanning search each.
 SMALL_RUN = 16
+#: Keys of a fingerprint, on average, and keys that a task should hold at most.
+MEAN_KEYS = 120
+PARTITION_KEYS = 4_000_000
 #: Rows that are looked at together.
 ROWS = 1 << 18
 
@@ -231,7 +234,7 @@ def links_of_run(
     some = np.repeat(lengths > 1, lengths)
     keys, prints = keys[some], prints[some]
     lengths = lengths[lengths > 1]
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
+    starts = np.cumsum(lengths) - lengths
     leads = primary(keys, prints)
     left, right = [], []
     small = np.repeat(lengths <= SMALL_RUN, lengths)
@@ -307,9 +310,13 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits must be 0 to {MAX_BITS}")
+    n_keys = prints.count() * MEAN_KEYS
+    usual = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = max(usual, -(-n_keys // PARTITION_KEYS))
     return (
-        prints.mapInArrow(_file, "key long, print long")
-        .repartition("key")
+        prints.repartition(n_parts, "print")
+        .mapInArrow(_file, "key long, print long")
+        .repartition(n_parts, "key")
         .sortWithinPartitions("key")
         .mapInArrow(lambda b: _link(b, max_bits), "a long, b long")
         .distinct()
@@ -324,14 +331,17 @@ def near_duplicates(
     words_each: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """``doc_id, print`` (signed long) and ``component_id`` for every row.
+    """``doc_id, text_hash, print, root`` and ``component_id`` for every row.
 
-    ``component_id`` is the smallest id that chains of links reach.
+    ``component_id`` is the smallest id that chains of links reach, ``root`` the
+    smallest fingerprint (both signed longs); ``text_hash`` tells rows of one id apart.
     """
     staging = Staging(docs.sparkSession, "simhash")
     marked = staging.write(
         docs.select(
-            F.col(id_col).alias("doc_id"), simhash(F.col(text_col), words_each).alias("print")
+            F.col(id_col).alias("doc_id"),
+            F.xxhash64(text_col).alias("text_hash"),
+            simhash(F.col(text_col), words_each).alias("print"),
         ),
         "prints",
     )
@@ -345,8 +355,10 @@ def near_duplicates(
     )
     known = staging.write(known, "known")
     named = known.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    labels = staging.write(known.join(named, "root").select("print", "component_id"), "labels")
-    return marked.join(labels, "print").select("doc_id", "print", "component_id")
+    labels = known.join(named, "root").select("print", "root", "component_id")
+    return marked.join(staging.write(labels, "labels"), "print").select(
+        "doc_id", "text_hash", "print", "root", "component_id"
+    )
 
 
 def hex_print(column: Column) -> Column:
