@@ -27,6 +27,51 @@ def failures(results: DataFrame, null_is_failure: bool = True) -> DataFrame:
     return results.where(success != "true")
 
 
+def delivery_verdicts(
+    results: DataFrame, sent: DataFrame, key: str, null_is_failure: bool = True
+) -> DataFrame:
+    """A row per sent key and per result that belongs to none, with its ``verdict``.
+
+    ``sent`` has one row per key and no null keys. ``verdict`` is ``delivered``,
+    ``failed`` (some result of the key did not succeed), ``unanswered`` (no result
+    has the key) or ``unmatched`` (the sent columns are null; ``result_key`` is
+    what the result said). ``error`` is the least error text of the failures.
+    Results are reduced to a row per key before the join.
+    """
+    success = F.col("success").cast("string")
+    failed = ~success.eqNullSafe(F.lit("true")) if null_is_failure else success != "true"
+    said = results.select(
+        quoted(key).cast("string").alias("result_key"),
+        F.coalesce(failed, F.lit(False)).alias("_failed"),
+        F.col("error").cast("string").alias("error"),
+    )
+    reduced = (
+        said.where(F.col("result_key").isNotNull())
+        .groupBy("result_key")
+        .agg(
+            F.max("_failed").alias("_failed"),
+            F.min(F.when(F.col("_failed"), F.col("error"))).alias("error"),
+        )
+    )
+    sent_key = quoted(key).cast("string")
+    joined = sent.join(reduced, sent_key == F.col("result_key"), "full_outer")
+    verdict = (
+        F.when(quoted(key).isNull(), "unmatched")
+        .when(F.col("result_key").isNull(), "unanswered")
+        .when(F.col("_failed"), "failed")
+        .otherwise("delivered")
+    )
+    columns = [quoted(c) for c in sent.columns]
+    matched = joined.select(*columns, verdict.alias("verdict"), "error", "result_key")
+    keyless = said.where(F.col("result_key").isNull()).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in sent.schema.fields],
+        F.lit("unmatched").alias("verdict"),
+        "error",
+        "result_key",
+    )
+    return matched.unionByName(keyless)
+
+
 def align_by_key(
     results: DataFrame,
     sent: DataFrame,
@@ -34,6 +79,7 @@ def align_by_key(
     carry: Sequence[str],
     result_key: str | None = None,
     hot_rows: int = HOT_ROWS,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Join results to the sent rows on the external key.
 
@@ -41,7 +87,17 @@ def align_by_key(
     come from its greatest ``carry`` values. Reducing the sent side to one row
     per key first (with a partial aggregate) keeps a repeated key from pairing
     with itself. Keys are compared as text, which is how results carry them.
+
+    Only sent rows with a key of the results are aggregated. With ``staging`` the
+    result keys are written and measured; if they are few they are broadcast, and
+    the other sent rows are not shuffled.
     """
+    named = quoted(result_key or key).cast("string")
+    asked = results.select(named.alias("_asked")).where("_asked is not null").distinct()
+    if staging is not None:
+        asked, few = staging.write_checked(asked, "asked")
+        asked = F.broadcast(asked) if few else asked
+    sent = sent.join(asked, quoted(key).cast("string") == F.col("_asked"), "left_semi")
     grouped = sent.groupBy(quoted(key).cast("string").alias("_key"))
     if len(carry) == 1:  # a plain maximum needs no sort
         rows = grouped.agg(F.max(quoted(carry[0])).alias(carry[0]))
@@ -51,7 +107,7 @@ def align_by_key(
             "_key", *[F.col("_sent").getField(c).alias(c) for c in carry]
         )
     found = results.withColumn("_key", quoted(result_key or key).cast("string"))
-    return join_one(found, rows, ["_key"], hot_rows=hot_rows).drop("_key")
+    return join_one(found, rows, ["_key"], hot_rows=hot_rows, staging=staging).drop("_key")
 
 
 def align_by_position(
@@ -70,6 +126,8 @@ def align_by_position(
     the wrong rows.
     """
     staging = staging or Staging(results.sparkSession, "aligned")
+    # Counted, checked and numbered: all of one evaluation.
+    results = staging.write(results, "results")
     wanted = list(dict.fromkeys([*order, *carry]))
     if check:
         _require_total_order(results, result_order, "results")
@@ -83,6 +141,17 @@ def align_by_position(
     return left.join(right.select("row_num", *[quoted(c) for c in carry]), "row_num", "inner")
 
 
+def positioned(
+    results: DataFrame, order: Sequence[str], n_sent: int, staging: Staging, name: str
+) -> DataFrame:
+    """Results numbered in their order; as many as were sent, or positions mean nothing."""
+    _require_total_order(results, order, "results")
+    n_results = results.count()
+    if n_results != n_sent:
+        raise ValueError(f"{n_results} results for {n_sent} sent rows")
+    return number_rows(results, order, staging, unique=True, name=name)
+
+
 def _require_total_order(df: DataFrame, order: Sequence[str], what: str) -> None:
     tied = df.groupBy(*[quoted(c) for c in order]).count().where("count > 1")
     if not tied.isEmpty():
@@ -109,7 +178,7 @@ def failure_log(
     """
     if mode == "key":
         failed = failures(results, null_is_failure)
-        joined = align_by_key(failed, sent, key, [created], result_key)
+        joined = align_by_key(failed, sent, key, [created], result_key, staging=staging)
         shown = quoted(result_key or key)
     elif mode == "position":
         bare = results.select(*RESULT_COLUMNS, *[c for c in result_order if c not in RESULT_COLUMNS])

@@ -92,6 +92,28 @@ def apply_mapping(
     return df.select(*projected)
 
 
+def unfit_values(
+    df: DataFrame, maps: Sequence[ColumnMap], overlong: bool = False
+) -> Column:
+    """Targets whose value does not fit its mapped type, comma-joined; null if all fit.
+
+    A value does not fit if a lenient cast would turn it into null, or, with
+    ``overlong``, if it is a text longer than its type allows.
+    """
+    found = []
+    for source, m in zip(check_mapping(df, maps), maps):
+        value, unfit = quoted(source), F.lit(False)
+        if m.spark_type:
+            target = T.DataType.fromDDL(m.spark_type)
+            cast = lenient_cast(value, df.schema[source].dataType, target)
+            unfit = value.isNotNull() & cast.isNull()
+        if overlong and m.max_length is not None:
+            too_long = F.length(value.cast("string")) > m.max_length
+            unfit = unfit | F.coalesce(too_long, F.lit(False))
+        found.append(F.when(unfit, F.lit(m.target)))
+    return F.nullif(F.concat_ws(",", *found), F.lit(""))
+
+
 def overlong_rows(df: DataFrame, maps: Sequence[ColumnMap]) -> DataFrame:
     """Rows with a text longer than its mapped type allows (to reject, not cut)."""
     condition = F.lit(False)

@@ -19,6 +19,10 @@ from syncflow.sources.tables import TableRef
 Deliver = Callable[[str], DataFrame]
 
 
+#: Lenient, raising on malformed values, or leaving the types of the source.
+CASTS = ("try", "strict", None)
+
+
 class _Settings:
     """Shared checks: a required setting may not be empty."""
 
@@ -32,6 +36,8 @@ class _Settings:
             raise ValueError(f"rule must be one of {NEXT_RULES}, not {self.rule!r}")
         if self.on_failure not in ("hold", "advance"):
             raise ValueError(f"on_failure must be 'hold' or 'advance', not {self.on_failure!r}")
+        if self.cast not in CASTS:
+            raise ValueError(f"cast must be one of {CASTS}, not {self.cast!r}")
 
 
 @dataclass
@@ -55,6 +61,11 @@ class OutboundConfig(_Settings):
     override: datetime | str | None = None
     null_policy: str = "overwrite"
     batch_size: int = BATCH_SIZE
+    cast: str | None = "try"  # rows with a value that does not fit are set aside
+    reject_overlong: bool = False  # set texts aside that are longer than mapped
+    match: str = "key"  # how results find their rows: by "key" or by "position"
+    result_order: Sequence[str] = ()  # total order of the results, for "position"
+    sequence: str | None = None  # for "position": column of the exported row number
     object_name: str | None = None
     audit_columns: AuditColumns = AuditColumns()
 
@@ -66,6 +77,10 @@ class OutboundConfig(_Settings):
             raise ValueError("settings must name a target or an export_path")
         if self.deliver is not None and self.export_path is None:
             raise ValueError("deliver needs an export_path")
+        if self.match not in ("key", "position"):
+            raise ValueError(f"match must be 'key' or 'position', not {self.match!r}")
+        if self.match == "position" and self.deliver is not None and not self.result_order:
+            raise ValueError("matching by position needs a result_order")
         if self.key.lower() not in [m.source.lower() for m in self.mapping]:
             raise ValueError(f"the mapping has no line for the key {self.key!r}")
 
@@ -90,6 +105,8 @@ class InboundConfig(_Settings):
     active: str | None = None  # target name of the flag; None takes all rows
     read_types: dict[str, str] = field(default_factory=dict)
     multi_line: bool = False
+    cast: str | None = "try"
+    rejects: TableRef | None = None  # takes records that do not parse; without it they raise
     rule: str = "greatest"
     on_failure: str = "hold"
     strict: bool = True

@@ -8,18 +8,31 @@ between executors and storage. The driver sees the watermark and counts.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from syncflow.functions.columns import datetime_text, is_true, quoted
 from syncflow.operators.audit import audit_row, next_batch_id, register_batch, tag_snapshot
-from syncflow.operators.delta import delta_scan, delta_stats, next_watermark, watermark
+from syncflow.operators.delta import (
+    delta_scan,
+    delta_stats,
+    newer_than,
+    next_watermark,
+    watermark,
+)
 from syncflow.operators.merge import dedup_latest, keyed_rows, unkeyed_rows
-from syncflow.operators.reconcile import align_by_key, failures
-from syncflow.operators.reshape import apply_mapping, epoch_millis_to_datetime, mask_closed
+from syncflow.operators.numbering import number_rows
+from syncflow.operators.reconcile import delivery_verdicts, positioned
+from syncflow.operators.reshape import (
+    apply_mapping,
+    epoch_millis_to_datetime,
+    mask_closed,
+    unfit_values,
+)
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.sinks.export import append_snapshot, export_batches
 from syncflow.sources.records import object_schema, read_json_object
@@ -28,8 +41,21 @@ from syncflow.staging import Staging, sized_shuffles
 
 #: Failure text of rows that cannot be delivered because their key is null.
 NO_KEY = "key is null"
+#: Failure text of rows whose values a cast would clear; the columns follow.
+UNFIT = "values do not fit: "
+#: Failure texts of sent rows without a result, and of results without a sent row.
+NO_RESULT = "no result"
+NO_ROW = "result without a sent row"
 
-_CHANGED, _CREATED, _KEY = "_changed", "_created", "_source_key"
+_CHANGED, _CREATED, _KEY, _UNFIT, _ROW = (
+    "_changed", "_created", "_source_key", "_unfit", "_row_num",
+)
+
+#: Column for the text of records that do not parse, and of those not taken.
+CORRUPT, REJECT = "_corrupt_record", "_reject"
+REJECT_SCHEMA = T.StructType(
+    [T.StructField("object_name", T.StringType()), T.StructField("record", T.StringType())]
+)
 
 
 @dataclass(frozen=True)
@@ -144,13 +170,18 @@ def outgoing_rows(delta: DataFrame, cfg: OutboundConfig) -> DataFrame:
     changed = quoted(cfg.created)
     if cfg.updated:
         changed = F.greatest(changed, quoted(cfg.updated))
+    typed = [m if cfg.cast == "try" else replace(m, dtype=None) for m in cfg.mapping]
+    if cfg.reject_overlong:
+        typed = [t if m.max_length is None else m for t, m in zip(typed, cfg.mapping)]
     return apply_mapping(
         delta,
         cfg.mapping,
+        cast=cfg.cast,
         keep={
             _CHANGED: changed,
             _CREATED: quoted(cfg.created),
             _KEY: quoted(cfg.key).cast("string"),
+            _UNFIT: unfit_values(delta, typed, cfg.reject_overlong),
         },
     )
 
@@ -158,38 +189,69 @@ def outgoing_rows(delta: DataFrame, cfg: OutboundConfig) -> DataFrame:
 def _deliver(
     spark: SparkSession, cfg: OutboundConfig, delta: DataFrame, staging: Staging
 ) -> int:
-    """Deliver the staged delta, log what failed, return how many rows that is."""
+    """Deliver the staged delta, log what was not confirmed, return how many rows that is.
+
+    Rows without a key and rows with a value that does not fit its type are not
+    sent. If the remote side reports results, only rows it confirms reach the
+    target; failed and unanswered rows are logged, and so are results that
+    belong to no sent row.
+    """
     mapped = outgoing_rows(delta, cfg)
     keyed = keyed_rows(mapped, [cfg.target_key])
     # A target sees each key once, with its latest row.
     latest, small = staging.write_checked(
         dedup_latest(keyed, [cfg.target_key], [_CHANGED, _CREATED]).drop(_CHANGED), "latest"
     )
-    outgoing = latest.drop(_CREATED, _KEY)
 
-    log = unkeyed_rows(mapped, [cfg.target_key]).select(
-        F.col(_KEY).alias(cfg.key),
-        F.lit(NO_KEY).alias("error_message"),
-        F.col(_CREATED).alias("created_on_date"),
+    def logged(rows: DataFrame, key: Column, error: Column) -> DataFrame:
+        return rows.select(
+            key.cast("string").alias(cfg.key),
+            error.alias("error_message"),
+            F.col(_CREATED).alias("created_on_date"),
+        )
+
+    no_key = unkeyed_rows(mapped, [cfg.target_key])
+    unfit = latest.where(F.col(_UNFIT).isNotNull())
+    log = logged(no_key, F.col(_KEY), F.lit(NO_KEY)).unionByName(
+        logged(unfit, F.col(_KEY), F.concat(F.lit(UNFIT), F.col(_UNFIT)))
     )
+    sendable = latest.where(F.col(_UNFIT).isNull()).drop(_UNFIT)
+    outgoing = sendable.drop(_CREATED, _KEY)
     accepted = outgoing
     if cfg.export_path is not None:
         folder = f"{cfg.export_path.rstrip('/')}/{staging.path.rsplit('-', 1)[-1]}"
-        export_batches(outgoing, folder, cfg.batch_size)
+        by_position = cfg.match == "position"
+        if by_position:
+            sendable = number_rows(sendable, [cfg.target_key], staging, unique=True, name=_ROW)
+            exported = sendable.drop(_CREATED, _KEY)
+            if cfg.sequence is None:
+                exported = exported.drop(_ROW)
+            else:
+                exported = exported.withColumnRenamed(_ROW, cfg.sequence)
+            export_batches(exported, folder, cfg.batch_size)
+        else:
+            export_batches(outgoing, folder, cfg.batch_size)
         if cfg.deliver is not None:
             # The results are asked for once.
-            failed, few = staging.write_checked(failures(cfg.deliver(folder)), "failed")
-            matched = align_by_key(failed, latest, cfg.target_key, [_CREATED, _KEY])
-            log = log.unionByName(
-                matched.select(
-                    F.col(_KEY).alias(cfg.key),
-                    F.col("error").alias("error_message"),
-                    F.col(_CREATED).alias("created_on_date"),
-                )
+            results = staging.write(cfg.deliver(folder), "results")
+            if by_position:
+                results = positioned(results, cfg.result_order, sendable.count(), staging, _ROW)
+            verdicts, small = staging.write_checked(
+                delivery_verdicts(results, sendable, _ROW if by_position else cfg.target_key),
+                "verdicts",
+            )
+            said = F.col("verdict")
+            error = (
+                F.when(said == "unanswered", F.lit(NO_RESULT))
+                .when(said == "unmatched", F.concat_ws(": ", F.lit(NO_ROW), F.col("error")))
+                .otherwise(F.col("error"))
+            )
+            refused = verdicts.where(said != "delivered")
+            key = F.when(said == "unmatched", F.col("result_key")).otherwise(F.col(_KEY))
+            log = log.unionByName(logged(refused, key, error))
+            accepted = verdicts.where(said == "delivered").select(
+                *[quoted(c) for c in outgoing.columns]
             )
-            accepted = _without(outgoing, failed, cfg.target_key, few)
-            if not few:  # a join by shuffle should not be repeated by the upsert
-                accepted, small = staging.write_checked(accepted, "accepted")
     log = staging.write(log, "failures")
     failed_count = log.count()
     if cfg.target is not None:
@@ -199,16 +261,6 @@ def _deliver(
     return failed_count
 
 
-def _without(outgoing: DataFrame, failed: DataFrame, key: str, few: bool) -> DataFrame:
-    """The rows whose key did not fail."""
-    refused = failed.select(quoted(key).cast("string").alias("_refused")).distinct()
-    if few:
-        refused = F.broadcast(refused)
-    return outgoing.join(
-        refused, quoted(key).cast("string") == F.col("_refused"), "left_anti"
-    )
-
-
 def run_inbound(spark: SparkSession, cfg: InboundConfig) -> RunResult:
     """Append the landed records created or modified since the last run."""
     cfg.validate()
@@ -216,11 +268,20 @@ def run_inbound(spark: SparkSession, cfg: InboundConfig) -> RunResult:
 
 
 def read_landed(spark: SparkSession, cfg: InboundConfig) -> DataFrame:
-    """All landed records, mapped columns only."""
-    schema = object_schema(cfg.mapping, cfg.read_types)
+    """All landed records, mapped columns only, and the text of those that do not parse."""
+    schema = landed_schema(cfg)
     return read_json_object(spark, cfg.landing, schema, cfg.multi_line)
 
 
+def landed_schema(cfg: InboundConfig) -> T.StructType:
+    return T.StructType(
+        [
+            *object_schema(cfg.mapping, cfg.read_types).fields,
+            T.StructField(CORRUPT, T.StringType()),
+        ]
+    )
+
+
 def sync_records(
     spark: SparkSession,
     cfg: InboundConfig,
@@ -232,33 +293,77 @@ def sync_records(
 
     ``late`` also takes records dated before the watermark, for callers that
     know every record is new to them. ``batch_id`` repeats a run under the id
-    it was given before.
+    it was given before. Records that do not parse, or have no date, go to
+    ``cfg.rejects`` and are counted, each text once; without such a table they
+    fail the run.
     """
     audit, reached = _Audit(spark, cfg), None
     try:
         mark = audit.watermark()
         with Staging(spark, "inbound") as staging:
-            delta = staging.write(inbound_delta(records, cfg, None if late else mark), "delta")
+            taken = staging.write(inbound_delta(records, cfg, None if late else mark), "delta")
+            delta = taken.where(F.col(REJECT).isNull()).drop(REJECT)
+            rejected = _reject(spark, cfg, taken.where(F.col(REJECT).isNotNull()), staging)
             count, reached = _measure(delta, cfg, mark)
             if count == 0:
-                return audit.append(RunResult("no_data", 0, mark))
+                return audit.append(RunResult("no_data", 0, mark, rejected))
             batch_id = _append_batch(spark, cfg, delta, batch_id)
-        return audit.append(RunResult("success", count, reached, batch_id=batch_id))
+        return audit.append(RunResult("success", count, reached, rejected, batch_id))
     except Exception:
         audit.failed(reached)
         raise
 
 
 def inbound_delta(records: DataFrame, cfg: InboundConfig, mark: datetime | None) -> DataFrame:
-    """Typed, renamed, active records above the mark; dates are timestamps, moved to the end."""
+    """Typed, renamed, active records above the mark; dates are timestamps, moved to the end.
+
+    Records that cannot be taken have their text in the column ``REJECT``.
+    """
+    text = F.lit(None).cast("string")
+    if CORRUPT in records.columns:
+        text = F.col(CORRUPT)
     shaped = epoch_millis_to_datetime(
-        apply_mapping(records, cfg.mapping), cfg.epoch_columns, move_last=True
+        apply_mapping(records, cfg.mapping, cast=cfg.cast, keep={REJECT: text}),
+        cfg.epoch_columns,
+        move_last=True,
     )
+    taken = F.lit(True)
     if cfg.active is not None:
-        shaped = shaped.where(is_true(quoted(cfg.active)))
-    if mark is None:
-        return shaped
-    return delta_scan(shaped, mark, cfg.created, cfg.updated, cfg.strict)
+        taken = is_true(quoted(cfg.active))
+    # An empty record says nothing; one without a date cannot be placed.
+    values = [quoted(c) for c in shaped.columns if c != REJECT]
+    undated = quoted(cfg.created).isNull() & quoted(cfg.updated).isNull()
+    said = F.coalesce(*[v.cast("string") for v in values]).isNotNull()
+    reject = F.coalesce(F.col(REJECT), F.when(taken & undated & said, F.to_json(F.struct(*values))))
+    shaped = shaped.withColumn(REJECT, reject)
+    if mark is not None:
+        dates = [cfg.created, cfg.updated]
+        taken = taken & F.coalesce(newer_than(shaped, mark, dates, cfg.strict), F.lit(False))
+    return shaped.where(taken | F.col(REJECT).isNotNull())
+
+
+def _reject(
+    spark: SparkSession, cfg: InboundConfig, rows: DataFrame, staging: Staging
+) -> int:
+    """Append rejected records that are new to the reject table; how many those are."""
+    if rows.isEmpty():
+        return 0
+    if cfg.rejects is None:
+        raise ValueError(f"a landed record cannot be taken: {rows.first()[REJECT][:200]!r}")
+    ref = cfg.rejects
+    if ref.path and ref.schema is None:
+        ref = TableRef(ref.format, ref.path, ref.options, REJECT_SCHEMA)
+    known = read_table(spark, ref).where(F.col("object_name") == cfg.object_name).select("record")
+    fresh = staging.write(
+        rows.select(F.col(REJECT).alias("record")).distinct().join(known, "record", "left_anti"),
+        "rejects",
+    )
+    count = fresh.count()
+    if count:
+        append_table(
+            fresh.select(F.lit(cfg.object_name).alias("object_name"), "record"), ref
+        )
+    return count
 
 
 def read_registry(spark: SparkSession, cfg: InboundConfig) -> DataFrame:

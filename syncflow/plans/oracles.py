@@ -93,6 +93,37 @@ _OUTBOUND_FAILURES = f"""
     from ({_SENT}) where rn = 1 and o_totalprice > 400000
 """
 
+# One run: the latest order of each customer is sent; urgent orders have no key.
+_ONCE = """
+    with latest as (
+        select cast(o_custkey as varchar) as id, o_totalprice, o_orderdate, o_orderkey, o_custkey
+        from (select *, row_number() over (
+                  partition by o_custkey
+                  order by o_orderdate desc, cast(o_totalprice as decimal(12,2)) desc,
+                           o_orderkey desc) as rn
+              from orders where o_orderpriority <> '1-URGENT')
+        where rn = 1),
+    unkeyed as (
+        select cast(null as varchar) as id, 'key is null' as error_message, o_orderdate as dated
+        from orders where o_orderpriority = '1-URGENT'),
+"""
+
+
+def _once(log: str, delivered: str, latest: str = "latest") -> str:
+    """Target, log and audit of one run, from the rows logged and the rows delivered."""
+    return f"""{_ONCE}
+    log as (select * from unkeyed union all {log})
+    select 'target' as part, id, cast(null as varchar) as error_message,
+           cast(null as timestamp) as dated, o_orderkey as n
+    from {latest} where {delivered}
+    union all
+    select 'log', id, error_message, dated, null from log
+    union all
+    select 'audit', (select cast(count(*) as varchar) from orders), null,
+           (select max(o_orderdate) from orders), (select count(*) from log)
+    """
+
+
 _RECORDS = """
     select cast(event_id as varchar) as Id, event_type as Kind,
            case when event_type <> 'error' then 'true' else 'false' end as IsActive,
@@ -307,6 +338,53 @@ ORACLES: dict[str, str] = {
         from runs left join failed on failed.run = runs.run
         union all
         select 2, 0, max(o_orderdate), 'orders', 0 from orders""",
+    "run_outbound_unanswered": _once(
+        "select id, 'no result', o_orderdate from latest where o_totalprice > 400000",
+        "o_totalprice <= 400000",
+    ),
+    "run_outbound_unmatched": _once(
+        """select id, 'no result', o_orderdate from latest where o_custkey % 10 < 2
+           union all
+           select 'x' || id, 'result without a sent row', null from latest
+           where o_custkey % 10 = 0
+           union all
+           select null, 'result without a sent row', null from latest where o_custkey % 10 = 1""",
+        "o_custkey % 10 > 1",
+    ),
+    "run_outbound_bad_values": _once(
+        """select id, 'values do not fit: price', o_orderdate from latest
+           where cast(o_totalprice as decimal(12,2)) >= 100000""",
+        "cast(o_totalprice as decimal(12,2)) < 100000",
+    ),
+    "run_outbound_positional": _once(
+        "select id, 'PRICE_LIMIT', o_orderdate from latest where o_totalprice > 400000",
+        "o_totalprice <= 400000",
+    ),
+    "run_outbound_uncast": f"""
+        {_ONCE.rstrip().rstrip(",")}
+        select id as customer_key, cast(o_totalprice as double) as price, o_orderkey as last_order
+        from latest""",
+    "run_inbound_rejects": f"""
+        with kept as (select * from ({_RECORDS}) where Kind <> 'click'),
+        mark as (select max(greatest(LastModifiedDate, CreatedDate)) as m
+                 from kept where ts <= timestamp '2024-01-10'),
+        runs as (
+            select 1 as run, (select count(*) from kept where ts <= timestamp '2024-01-10') as n,
+                   (select count(*) from events
+                    where event_type in ('error', 'click') and ts <= timestamp '2024-01-10') as bad
+            union all
+            select 2, (select count(*) from kept, mark where ts > timestamp '2024-01-10'
+                       and (CreatedDate > m or LastModifiedDate > m)),
+                   (select count(*) from events
+                    where event_type in ('error', 'click') and ts > timestamp '2024-01-10')
+            union all
+            select 3, 0, 0)
+        select 'reject' as part,
+               case when event_type = 'error' then '{{"Id":"' || event_id || '","Kin'
+                    else '{{"Id":"' || event_id || '","CreatedDate":"soon"}}' end as record
+        from events where event_type in ('error', 'click')
+        union all
+        select 'audit', n || '/' || bad from runs""",
     "run_inbound_snapshot": f"""
         {_INBOUND}
         select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,

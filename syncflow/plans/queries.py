@@ -766,6 +766,151 @@ def _outbound_runs(spark, d) -> OutboundConfig:
     return cfg
 
 
+def _one_outbound_run(
+    spark, d, answer: Callable[[DataFrame], DataFrame], **settings
+) -> OutboundConfig:
+    """One run over all orders; ``answer`` makes the results from the rows as sent.
+
+    The key is the customer, absent on urgent orders; the target holds the
+    customers' prices.
+    """
+    staging = Staging(spark, "outbound-once")
+    orders = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")).alias("o_custkey"),
+        "o_totalprice",
+        "o_orderdate",
+    )
+    price = settings.pop("price", "decimal(12,2)")
+    target = T.StructType.fromDDL(f"customer_key string, price {price}, last_order bigint")
+
+    def deliver(folder: str) -> DataFrame:
+        return answer(spark.read.options(**CSV_OPTIONS).csv(folder))
+
+    cfg = OutboundConfig(
+        source=TableRef(path=staging.folder("source")),
+        audit=TableRef(path=staging.folder("audit")),
+        failure_log=TableRef(
+            path=staging.folder("failure_log"),
+            schema=T.StructType.fromDDL(
+                "o_custkey string, error_message string, created_on_date timestamp_ntz"
+            ),
+        ),
+        mapping=[
+            ColumnMap("o_custkey", "customer_key", "varchar(100)"),
+            ColumnMap("o_totalprice", "price", price),
+            ColumnMap("o_orderkey", "last_order", "bigint"),
+        ],
+        key="o_custkey",
+        created="o_orderdate",
+        target=KeyedTable(spark, staging.folder("target"), target, ["customer_key"], buckets=8),
+        export_path=staging.folder("batches"),
+        deliver=deliver,
+        object_name="orders",
+        **settings,
+    )
+    orders.write.parquet(cfg.source.path)
+    run_outbound(spark, cfg)
+    return cfg
+
+
+def _outcome(spark, cfg: OutboundConfig) -> DataFrame:
+    """Rows of the target and of the failure log, and the audited counts, in one table."""
+    target = cfg.target.read().select(
+        F.lit("target").alias("part"),
+        F.col("customer_key").alias("id"),
+        F.lit(None).cast("string").alias("error_message"),
+        F.lit(None).cast("timestamp_ntz").alias("dated"),
+        F.col("last_order").alias("n"),
+    )
+    log = read_table(spark, cfg.failure_log).select(
+        F.lit("log"), "o_custkey", "error_message", "created_on_date", F.lit(None).cast("bigint")
+    )
+    audit = _audit_rows(spark, cfg.audit).select(
+        F.lit("audit"),
+        F.col("record_count").cast("string"),
+        F.lit(None).cast("string"),
+        "watermark",
+        F.col("failed_count").cast("bigint"),
+    )
+    return target.union(log).union(audit)
+
+
+def _all_fine(sent: DataFrame, **columns) -> DataFrame:
+    return results_frame(sent, "last_order", F.lit("true"), F.lit(None), **columns)
+
+
+@query
+def run_outbound_unanswered(spark, d):
+    """The remote side reports only prices up to a limit."""
+
+    def answer(sent: DataFrame) -> DataFrame:
+        fine = F.col("price").cast("double") <= _PRICE_LIMIT
+        return _all_fine(sent.where(fine), customer_key=F.col("customer_key"))
+
+    return _outcome(spark, _one_outbound_run(spark, d, answer))
+
+
+@query
+def run_outbound_unmatched(spark, d):
+    """Some results name a key that was not sent, or none."""
+
+    def answer(sent: DataFrame) -> DataFrame:
+        number = F.col("customer_key").cast("bigint")
+        key = (
+            F.when(number % 10 == 0, F.concat(F.lit("x"), F.col("customer_key")))
+            .when(number % 10 != 1, F.col("customer_key"))
+        )
+        return _all_fine(sent, customer_key=key)
+
+    return _outcome(spark, _one_outbound_run(spark, d, answer))
+
+
+@query
+def run_outbound_bad_values(spark, d):
+    """Prices of 100,000 and more do not fit the mapped type."""
+
+    def answer(sent: DataFrame) -> DataFrame:
+        return _all_fine(sent, customer_key=F.col("customer_key"))
+
+    return _outcome(spark, _one_outbound_run(spark, d, answer, price="decimal(7,2)"))
+
+
+@query
+def run_outbound_positional(spark, d):
+    """Results without a key, in the order of the rows sent."""
+
+    def answer(sent: DataFrame) -> DataFrame:
+        fine = F.col("price").cast("double") <= _PRICE_LIMIT
+        return results_frame(
+            sent,
+            "last_order",
+            F.when(fine, "true").otherwise("false"),
+            F.when(~fine, "PRICE_LIMIT"),
+            place=F.col("seq").cast("bigint"),
+        )
+
+    return _outcome(
+        spark,
+        _one_outbound_run(
+            spark, d, answer, match="position", result_order=["place"], sequence="seq"
+        ),
+    )
+
+
+@query
+def run_outbound_uncast(spark, d):
+    """What is sent if values keep the types of the source."""
+    sent: list[DataFrame] = []
+
+    def answer(rows: DataFrame) -> DataFrame:
+        sent.append(rows)
+        return _all_fine(rows, customer_key=F.col("customer_key"))
+
+    _one_outbound_run(spark, d, answer, cast=None)
+    return sent[0].select("customer_key", F.col("price").cast("double"), F.col("last_order").cast("bigint"))
+
+
 def _audit_rows(spark, ref: TableRef) -> DataFrame:
     """Audit rows without the times of the runs."""
     return read_table(spark, ref).select(
@@ -867,6 +1012,33 @@ def stream_inbound(spark, d):
     return _snapshot_rows(spark, cfg)
 
 
+@query
+def run_inbound_rejects(spark, d):
+    """Errors land as lines that are cut off, clicks with a text as date; each is rejected once."""
+    cfg, older, newer = _inbound(spark, d, Staging(spark, "inbound-rejects"))
+    cfg.rejects = TableRef(path=cfg.landing + "-rejects")
+    for rows in (older, newer):
+        line = F.to_json(F.struct(*[F.col(c) for c in rows.columns]))
+        ident = F.col("Id")
+        landed = (
+            F.when(F.col("Kind__c") == "error", F.concat(F.lit('{"Id":"'), ident, F.lit('","Kin')))
+            .when(
+                F.col("Kind__c") == "click",
+                F.concat(F.lit('{"Id":"'), ident, F.lit('","CreatedDate":"soon"}')),
+            )
+            .otherwise(line)
+        )
+        rows.select(landed.alias("value")).write.mode("append").text(cfg.landing)
+        run_inbound(spark, cfg)
+    run_inbound(spark, cfg)
+    rejected = read_table(spark, cfg.rejects).select(F.lit("reject").alias("part"), "record")
+    audit = read_table(spark, cfg.audit).select(
+        F.lit("audit"),
+        F.concat_ws("/", F.col("record_count").cast("string"), F.col("failed_count").cast("string")),
+    )
+    return rejected.union(audit)
+
+
 @query
 def run_inbound_audit(spark, d):
     return _audit_rows(spark, _inbound_runs(spark, d).audit)

@@ -12,11 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from syncflow.operators.audit import next_batch_id, tag_snapshot
 from syncflow.plans.config import InboundConfig
-from syncflow.plans.jobs import read_registry, sync_records
+from syncflow.plans.jobs import landed_schema, read_registry, sync_records
 from syncflow.sinks.export import append_snapshot
 from syncflow.sinks.keyed_table import KeyedTable
 from syncflow.sources import files
-from syncflow.sources.records import object_schema
 from syncflow.sources.tables import TableRef
 
 #: Fixed value: the cadence of the periodic run.
@@ -125,7 +124,7 @@ def stream_inbound(
     stream = read_landing(
         spark,
         cfg.landing,
-        object_schema(cfg.mapping, cfg.read_types),
+        landed_schema(cfg),
         max_files=max_files,
         options={"multiLine": str(cfg.multi_line).lower()},
     )

@@ -5,8 +5,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from syncflow.operators import reconcile
+from syncflow.operators.reconcile import align_by_key, delivery_verdicts
+from syncflow.staging import Staging
 
 D = [datetime(2022, 1, day) for day in range(1, 8)]
 RESULTS = "id string, success string, error string, key string, seq int"
@@ -86,3 +88,37 @@ def test_unknown_mode(results, sent):
 def test_summary(spark):
     log = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None)], "k string, error_message string")
     assert rows_of(reconcile.failure_summary(log)) == [("x", 2), (None, 1)]
+
+
+def test_few_results_do_not_shuffle_the_sent_rows(spark, folder):
+    staging = Staging(spark, "few")
+    sent = staging.write(spark.range(5000).selectExpr("id as k", "id * 2 as v"), "sent")
+    results = spark.createDataFrame([("7",), ("9",), (None,), ("x",)], "k string")
+    got = align_by_key(results, sent, "k", ["v"], staging=staging)
+    assert rows_of(got.select("k", "v")) == [("7", 14), ("9", 18)]
+    plan = plan_of(got)
+    below_scan = [line for line in plan.split("\n") if "Exchange hashpartitioning(id" in line]
+    assert not below_scan and "BroadcastHashJoin" in plan
+
+
+def test_verdicts(spark):
+    sent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "k long, v string")
+    results = spark.createDataFrame(
+        [("1", "true", None), ("2", "true", None), ("2", "false", "no"), ("2", "false", "bad"),
+         ("4", None, None), ("9", "true", None), (None, "false", "lost")],
+        "k string, success string, error string",
+    )
+    got = delivery_verdicts(results, sent, "k")
+    assert rows_of(got.select("k", "v", "verdict", "error", "result_key")) == sorted(
+        [
+            (1, "a", "delivered", None, "1"),
+            (2, "b", "failed", "bad", "2"),
+            (3, "c", "unanswered", None, None),
+            (4, "d", "failed", None, "4"),
+            (None, None, "unmatched", None, "9"),
+            (None, None, "unmatched", "lost", None),
+        ],
+        key=repr,
+    )
+    plain = delivery_verdicts(results, sent, "k", null_is_failure=False)
+    assert plain.where("k = 4").first()["verdict"] == "delivered"

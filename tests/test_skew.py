@@ -40,13 +40,24 @@ def test_two_key_columns(spark):
 
 
 def test_only_bounded_sides_are_broadcast(spark, tables):
-    """The hot keys and their partners are; neither input is."""
+    """The hot keys and their measured partners are; neither input is."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(join_one(tables[2], tables[3], ["k"]))
+        plain = plan_of(join_one(tables[2], tables[3], ["k"]))
+        split = plan_of(join_one(tables[2], tables[3], ["k"], hot_rows=10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("SortMergeJoin") == 1 and "(_rows" in plan
+    # Without a hot key there is one join; otherwise the hot keys are joined apart.
+    assert plain.count("SortMergeJoin") == 1 and "Broadcast" not in plain
+    assert split.count("SortMergeJoin") == 1 and split.count("BroadcastHashJoin") == 3
+
+
+def test_large_partners_are_salted(spark, tables, monkeypatch):
+    many, one, left, right = tables
+    want = rows_of(join_one(left, right, ["k"], "left", 10))
+    monkeypatch.setattr("syncflow.staging.SMALL_ON_DISK", 0)
+    got = join_one(left, right, ["k"], "left", 10)
+    assert "_salt" in plan_of(got) and rows_of(got) == want
 
 
 def test_operators_give_the_same_with_and_without_hot_keys(spark, tables):
