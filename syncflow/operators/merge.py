@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from syncflow.functions.columns import all_set, quoted
 from syncflow.operators.skew import HOT_ROWS, join_one
@@ -32,15 +33,30 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     so a key that holds a third of the input sends one row per map task.
     """
     taken = [*keys, *order]
-    ties = [c for c in df.columns if c not in taken]
+    ties = [_tie(f) for f in df.schema.fields if f.name not in taken]
     latest = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(
-        *[quoted(c).desc_nulls_last() for c in (*order, *ties)]
+        *[quoted(c).desc_nulls_last() for c in order], *[c.desc_nulls_last() for c in ties]
     )
     return (
         df.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1).drop("_rank")
     )
 
 
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _tie(field: T.StructField) -> Column:
+    """A column to break ties by: what has no order goes by its JSON text."""
+    if _orderable(field.dataType):
+        return quoted(field.name)
+    return F.to_json(F.struct(quoted(field.name)))
+
+
 def matched_keys(
     target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool = False
 ) -> DataFrame:
@@ -79,18 +95,18 @@ def classify_changes(
     )
 
 
-def merge_parts(
+def merge_rows(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     null_policy: str = "overwrite",
     small: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """The two halves of an upsert: the target with new values, and the new rows.
+) -> DataFrame:
+    """The target with the source's values, and the source's new rows.
 
-    ``source`` has one row per key and no null keys. The target is the probe
-    side of both joins. A source whose written size was checked (``small``) is
-    broadcast, and then the target is not shuffled.
+    ``source`` has one row per key and no null keys. A source whose written size
+    was checked (``small``) is broadcast, and the target is not shuffled.
+    Otherwise one full outer join reads each side once.
     """
     if null_policy not in NULL_POLICIES:
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}, not {null_policy!r}")
@@ -104,27 +120,28 @@ def merge_parts(
         *[quoted(c).alias(f"_new_{c}") for c in carried],
         F.lit(True).alias("_hit"),
     )
-    if small:
-        arriving = F.broadcast(arriving)
     types = {f.name: f.dataType for f in target.schema.fields}
 
     def merged(name: str) -> Column:
         if name not in carried:
-            return quoted(name)
+            return quoted(name).cast(types[name]).alias(name)
         fresh = quoted(f"_new_{name}").cast(types[name])
         if null_policy == "keep":
             return F.coalesce(fresh, quoted(name)).alias(name)
         return F.when(F.col("_hit"), fresh).otherwise(quoted(name)).alias(name)
 
-    def added(name: str) -> Column:
-        value = quoted(name) if name in source.columns else F.lit(None)
-        return value.cast(types[name]).alias(name)
-
-    changed = target.join(arriving, list(keys), "left").select(*[merged(c) for c in target.columns])
-    fresh_rows = source.join(
-        matched_keys(target, source, keys, small), list(keys), "left_anti"
+    columns = [merged(c) for c in target.columns]
+    if not small:
+        return target.join(arriving, list(keys), "full_outer").select(*columns)
+    changed = target.join(F.broadcast(arriving), list(keys), "left").select(*columns)
+    known = matched_keys(target, source, keys, small=True)
+    added = source.join(known, list(keys), "left_anti").select(
+        *[
+            (quoted(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
+            for c in target.columns
+        ]
     )
-    return changed, fresh_rows.select(*[added(c) for c in target.columns])
+    return changed.unionByName(added)
 
 
 def upsert(
@@ -147,5 +164,4 @@ def upsert(
     small = False
     if staging is not None:
         incoming, small = staging.write_checked(incoming, "incoming")
-    changed, added = merge_parts(target, incoming, keys, null_policy, small)
-    return changed.unionByName(added)
+    return merge_rows(target, incoming, keys, null_policy, small)

@@ -8,19 +8,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from syncflow.functions.columns import quoted
-from syncflow.staging import Staging, sized_shuffles
+from syncflow.staging import Staging
 
 # monotonically_increasing_id keeps the partition above this bit and the
 # position inside the partition below it.
 _PARTITION_SHIFT = 33
 
 
+#: Parquet bytes that are sorted by one task.
+RANGE_BYTES = 32 * 1024 * 1024
+
+
+def ranges_for(bytes_in: int) -> int:
+    """Ranges to sort an input of that size in."""
+    return max(1, -(-bytes_in // RANGE_BYTES))
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[str],
     staging: Staging | None = None,
     unique: bool = False,
     name: str = "row_num",
+    bytes_in: int | None = None,
 ) -> DataFrame:
     """Add ``name``: 1, 2, 3, ... over ``order`` (nulls first), without gaps.
 
@@ -35,16 +45,21 @@ def number_rows(
     Rows equal in all of ``order`` would be stuck in one range. Unless the
     caller knows that ``order`` is ``unique``, every row is first written with
     an id of its own, which breaks the ties and lets Spark split them.
+
+    The number of ranges follows the input: rows are written and measured first,
+    unless ``bytes_in`` says how large the table is that they are read from.
     """
     staging = staging or Staging(df.sparkSession, "numbered")
     keys = [quoted(c).asc_nulls_first() for c in order]
     if not unique:
-        df = staging.write(df.withColumn("_tie", F.monotonically_increasing_id()), "input")
+        df = df.withColumn("_tie", F.monotonically_increasing_id())
         keys.append(F.col("_tie").asc())
-    with sized_shuffles(df.sparkSession, staging.size()):
-        placed = staging.write(
-            df.orderBy(*keys).withColumn("_place", F.monotonically_increasing_id()), "sorted"
-        )
+    if not unique or bytes_in is None:
+        before = staging.size()
+        df = staging.write(df, "input")
+        bytes_in = staging.size() - before
+    ranged = df.repartitionByRange(ranges_for(bytes_in), *keys).sortWithinPartitions(*keys)
+    placed = staging.write(ranged.withColumn("_place", F.monotonically_increasing_id()), "sorted")
 
     part = F.shiftright("_place", _PARTITION_SHIFT)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))

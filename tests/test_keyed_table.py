@@ -36,10 +36,42 @@ def test_upserts_agree_with_brute_force(spark, table):
     assert rows_of(table.read()) == sorted(want.values(), key=repr)
 
 
+def test_a_delta_costs_its_own_size(spark, table):
+    rows = spark.range(20_000).selectExpr("cast(id as int) as k", "uuid() as a", "id as n")
+    table.upsert(rows)
+    table.compact()
+    before = files.size(spark, f"{table.path}/data")
+    table.upsert(frame(spark, [(7, "new", 1), (30_000, "added", 1)]))
+    assert files.size(spark, f"{table.path}/data") - before < before / 50
+    assert table.read().count() == 20_001 and table.read().where("k = 7").first()["a"] == "new"
+
+
+def test_deltas_are_folded_in_after_some(spark, folder):
+    table = KeyedTable(spark, folder("t"), SCHEMA, ["k"], buckets=4, compact_after=3)
+    for step in range(7):
+        table.upsert(frame(spark, [(k, f"s{step}", step) for k in range(step, 10)]))
+    assert len(table._commit()["deltas"]) == 1
+    assert rows_of(table.read()) == [(k, f"s{min(k, 6)}", min(k, 6)) for k in range(10)]
+
+
+def test_vacuum_leaves_a_commit_in_flight(spark, table, monkeypatch):
+    table.upsert(frame(spark, [(1, "x", 1)]))
+    publish = table._publish
+
+    def vacuum_first(*args):
+        table.vacuum(keep=1)
+        publish(*args)
+
+    monkeypatch.setattr(table, "_publish", vacuum_first)
+    table.upsert(frame(spark, [(1, "y", 2), (2, "z", 2)]))
+    table.compact()
+    assert rows_of(table.read()) == [(1, "y", 2), (2, "z", 2)]
+
+
 def test_only_touched_buckets_are_rewritten(spark, table):
-    table.upsert(frame(spark, [(k, "old", 0) for k in range(100)]))
+    table.upsert(frame(spark, [(k, "old", 0) for k in range(100)]), compact=True)
     before = table._commit()["current"]
-    table.upsert(frame(spark, [(7, "new", 1)]))
+    table.upsert(frame(spark, [(7, "new", 1)]), compact=True)
     after = table._commit()["current"]
     assert sum(before[b] != after[b] for b in before) == 1
     assert table.read().count() == 100 and table.read().where("k = 7").first()["a"] == "new"
@@ -115,6 +147,8 @@ def test_vacuum_drops_what_no_kept_commit_needs(spark, table):
     for step in range(4):
         table.upsert(frame(spark, [(k, f"s{step}", step) for k in range(20)]))
     want = rows_of(table.read())
+    assert table.vacuum(keep=1) == []  # the deltas are needed
+    table.compact()
     assert table.vacuum(keep=1)
     assert rows_of(table.read()) == want
     assert len(files.list_names(spark, f"{table.path}/commits")) == 1
@@ -127,5 +161,5 @@ def test_large_delta_goes_through_the_rebalanced_path(spark, table, monkeypatch)
         F.col("id").cast("int").alias("k"), F.lit("a").alias("a"), F.col("id").alias("n")
     )
     table.upsert(rows)
-    table.upsert(rows.where("k >= 250").withColumn("a", F.lit("b")))
+    table.upsert(rows.where("k >= 250").withColumn("a", F.lit("b")), compact=True)
     assert rows_of(table.read().groupBy("a").count()) == [("a", 250), ("b", 250)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows_of
 from syncflow.operators import merge
+from syncflow.operators.merge import dedup_latest, upsert
 from syncflow.staging import Staging
 
 
@@ -127,3 +128,17 @@ def test_classify(spark, target):
     assert rows_of(got) == [
         (2, "x", "update"), (2, "y", "update"), (7, "z", "insert"), (None, "n", "insert"),
     ]
+
+
+def test_large_upsert_scans_the_target_once(spark, folder):
+    spark.range(100).selectExpr("id as k", "id as v").write.parquet(folder("t"))
+    target = spark.read.parquet(folder("t"))
+    source = spark.range(50, 150).selectExpr("id as k", "-id as v")
+    got = upsert(target, source, ["k"])
+    assert plan_of(got).count("FileScan") == 1 and "FullOuter" in plan_of(got)
+    assert rows_of(got) == sorted([(i, i if i < 50 else -i) for i in range(150)], key=repr)
+
+
+def test_columns_without_an_order_break_ties_by_their_text(spark):
+    rows = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2})], "k int, m map<string,int>")
+    assert dedup_latest(rows, ["k"], []).collect() == [(1, {"a": 2})]

@@ -25,8 +25,9 @@ def many_partitions(spark):
     spark.conf.set(key, "true")
 
 
-def test_ties_are_numbered_once_each_and_spread_over_tasks(spark, many_partitions):
+def test_ties_are_numbered_once_each_and_spread_over_tasks(spark, many_partitions, monkeypatch):
     """A third of the rows and more share one order value."""
+    monkeypatch.setattr(numbering, "RANGE_BYTES", 8192)
     rows = spark.range(9000).select(
         "id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 10).alias("v")
     )
@@ -61,3 +62,14 @@ def test_batches_hold_size_rows_each(spark):
 def test_preview(spark):
     rows = spark.createDataFrame([(3,), (1,), (None,), (2,)], "v int")
     assert [r["v"] for r in numbering.preview(rows, ["v"], 3).collect()] == [None, 1, 2]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_ranges_follow_the_input(spark, monkeypatch, unique):
+    monkeypatch.setattr(numbering, "RANGE_BYTES", 4096)
+    rows = spark.range(20_000).selectExpr("id", "uuid() as text")
+    staging = Staging(spark, "ranges")
+    numbered = numbering.number_rows(rows, ["id"], staging, unique=unique)
+    assert [r["row_num"] for r in numbered.orderBy("id").limit(3).collect()] == [1, 2, 3]
+    placed = spark.read.parquet(f"{staging.path}/002-sorted")
+    assert placed.select(F.shiftright("_place", 33)).distinct().count() > 50
