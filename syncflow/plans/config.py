@@ -111,6 +111,7 @@ class InboundConfig(_Settings):
     on_failure: str = "hold"
     strict: bool = True
     override: datetime | str | None = None
+    whole_seconds: bool = False  # cut dates to the second before anything is compared
     datetime_as_string: bool = False
     zone: str = "UTC"
     audit_columns: AuditColumns = AuditColumns()

@@ -36,7 +36,7 @@ from syncflow.operators.reshape import (
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.sinks.export import append_snapshot, export_batches
 from syncflow.sources.records import object_schema, read_json_object
-from syncflow.sources.tables import TableRef, append_table, read_table
+from syncflow.sources.tables import TableRef, append_table, newest_value, read_table
 from syncflow.staging import Staging, sized_shuffles
 
 #: Failure text of rows that cannot be delivered because their key is null.
@@ -86,13 +86,19 @@ class _Audit:
         if ref.path and ref.schema is None:
             ref = TableRef(ref.format, ref.path, ref.options, self.columns.schema())
         by_object = self.cfg.object_name is not None and self.columns.object_name is not None
+        hold = self.cfg.on_failure == "hold"
+        conditions = [(self.columns.object_name, "=", self.cfg.object_name)] if by_object else []
+        conditions += [(self.columns.status, "<>", 0)] if hold else []
+        # A database is asked for the one value; then there is nothing left to filter.
+        asked = newest_value(ref, self.columns.mark, conditions)
+        reduced = asked is not ref
         self.mark = watermark(
-            read_table(self.spark, ref),
+            read_table(self.spark, asked),
             self.columns.mark,
             override=self.cfg.override,
-            object_name=self.cfg.object_name if by_object else None,
+            object_name=self.cfg.object_name if by_object and not reduced else None,
             object_col=self.columns.object_name,
-            success_only=self.cfg.on_failure == "hold",
+            success_only=hold and not reduced,
             status_col=self.columns.status,
         )
         return self.mark
@@ -327,6 +333,9 @@ def inbound_delta(records: DataFrame, cfg: InboundConfig, mark: datetime | None)
         cfg.epoch_columns,
         move_last=True,
     )
+    if cfg.whole_seconds:
+        dates = [c for c in shaped.columns if c.lower() in _lower(cfg.epoch_columns)]
+        shaped = shaped.withColumns({c: F.date_trunc("SECOND", quoted(c)) for c in dates})
     taken = F.lit(True)
     if cfg.active is not None:
         taken = is_true(quoted(cfg.active))
@@ -389,7 +398,8 @@ def _append_batch(
     registry, names, now = read_registry(spark, cfg), cfg.batch_columns, _utc_now()
     known = False
     if batch_id is None:
-        batch_id = next_batch_id(registry, names).first()[0]
+        newest = newest_value(_registry_ref(cfg), names.batch)
+        batch_id = next_batch_id(read_table(spark, newest), names).first()[0]
     else:
         same = (quoted(names.batch) == batch_id) & (quoted(names.object_name) == cfg.object_name)
         known = not registry.where(same).isEmpty()

@@ -364,6 +364,24 @@ ORACLES: dict[str, str] = {
         {_ONCE.rstrip().rstrip(",")}
         select id as customer_key, cast(o_totalprice as double) as price, o_orderkey as last_order
         from latest""",
+    "run_inbound_legacy": f"""
+        with r as (
+            select date_trunc('second', CreatedDate) as c,
+                   date_trunc('second', LastModifiedDate) as m, ts from ({_RECORDS})),
+        first as (
+            select count(*) as n, max(c) as c, max(m) as m from r
+            where ts <= timestamp '2024-01-10'),
+        mark as (select case when m >= c + interval 24 hours then m else c end as w, n from first),
+        second as (
+            select count(*) as n, max(r.c) as c, max(r.m) as m from r, mark
+            where r.c > w or r.m > w)
+        select 1 as is_success, n as record_count, w as watermark, 'User' as object_name,
+               cast(0 as bigint) as failed_count
+        from mark
+        union all
+        select 1, second.n,
+               greatest(case when m >= c + interval 24 hours then m else c end, w), 'User', 0
+        from second, mark""",
     "run_inbound_rejects": f"""
         with kept as (select * from ({_RECORDS}) where Kind <> 'click'),
         mark as (select max(greatest(LastModifiedDate, CreatedDate)) as m

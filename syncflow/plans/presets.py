@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from syncflow.operators.audit import AuditColumns, BatchColumns
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.plans.standard_mappings import ACCOUNT_MAPPING, USER_MAPPING, parse_mapping
@@ -12,11 +14,8 @@ ACCOUNT_AUDIT = AuditColumns(
     count="Patients_Processed_Count",
     mark="created_on_date",
     object_name=None,
-    failed_count=None,
-)
-USER_AUDIT = AuditColumns(
-    count="Record_Count", mark="latest_created_or_updated_date", failed_count=None
 )
+USER_AUDIT = AuditColumns(count="Record_Count", mark="latest_created_or_updated_date")
 USER_BATCHES = BatchColumns("ObjectName", "Created_On_Date", "Is_Merged_To_DW", "batch_id")
 
 
@@ -30,10 +29,17 @@ def account_sync(
     """Accounts outbound. Name a ``target``, an ``export_path``, or both.
 
     ``legacy`` follows creation dates only and moves the watermark on even if a
-    run fails, so the rows of that run are skipped.
+    run fails, so the rows of that run are skipped. Values keep their types, and
+    the audit has no count of failures.
     """
     if legacy:
-        options = {"rule": "created_only", "on_failure": "advance", **options}
+        options = {
+            "rule": "created_only",
+            "on_failure": "advance",
+            "cast": None,
+            "audit_columns": replace(ACCOUNT_AUDIT, failed_count=None),
+            **options,
+        }
     return OutboundConfig(
         **{
             "source": source,
@@ -60,11 +66,18 @@ def user_sync(
 ) -> InboundConfig:
     """Users inbound.
 
-    ``legacy`` writes dates as text, cut to the second, in the ``zone`` given,
-    and moves the watermark past a modification only after a whole day.
+    ``legacy`` filters and takes the newest dates on whole seconds, writes dates as
+    text in the ``zone`` given, and moves the watermark past a modification only
+    after a whole day. The audit has no count of failures.
     """
     if legacy:
-        options = {"rule": "day_gap", "datetime_as_string": True, **options}
+        options = {
+            "rule": "day_gap",
+            "whole_seconds": True,
+            "datetime_as_string": True,
+            "audit_columns": replace(USER_AUDIT, failed_count=None),
+            **options,
+        }
     return InboundConfig(
         **{
             "landing": landing,

@@ -1012,6 +1012,17 @@ def stream_inbound(spark, d):
     return _snapshot_rows(spark, cfg)
 
 
+@query
+def run_inbound_legacy(spark, d):
+    """The older rules: whole seconds, and a day's gap before modifications move the mark."""
+    cfg, older, newer = _inbound(spark, d, Staging(spark, "inbound-legacy"))
+    cfg.whole_seconds, cfg.rule = True, "day_gap"
+    for rows in (older, newer):
+        rows.write.mode("append").json(cfg.landing)
+        run_inbound(spark, cfg)
+    return _audit_rows(spark, cfg.audit)
+
+
 @query
 def run_inbound_rejects(spark, d):
     """Errors land as lines that are cut off, clicks with a text as date; each is rejected once."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,34 @@ class TableRef:
         }
 
 
+def newest_value(
+    ref: TableRef, column: str, conditions: Sequence[tuple[str, str, str | int]] = ()
+) -> TableRef:
+    """A JDBC table reduced by the database to the greatest value of ``column``.
+
+    The reader pushes filters and columns into JDBC, but no aggregates: without
+    this every row of a log would be fetched to find its maximum. A condition is
+    (column, ``=`` or ``<>``, value). Names are taken as they are written in the
+    settings; text values are quoted. Other tables are given back as they are.
+    """
+    table = ref.options.get("dbtable")
+    if ref.format != "jdbc" or table is None:
+        return ref
+
+    def literal(value: str | int) -> str:
+        return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(int(value))
+
+    parts = []
+    for name, operator, value in conditions:
+        if operator not in ("=", "<>"):
+            raise ValueError(f"the operator must be '=' or '<>', not {operator!r}")
+        parts.append(f"{name} {operator} {literal(value)}")
+    within = f" WHERE {' AND '.join(parts)}" if parts else ""
+    others = {k: v for k, v in ref.options.items() if k != "dbtable"}
+    query = f"SELECT MAX({column}) AS {column} FROM {table}{within}"
+    return TableRef(ref.format, None, {**others, "query": query}, ref.schema)
+
+
 def read_table(spark: SparkSession, ref: TableRef) -> DataFrame:
     """Read a table. Filters and projections put on the result reach the source.
 

@@ -15,7 +15,7 @@ from syncflow.sinks.export import append_snapshot, export_batches
 from syncflow.sources import files
 from syncflow.sources.mapping import load_mapping
 from syncflow.sources.records import object_schema, read_json_object, read_results
-from syncflow.sources.tables import JdbcSplit, TableRef, append_table, read_table
+from syncflow.sources.tables import JdbcSplit, TableRef, append_table, newest_value, read_table
 from syncflow.staging import PARTITION_BYTES, Staging, decoded_bytes, sized_shuffles, staging_root
 
 
@@ -177,3 +177,17 @@ def test_published_files_are_never_replaced(spark, folder):
         files.publish_text(spark, folder("c/1.json"), "2")
     assert files.read_text(spark, folder("c/1.json")) == "ä1"
     assert files.list_names(spark, folder("nothing")) == []
+
+
+def test_a_database_is_asked_for_the_newest_value_only():
+    log = TableRef("jdbc", options={"url": "u", "dbtable": "sync.log"})
+    asked = newest_value(log, "mark", [("object", "=", "it's"), ("status", "<>", 0)])
+    assert asked.options == {
+        "url": "u",
+        "query": "SELECT MAX(mark) AS mark FROM sync.log WHERE object = 'it''s' AND status <> 0",
+    }
+    assert newest_value(log, "id").options["query"] == "SELECT MAX(id) AS id FROM sync.log"
+    with pytest.raises(ValueError):
+        newest_value(log, "id", [("a", "; drop", 1)])
+    files_ref = TableRef(path="p")
+    assert newest_value(files_ref, "id") is files_ref
