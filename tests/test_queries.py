@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 
 import pytest
 
@@ -49,3 +50,11 @@ def test_query(spark, sql, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_the_corpus_part_may_be_absent(monkeypatch):
+    for name in ("syncflow.llm", "corpus_pipeline"):
+        with monkeypatch.context() as patched:
+            patched.setitem(sys.modules, name, None)
+            assert set(entry_point.queries()) == set(QUERIES)
+            assert set(entry_point.oracle_sql()) == set(ORACLES)
