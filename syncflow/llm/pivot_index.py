@@ -21,8 +21,9 @@ driver and the queries see of the index.
 
 Defined results: null vectors, and those with a null or non-finite component,
 neither ask nor answer. Vectors of different dimension have no score. Rows
-without id take no part. Repeated ids answer once each and do not answer their
-own id. Scores are exact while they and all squares stay below 2**53. An empty
+without id take no part. Rows of one id never answer each other; otherwise each
+answers on its own. An id that asks with several vectors gets the best answers to
+any of them. Scores are exact while they and all squares stay below 2**53. An empty
 table, or no queries, gives no rows.
 """
 
