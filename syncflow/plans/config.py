@@ -106,6 +106,7 @@ class InboundConfig(_Settings):
     read_types: dict[str, str] = field(default_factory=dict)
     multi_line: bool = False
     cast: str | None = "try"
+    late_key: Sequence[str] = ()  # target names that tell record versions apart
     rejects: TableRef | None = None  # takes records that do not parse; without it they raise
     rule: str = "greatest"
     on_failure: str = "hold"
@@ -117,6 +118,11 @@ class InboundConfig(_Settings):
     audit_columns: AuditColumns = AuditColumns()
     batch_columns: BatchColumns = BatchColumns()
 
+    def validate(self) -> None:
+        super().validate()
+        if self.late_key and self.datetime_as_string:
+            raise ValueError("late_key needs dates as timestamps, not as text")
+
     REQUIRED = (
         "landing", "snapshot", "registry", "audit", "mapping", "object_name", "created", "updated",
     )

@@ -35,6 +35,7 @@ from syncflow.operators.reshape import (
 )
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.sinks.export import append_snapshot, export_batches
+from syncflow.sources import files
 from syncflow.sources.records import object_schema, read_json_object
 from syncflow.sources.tables import TableRef, append_table, newest_value, read_table
 from syncflow.staging import Staging, sized_shuffles
@@ -307,7 +308,11 @@ def sync_records(
     try:
         mark = audit.watermark()
         with Staging(spark, "inbound") as staging:
-            taken = staging.write(inbound_delta(records, cfg, None if late else mark), "delta")
+            polled_late = bool(cfg.late_key) and not late
+            taken = inbound_delta(records, cfg, None if late or polled_late else mark)
+            if polled_late:
+                taken = _not_taken_before(spark, cfg, taken, mark)
+            taken = staging.write(taken, "delta")
             delta = taken.where(F.col(REJECT).isNull()).drop(REJECT)
             rejected = _reject(spark, cfg, taken.where(F.col(REJECT).isNotNull()), staging)
             count, reached = _measure(delta, cfg, mark)
@@ -351,6 +356,28 @@ def inbound_delta(records: DataFrame, cfg: InboundConfig, mark: datetime | None)
     return shaped.where(taken | F.col(REJECT).isNotNull())
 
 
+def _not_taken_before(
+    spark: SparkSession, cfg: InboundConfig, rows: DataFrame, mark: datetime
+) -> DataFrame:
+    """Rows above the mark, and older ones that no batch of the snapshot holds.
+
+    Only the snapshot's key columns are read; rows above the mark are not joined.
+    """
+    newer = F.coalesce(
+        newer_than(rows, mark, [cfg.created, cfg.updated], cfg.strict), F.lit(False)
+    ) | F.col(REJECT).isNotNull()
+    older = rows.where(~newer)
+    if cfg.snapshot.path is None or files.exists(spark, cfg.snapshot.path):
+        held = read_table(spark, cfg.snapshot).select(
+            *[quoted(c).alias(f"_held_{i}") for i, c in enumerate(cfg.late_key)]
+        )
+        same = F.lit(True)
+        for i, c in enumerate(cfg.late_key):
+            same = same & quoted(c).eqNullSafe(F.col(f"_held_{i}"))
+        older = older.join(held, same, "left_anti")
+    return rows.where(newer).unionByName(older)
+
+
 def _reject(
     spark: SparkSession, cfg: InboundConfig, rows: DataFrame, staging: Staging
 ) -> int:

@@ -189,6 +189,10 @@ ORACLES: dict[str, str] = {
         select c_mktsegment as program, cast(c_custkey as varchar) as external_key,
                cast(c_acctbal as decimal(12,2)) as score, c_name as full_name
         from customer""",
+    "map_from_file": """
+        select c_mktsegment as program, cast(c_custkey as varchar) as external_key,
+               cast(c_acctbal as decimal(12,2)) as score, c_name as full_name
+        from customer""",
     "map_cast_try": """
         select cast(o_orderkey as varchar) as external_key,
                try_cast(o_totalprice as decimal(7,2)) as price,
@@ -360,10 +364,21 @@ ORACLES: dict[str, str] = {
         "select id, 'PRICE_LIMIT', o_orderdate from latest where o_totalprice > 400000",
         "o_totalprice <= 400000",
     ),
+    "run_outbound_failed": """
+        select 0 as is_success, 0 as record_count, timestamp '1970-01-01' as watermark,
+               'orders' as object_name, 0 as failed_count
+        union all
+        select 1, count(*), max(o_orderdate), 'orders',
+               count(*) filter (where o_orderpriority = '1-URGENT')
+        from orders""",
     "run_outbound_uncast": f"""
         {_ONCE.rstrip().rstrip(",")}
         select id as customer_key, cast(o_totalprice as double) as price, o_orderkey as last_order
         from latest""",
+    "run_inbound_late": f"""
+        select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,
+               cast(case when ts <= timestamp '2024-01-10' then 1 else 2 end as bigint) as batch_id
+        from ({_RECORDS})""",
     "run_inbound_legacy": f"""
         with r as (
             select date_trunc('second', CreatedDate) as c,

@@ -23,6 +23,7 @@ from syncflow.session import configure
 from syncflow.sinks import export
 from syncflow.sinks.export import CSV_OPTIONS
 from syncflow.sinks.keyed_table import KeyedTable
+from syncflow.sources.mapping import load_mapping
 from syncflow.sources.records import (
     RESULT_SCHEMA,
     read_json_object,
@@ -221,6 +222,21 @@ def map_project(spark, d):
     return reshape.apply_mapping(table(spark, d, "customer"), CUSTOMER_MAPPING)
 
 
+@query
+def map_from_file(spark, d):
+    """The mapping is read from a file, which lists its lines by the text in them."""
+    lines = [
+        "source,target,dtype",
+        "c_mktsegment,program,varchar(100)",
+        'c_custkey,external_key,"varchar(100)"',
+        'c_acctbal,score,"decimal(12,2)"',
+        "c_name,full_name,NA",
+    ]
+    path = Staging(spark, "mapping").folder("file")
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    return reshape.apply_mapping(table(spark, d, "customer"), load_mapping(spark, path))
+
+
 @query
 def map_cast_try(spark, d):
     """Overflowing and malformed values become null."""
@@ -767,7 +783,7 @@ def _outbound_runs(spark, d) -> OutboundConfig:
 
 
 def _one_outbound_run(
-    spark, d, answer: Callable[[DataFrame], DataFrame], **settings
+    spark, d, answer: Callable[[DataFrame], DataFrame], fails: bool = False, **settings
 ) -> OutboundConfig:
     """One run over all orders; ``answer`` makes the results from the rows as sent.
 
@@ -810,7 +826,11 @@ def _one_outbound_run(
         **settings,
     )
     orders.write.parquet(cfg.source.path)
-    run_outbound(spark, cfg)
+    try:
+        run_outbound(spark, cfg)
+    except ConnectionError:
+        if not fails:
+            raise
     return cfg
 
 
@@ -898,6 +918,22 @@ def run_outbound_positional(spark, d):
     )
 
 
+@query
+def run_outbound_failed(spark, d):
+    """The remote side breaks down once: the run is audited, holds its mark and is repeated."""
+    calls: list[int] = []
+
+    def answer(sent: DataFrame) -> DataFrame:
+        calls.append(1)
+        if len(calls) == 1:
+            raise ConnectionError("remote side is down")
+        return _all_fine(sent, customer_key=F.col("customer_key"))
+
+    cfg = _one_outbound_run(spark, d, answer, fails=True)
+    run_outbound(spark, cfg)
+    return _audit_rows(spark, cfg.audit)
+
+
 @query
 def run_outbound_uncast(spark, d):
     """What is sent if values keep the types of the source."""
@@ -1012,6 +1048,18 @@ def stream_inbound(spark, d):
     return _snapshot_rows(spark, cfg)
 
 
+@query
+def run_inbound_late(spark, d):
+    """Polled runs that also take late records: those dated before the mark, but not yet held."""
+    cfg, older, newer = _inbound(spark, d, Staging(spark, "inbound-late"))
+    cfg.late_key = ["Id", "LastModifiedDate"]
+    for rows in (older, newer):
+        rows.write.mode("append").json(cfg.landing)
+        run_inbound(spark, cfg)
+    run_inbound(spark, cfg)
+    return _snapshot_rows(spark, cfg)
+
+
 @query
 def run_inbound_legacy(spark, d):
     """The older rules: whole seconds, and a day's gap before modifications move the mark."""
