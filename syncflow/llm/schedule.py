@@ -44,11 +44,12 @@ MAX_EPOCHS = 2
 BLOCK_TOKENS = 128
 MIN_SLOTS = 1 << 16
 #: Documents of a bucket, about.
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 #: Up to so many sources, their table is broadcast.
 FEW_SOURCES = 20_000
-#: Slots that one row of the first expansion stands for.
+#: Slots that one row of the first expansion stands for, and slots of a task at most.
 CHUNK = 1 << 12
+TASK_SLOTS = 1 << 21
 
 
 def token_count(text: Column) -> Column:
@@ -195,7 +196,10 @@ def schedule_slots(sources: DataFrame, bits: int, total: float) -> DataFrame:
                 F.floor(F.col("low") / CHUNK), F.floor((F.col("high") - 1) / CHUNK)
             )
         ).alias("chunk"),
-    ).repartition("chunk")
+    )
+    # A row here makes up to CHUNK slots: few rows are no reason for few tasks.
+    usual = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(max(min(usual, -(-slots // CHUNK)), slots // TASK_SLOTS), "chunk")
     points = chunks.select(
         "source_no",
         "low",
