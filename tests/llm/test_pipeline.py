@@ -64,7 +64,7 @@ def test_language_drops_what_has_no_letters(stages):
 def test_lines_are_dropped(stages):
     want = line_runs.dedup_lines(stages["language"]).select("row.doc_id", F.col("kept").alias("text"))
     assert texts(stages["lines"]) == texts(want)
-    assert sum(FOOTER in t for _, t in texts(stages["lines"])) == 1
+    assert sum(FOOTER.lower() in t.lower() for _, t in texts(stages["lines"])) == 1
     assert all(r["n_chars"] == len(r["text"]) for r in stages["lines"].collect())
 
 
