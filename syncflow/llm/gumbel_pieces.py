@@ -41,8 +41,11 @@ SPACE = "▁"
 #: Shift of the ranks in the weights, as in the Zipf-Mandelbrot law.
 RANK_SHIFT = 2.7
 _NONE = np.iinfo(np.int32).min
-#: Characters that are sampled together.
-GROUP_CHARS = 1 << 21
+#: Characters that are sampled together, and rows whose texts are held as such.
+GROUP_CHARS = 3 << 19
+SLICE_ROWS = 1 << 10
+#: Rows that are decoded together.
+DECODE_ROWS = 1 << 8
 
 
 @dataclass
@@ -102,7 +105,9 @@ class Vocabulary:
                     piece_of.append(-1)
                 state = states[move]
             piece_of[state] = i
-        moves = np.array([s * width + c for s, c in states], np.int64)
+        if len(piece_of) * width >= 1 << 31:
+            raise ValueError("the vocabulary is too large")
+        moves = np.array([s * width + c for s, c in states], np.int32)
         order = np.argsort(moves)
         return cls(
             spelled,
@@ -111,8 +116,8 @@ class Vocabulary:
             classes,
             width,
             moves[order],
-            np.array(list(states.values()), np.int64)[order],
-            np.array(piece_of, np.int64),
+            np.array(list(states.values()), np.int32)[order],
+            np.array(piece_of, np.int32),
             max(len(names[i]) for i in usable),
         )
 
@@ -172,11 +177,11 @@ def build_lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
 def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     joined = "".join([SPACE + w for w in words])
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.int32)
     ends = np.cumsum(lengths)
     word_of = np.repeat(np.arange(len(words)), lengths)
     left = ends[word_of] - np.arange(len(codes))
-    classes = vocabulary.classes[codes].astype(np.int64)
+    classes = vocabulary.classes[codes]
     # Inside a word the space mark is a character like any other, spelled in bytes.
     inside = np.ones(len(codes), bool)
     inside[ends - lengths] = False
@@ -184,10 +189,10 @@ def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     # Walk the trie from all characters at once; the longest pieces come first.
     longest = vocabulary.longest
     pieces = np.full((len(codes), longest), _NONE, np.int32)
-    at, state = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+    at, state = np.arange(len(codes)), np.zeros(len(codes), np.int32)
     for step in range(1, longest + 1):
         here = classes[at + step - 1]
-        moves = state * vocabulary.n_classes + here
+        moves = state * np.int32(vocabulary.n_classes) + here
         place = np.minimum(np.searchsorted(vocabulary.moves, moves), len(vocabulary.moves) - 1)
         found = (vocabulary.moves[place] == moves) & (here > 0)
         at, state = at[found], vocabulary.targets[place[found]]
@@ -199,49 +204,52 @@ def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     bare = np.flatnonzero(pieces[:, -1] == _NONE)
     pieces[bare, -1] = -1 - codes[bare]
     row, column = np.nonzero(pieces != _NONE)
-    piece = pieces[row, column].astype(np.int64)
-    point = -1 - piece
+    piece = pieces[row, column]
+    weight = vocabulary.log_weight[np.maximum(piece, 0)]
+    spelled = np.flatnonzero(piece < 0)
+    point = -1 - piece[spelled]
     n_bytes = 1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF)
-    spelled = n_bytes * vocabulary.log_weight[vocabulary.first_byte]
-    weight = np.where(piece >= 0, vocabulary.log_weight[np.maximum(piece, 0)], spelled)
-    weights = np.full(pieces.shape, -np.inf)
-    weights[row, column] = weight
+    weight[spelled] = n_bytes * vocabulary.log_weight[vocabulary.first_byte]
 
     # Backward sums, from the ends of all words at once. Node = character + word.
-    nodes = np.arange(len(codes)) + word_of
-    sums = np.zeros(len(codes) + len(words))
-    order = np.argsort(left, kind="stable")
-    cuts = np.searchsorted(left[order], np.arange(1, left.max(initial=0) + 2))
-    for n_left, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True), 1):
-        own, steps = order[low:high], np.arange(min(n_left, longest), 0, -1)
-        values = weights[own, longest - len(steps) :] + sums[nodes[own][:, None] + steps]
-        top = values.max(axis=1)
-        sums[nodes[own]] = top + np.log(np.exp(values - top[:, None]).sum(axis=1))
-    node = nodes[row]
+    node = row + word_of[row]
     target = node + longest - column
-    log_p = weight + sums[target] - sums[node]
+    sums = np.zeros(len(codes) + len(words))
+    edge_left = left[row]
+    if len(edge_left) and edge_left.max() < 1 << 15:
+        edge_left = edge_left.astype(np.int16)  # sorted by radix
+    order = np.argsort(edge_left, kind="stable")
+    by_left = edge_left[order]
+    cuts = np.r_[np.flatnonzero(np.r_[True, by_left[1:] != by_left[:-1]]), len(order)]
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        edges = order[low:high]
+        nodes = node[edges]
+        values = weight[edges] + sums[target[edges]]
+        begin = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
+        top = np.maximum.reduceat(values, begin)
+        each = np.diff(np.r_[begin, len(nodes)])
+        total = np.add.reduceat(np.exp(values - np.repeat(top, each)), begin)
+        sums[nodes[begin]] = top + np.log(total)
+    log_p = np.minimum(weight + sums[target] - sums[node], 0.0)
 
     count = np.bincount(node, minlength=len(sums))
     first = np.r_[0, np.cumsum(count)]
     # Sums within a node only: the same in any batch, to the last bit.
-    weights.fill(0.0)
-    weights[row, column] = np.exp(log_p)
-    below = np.cumsum(weights, axis=1)[row, column]
+    below = np.exp(log_p)
+    place = np.arange(len(node)) - first[node]
+    at = np.flatnonzero(place == 1)
+    while len(at):
+        below[at] += below[at - 1]
+        at = at[at + 1 < len(place)] + 1
+        at = at[place[at] > 1]
     last = first[1:][count > 0] - 1
     below[last] = np.inf
     log_p[last[count[count > 0] == 1]] = 0.0
-    final = ends + np.arange(len(words))
     # An end has no edges; nothing is drawn there.
     small = lambda x: x.astype(np.int32)
+    final = ends + np.arange(len(words))
     return Lattice(
-        final - lengths,
-        final,
-        first,
-        small(node),
-        small(target),
-        small(piece),
-        np.minimum(log_p, 0.0),
-        below,
+        final - lengths, final, first, small(node), small(target), small(piece), log_p, below
     )
 
 
@@ -257,14 +265,28 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def keyed(seeds: np.ndarray, *places) -> np.ndarray:
+    """Seeds for a place; what many places share should come first."""
+    for place in places:
+        seeds = _mixed(seeds + (np.atleast_1d(place).astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+    return seeds
+
+
 def uniforms(seeds: np.ndarray, *places) -> np.ndarray:
     """Numbers above 0 and below 1, by seed and place."""
-    x = seeds.astype(np.uint64)
-    for place in places:
-        x = _mixed(x + (np.atleast_1d(place).astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+    x = keyed(seeds, *places)
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+#: No Gumbel value drawn from such numbers is above this.
+LARGEST_NOISE = -np.log(-np.log1p(-(2.0**-54))) + 1e-6
+#: Log-probability of sets whose noise is drawn only if it could matter.
+LITTLE_MASS = -60.0
+
+#: What random numbers are used for; part of their seeds.
+_WALK, _BESIDE, _CHOICE, _REST, _FIRST = range(5)
+
+
 def _draw(lattice: Lattice, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
     """An edge of each node; long pieces, mostly the likely ones, are looked at first."""
     edges = lattice.first[nodes]
@@ -288,8 +310,7 @@ class _Paths:
 
 
 def _sample(
-    lattice: Lattice, nodes: np.ndarray, final: np.ndarray, seeds: np.ndarray,
-    places: np.ndarray, attempt: int,
+    lattice: Lattice, nodes: np.ndarray, final: np.ndarray, seeds: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Paths from nodes to the ends of their words: edges in order, and how many each has."""
     counts = np.zeros(len(nodes), np.int64)
@@ -298,7 +319,7 @@ def _sample(
     walked = []
     step = 0
     while len(active):
-        edges = _draw(lattice, at, uniforms(seeds[active], places[active], attempt, step))
+        edges = _draw(lattice, at, uniforms(seeds[active], step))
         walked.append((active, edges))
         counts[active] += 1
         at = lattice.target[edges]
@@ -357,22 +378,20 @@ class _Group:
             self.lattice,
             nodes,
             self.lattice.final[self.types[words]],
-            self.seeds[docs],
-            self.place[words],
-            attempt,
+            keyed(keyed(self.seeds, _WALK, attempt)[docs], self.place[words]),
         )
 
     def run(self, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """Per document: (edges, log_prob, perturbed value, inclusion) of k paths at most."""
         if self.lattice is None:
-            best = -np.log(-np.log(uniforms(self.seeds, 0)))
+            best = -np.log(-np.log(uniforms(self.seeds, _FIRST)))
             return [[(np.zeros(0, np.int64), 0.0, float(b), 1.0)] for b in best]
         words = np.arange(len(self.types))
         edges, counts = self._walk(words, self.lattice.start[self.types], 0)
         owner = np.repeat(words, counts)
         begin = np.searchsorted(owner, self.word_begin)
         paths = [_Paths(edges, owner, begin)]
-        value = -np.log(-np.log(uniforms(self.seeds, 0)))
+        value = -np.log(-np.log(uniforms(self.seeds, _FIRST)))
         found = [[(0, float(v))] for v in value]
         opened: list[list[_OpenSet]] = [[] for _ in range(self.n)]
         self._siblings(paths[0], 0, np.zeros(self.n, np.int64), value, opened, k)
@@ -403,12 +422,24 @@ class _Group:
             mass = self._log_prefix(path) + np.log(-np.expm1(log_p))
         mass[step < np.repeat(since, lengths)] = -np.inf
         doc = np.repeat(np.arange(self.n), lengths)
-        value = _cut_gumbel(mass, bound[doc], uniforms(self.seeds[doc], step, number, 1 << 20))
+        seeds = keyed(self.seeds, _BESIDE, number)
+        value = np.full(len(mass), -np.inf)
+
+        def put(at: np.ndarray) -> None:
+            u = uniforms(seeds[doc[at]], step[at])
+            value[at] = _cut_gumbel(mass[at], bound[doc[at]], u)
+
+        # The noise has a largest value, so steps of little mass need none unless
+        # fewer than k of the others are above what they could reach.
+        put(np.flatnonzero(mass > LITTLE_MASS))
         # No more than the k best of a path can ever be opened, or be the threshold.
         for d in range(self.n):
             own = value[path.of(d)]
             if not len(own):
                 continue
+            if np.count_nonzero(own > LITTLE_MASS + LARGEST_NOISE) < k:
+                begin = int(path.begin[d])
+                put(begin + np.flatnonzero(mass[path.of(d)] <= LITTLE_MASS))
             top = np.argpartition(-own, k - 1)[:k] if len(own) > k else np.arange(len(own))
             for t in top:
                 if own[t] > -np.inf:
@@ -424,7 +455,7 @@ class _Group:
         docs = np.fromiter(chosen, np.int64, len(chosen))
         steps = np.array([best.at for best in chosen.values()])
         draws, noise = (
-            uniforms(self.seeds[docs], steps, attempt, use).tolist() for use in (1 << 21, 1 << 22)
+            uniforms(self.seeds[docs], use, attempt, steps).tolist() for use in (_CHOICE, _REST)
         )
         for (d, best), draw, u in zip(chosen.items(), draws, noise, strict=True):
             path = paths[best.path]
@@ -528,19 +559,21 @@ def _emit(
     batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, k: int
 ) -> Iterator[pa.RecordBatch]:
     """Samples of each row, with the row's other columns."""
-    for batch in batches:
-        rest = batch.drop_columns(["row_key", "text"])
-        keys = batch["row_key"].to_numpy(zero_copy_only=False)
-        rows: list[tuple] = []
-        held = 0
-        for row in sample_texts(batch["text"].to_pylist(), keys, vocabulary, k):
-            rows.append(row)
-            held += len(row[2]) + 16
-            if held > 1 << 20:
+    for whole in batches:
+        for at in range(0, len(whole), SLICE_ROWS):
+            batch = whole.slice(at, SLICE_ROWS)
+            rest = batch.drop_columns(["row_key", "text"])
+            keys = batch["row_key"].to_numpy(zero_copy_only=False)
+            rows: list[tuple] = []
+            held = 0
+            for row in sample_texts(batch["text"].to_pylist(), keys, vocabulary, k):
+                rows.append(row)
+                held += len(row[2]) + 16
+                if held > 1 << 19:
+                    yield _as_batch(rest, rows)
+                    rows, held = [], 0
+            if rows:
                 yield _as_batch(rest, rows)
-                rows, held = [], 0
-        if rows:
-            yield _as_batch(rest, rows)
 
 
 def _as_batch(rest: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
@@ -593,16 +626,23 @@ def decode_ids(ids: Column, vocabulary: Vocabulary, session) -> Column:
     @F.arrow_udf("string")
     def decoded(column: pa.Array) -> pa.Array:
         pieces = shared.value
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        spelled = np.frombuffer(b"".join(pieces), np.uint8)
+        starts = np.cumsum(sizes) - sizes
         offsets = column.offsets.to_numpy()
         values = column.values.to_numpy(zero_copy_only=False)
-        out = []
-        for i in range(len(column)):
-            if not column[i].is_valid:
-                out.append(None)
-                continue
-            own = values[offsets[i] : offsets[i + 1]].tolist()
-            text = b"".join([pieces[p] for p in own]).removeprefix(b" ")
-            out.append(text.decode("utf-8", "replace"))
+        known = column.is_valid().to_pylist()
+        out: list[str | None] = []
+        for at in range(0, len(column), DECODE_ROWS):
+            rows = offsets[at : at + DECODE_ROWS + 1]
+            own = values[rows[0] : rows[-1]]
+            n = sizes[own]
+            ends = np.r_[0, np.cumsum(n)]
+            data = spelled[np.repeat(starts[own] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+            cuts = ends[rows - rows[0]].tolist()
+            for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True), at):
+                text = data[low:high].removeprefix(b" ").decode("utf-8", "replace")
+                out.append(text if known[i] else None)
         return pa.array(out, pa.string())
 
     return decoded(ids)
