@@ -42,7 +42,7 @@ SPACE = "▁"
 RANK_SHIFT = 2.7
 _NONE = np.iinfo(np.int32).min
 #: Characters that are sampled together, and rows whose texts are held as such.
-GROUP_CHARS = 3 << 19
+GROUP_CHARS = 1 << 20
 SLICE_ROWS = 1 << 10
 #: Rows that are decoded together.
 DECODE_ROWS = 1 << 8
@@ -632,8 +632,9 @@ def decode_ids(ids: Column, vocabulary: Vocabulary, session) -> Column:
         offsets = column.offsets.to_numpy()
         values = column.values.to_numpy(zero_copy_only=False)
         known = column.is_valid().to_pylist()
-        out: list[str | None] = []
+        parts = [pa.array([], pa.string())]
         for at in range(0, len(column), DECODE_ROWS):
+            out: list[str | None] = []
             rows = offsets[at : at + DECODE_ROWS + 1]
             own = values[rows[0] : rows[-1]]
             n = sizes[own]
@@ -643,6 +644,7 @@ def decode_ids(ids: Column, vocabulary: Vocabulary, session) -> Column:
             for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True), at):
                 text = data[low:high].removeprefix(b" ").decode("utf-8", "replace")
                 out.append(text if known[i] else None)
-        return pa.array(out, pa.string())
+            parts.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(parts)
 
     return decoded(ids)
