@@ -1,42 +1,47 @@
 """Personal data, and terms that give it away.
 
 Four kinds of personal data are found by pattern. Their values are the protected
-entities. A term (a run of letters) near an entity may give it away although the
-entity itself is masked: the corpus tells how strongly. Over all documents,
+entities. A term (a run of letters outside of e-mail addresses) may give an entity
+away although the entity itself is masked: the corpus tells how strongly. Over all
+documents,
 
     disclosure = log(N * n_et / (n_e * n_t)) / log(N / n_e),
 
 the pointwise mutual information of entity and term as a share of the entity's
 information content; ``n_e`` documents hold the entity, ``n_t`` the term, and
-``n_et`` the term near the entity. Terms that share ``min_docs`` documents with an
-entity and disclose ``generalise_at`` of it or more become spans of kind ``term``
-where they stand near it; at ``remove_at`` they are removed from the text, below
-that they are replaced by a general word. Texts without an entity stay as they are.
+``n_et`` both. Terms that disclose ``generalise_at`` of an entity or more become
+spans of kind ``term`` wherever they stand in the documents that hold it; at
+``remove_at`` they are removed from the text, below that they are replaced by a
+general word. Texts without an entity stay as they are.
+
+Callers may ask for less: terms of ``min_term`` letters or more, pairs that share
+``min_docs`` documents, and only terms ``near`` an entity: wholly within so many
+code points of it, and not past the next entity of the same kind.
 
 Everything is DataFrame expressions. Patterns are possessive and anchored at the
 starts of runs, so that they take linear time and no stack. Only entities and the
-words around them leave the text; term counts are summed before they are shuffled.
+terms of texts that hold some leave the text. As ``n_et`` is at most ``n_e``, a term
+of more than ``N * (n_e / N) ** generalise_at`` documents cannot disclose the
+entity; such terms, the frequent ones, are left out before pairs are formed.
 
 Defined results: a null text is empty. Every row counts as a document, repeated
-ones too; ids may be null. An entity that all documents hold tells nothing. Near
-means: wholly within ``near`` code points of the entity, and not past the next
-entity of the same kind. The output has only the columns named here.
+ones too; ids may be null. An entity that all documents hold tells nothing. Terms
+are compared in lower case. The output has only the columns named here.
 """
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from syncflow.operators.skew import join_one
 from syncflow.staging import Staging
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-NEAR = 64
+#: Letters of the shortest term, if the caller does not say.
 MIN_TERM = 4
-MIN_DOCS = 2
+MIN_DOCS = 1
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 
@@ -49,7 +54,9 @@ PATTERNS = {
 }
 #: A text without this character, or a match of this pattern, has no such span.
 HINTS = {"email": "@", "phone": "+"}
-TERM_PATTERN = rf"\p{{L}}{{{MIN_TERM},}}+"
+#: Terms are matched together with addresses, so that none begins inside of one.
+TERM_PATTERN = r"\p{L}++"
+TERM_OR_EMAIL = rf"{PATTERNS['email']}|{TERM_PATTERN}"
 
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
@@ -127,13 +134,12 @@ def _starts(matches: Column, gaps: Column) -> Column:
     return F.zip_with(prefix_sums(own), matches, lambda end, m: end - F.length(m))
 
 
-_SPAN = "array<struct<start:int,kind_no:int,end:int,entity:string,before:string,after:string>>"
+_SPAN = "array<struct<start:int,kind_no:int,end:int,entity:string>>"
 
 
-def _spans(no: int, kind: str, near: int) -> Column:
-    """Valid spans of a kind with their surroundings, from its matches and gaps."""
-    matches, gaps, starts = (F.col(f"{x}_{kind}") for x in ("matches", "gaps", "starts"))
-    # One code point more than is near, to see whether a word is cut.
+def _spans(no: int, kind: str) -> Column:
+    """Valid spans of a kind, from its matches and their starts."""
+    matches, starts = F.col(f"matches_{kind}"), F.col(f"starts_{kind}")
     spans = F.transform(
         matches,
         lambda m, i: F.struct(
@@ -141,14 +147,12 @@ def _spans(no: int, kind: str, near: int) -> Column:
             F.lit(no).alias("kind_no"),
             (F.get(starts, i) + F.length(m)).alias("end"),
             F.when(_valid(kind, m), _entity(kind, m)).alias("entity"),
-            F.right(F.get(gaps, i), F.lit(near + 1)).alias("before"),
-            F.left(F.get(gaps, i + 1), F.lit(near + 1)).alias("after"),
         ),
     )
     return F.filter(spans, lambda s: s["entity"].isNotNull())
 
 
-def find_entities(docs: DataFrame, id_col: str, text_col: str, near: int = NEAR) -> DataFrame:
+def find_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, text, spans``: valid spans of all kinds by start, then kind."""
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -176,60 +180,134 @@ def find_entities(docs: DataFrame, id_col: str, text_col: str, near: int = NEAR)
         ],
     )
     spans = [
-        F.when(some[k], _spans(n, k, near)).otherwise(F.array()).cast(_SPAN)
+        F.when(some[k], _spans(n, k)).otherwise(F.array()).cast(_SPAN)
         for n, k in enumerate(KINDS)
     ]
     return found.select("doc_id", "text", F.array_sort(F.concat(*spans)).alias("spans"))
 
 
-def _terms(side: Column, before: bool, near: int, edge: Column) -> Column:
-    """(term, start, end) of the whole terms beside an entity; ``edge`` is its border."""
-    # A term that goes on beyond what is near is cut off.
-    long = F.length(side) > near
-    if before:
-        cut = F.when(long, F.regexp_replace(side, r"^\p{L}+|^(?s:.)", "")).otherwise(side)
-        origin = lambda s: edge - F.length(s)
-    else:
-        cut = F.when(long, F.regexp_replace(side, r"(?:\p{L}++|(?s:.))$", "")).otherwise(side)
-        origin = lambda s: edge
-
-    def terms(s: Column) -> Column:
-        matches, gaps = _pieces(s, TERM_PATTERN)
-        return let(
-            matches,
-            lambda m: F.zip_with(
-                m,
-                _starts(m, gaps),
-                lambda word, at: F.struct(
-                    F.lower(word).alias("term"),
-                    (origin(s) + at).alias("start"),
-                    (origin(s) + at + F.length(word)).alias("end"),
-                ),
+def _is_term(match: Column, min_term: int) -> Column:
+    return ~F.contains(match, F.lit("@")) & (F.length(match) >= min_term)
+
+
+def distinct_terms(text: Column, min_term: int) -> Column:
+    """The terms of a text, each once."""
+
+    def found(pattern: str) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    matches = F.when(F.instr(text, "@") > 0, found(TERM_OR_EMAIL)).otherwise(found(TERM_PATTERN))
+    terms = F.filter(matches, lambda m: _is_term(m, min_term))
+    return F.array_distinct(F.transform(terms, F.lower))
+
+
+def placed_terms(text: Column, min_term: int) -> Column:
+    """(term, start, end) of all terms of a text."""
+    matches, gaps = _pieces(text, TERM_OR_EMAIL)
+    placed = let(
+        matches,
+        lambda found: F.zip_with(
+            found,
+            _starts(found, gaps),
+            lambda m, at: F.struct(
+                m.alias("term"), at.alias("start"), (at + F.length(m)).alias("end")
+            ),
+        ),
+    )
+    return F.transform(
+        F.filter(placed, lambda t: _is_term(t["term"], min_term)),
+        lambda t: F.struct(F.lower(t["term"]).alias("term"), t["start"], t["end"]),
+    )
+
+
+_PLACES = "array<struct<start:int,end:int>>"
+
+
+def _beside(place: Column, spans: Column, near: int) -> Column:
+    """Whether a place is near one of an entity's spans (start, end, low, high)."""
+    return F.exists(
+        spans,
+        lambda s: (
+            (place["start"] >= F.greatest(s["low"], s["start"] - near))
+            & (place["end"] <= s["start"])
+        )
+        | (
+            (place["start"] >= s["end"]) & (place["end"] <= F.least(s["high"], s["end"] + near))
+        ),
+    )
+
+
+def _entities(rows: DataFrame, near: int | None) -> DataFrame:
+    """(row_no, entity) of all rows; with ``near`` also its spans and their borders."""
+    if near is None:
+        names = F.array_distinct(F.transform("spans", lambda s: s["entity"]))
+        return rows.select("row_no", F.explode(names).alias("entity"))
+    # Spans of one kind do not overlap; each ends at the neighbours of its kind.
+    def of_kind(no: int) -> Column:
+        return F.filter("spans", lambda s: s["kind_no"] == no)
+
+    def bordered(own: Column) -> Column:
+        return F.transform(
+            own,
+            lambda s, i: F.struct(
+                s["entity"].alias("entity"),
+                s["start"].alias("start"),
+                s["end"].alias("end"),
+                F.coalesce(F.get(own, i - 1)["end"], F.lit(0)).alias("low"),
+                F.coalesce(F.get(own, i + 1)["start"], F.lit((1 << 31) - 1)).alias("high"),
             ),
         )
 
-    return let(cut, terms)
+    spans = F.concat(*[let(of_kind(no), bordered) for no in range(len(KINDS))])
+    return (
+        rows.select("row_no", F.explode(spans).alias("s"))
+        .groupBy("row_no", "s.entity")
+        .agg(F.collect_list(F.struct("s.start", "s.end", "s.low", "s.high")).alias("at"))
+    )
 
 
-def _near_terms(entities: DataFrame, near: int) -> DataFrame:
-    """(row_no, entity, term, start, end) of all terms near entities."""
-    each = entities.select("row_no", F.explode("spans").alias("s")).select(
-        "row_no",
-        "s.entity",
-        F.explode(
-            F.concat(
-                _terms(F.col("s.before"), True, near, F.col("s.start")),
-                _terms(F.col("s.after"), False, near, F.col("s.end")),
-            )
-        ).alias("t"),
+def _shared_terms(
+    rows: DataFrame,
+    term_docs: DataFrame,
+    n_docs: int,
+    staging: Staging,
+    *,
+    near: int | None,
+    generalise_at: float,
+) -> DataFrame:
+    """``row_no, entity, term, n_e, n_t, places`` of all terms that might disclose."""
+    held = staging.write(_entities(rows.where(F.size("spans") > 0), near), "entities")
+    entity_docs = staging.write(
+        held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") < n_docs),
+        "entity-docs",
+    )
+    most = entity_docs.agg(F.max("n_e")).first()[0] or 1
+    # A little more than the bound, for the rounding of the logarithms.
+    limit = lambda n_e: n_docs * (n_e / n_docs) ** generalise_at * (1 + 1e-9)
+    bound = max(limit(1), limit(most)) if n_docs else 0.0
+    frequent, few = staging.write_checked(
+        term_docs.where(F.col("n_t") > bound).select("term"), "frequent"
+    )
+    places = (
+        rows.where(F.size("spans") > 0)
+        .select("row_no", F.explode("words").alias("w"))
+        .select("row_no", "w.term", "w.start", "w.end")
+        .join(F.broadcast(frequent) if few else frequent, "term", "left_anti")
+        .groupBy("row_no", "term")
+        .agg(F.collect_list(F.struct("start", "end")).cast(_PLACES).alias("places"))
+        .join(term_docs.where(F.col("n_t") <= bound), "term")
     )
-    return each.select("row_no", "entity", "t.term", "t.start", "t.end")
+    shared = join_one(held, entity_docs, ["entity"], staging=staging).join(places, "row_no")
+    shared = shared.where(F.col("n_t") <= limit(F.col("n_e")))
+    if near is not None:
+        shared = shared.withColumn(
+            "places", F.filter("places", lambda p: _beside(p, F.col("at"), near))
+        ).where(F.size("places") > 0)
+    return shared.select("row_no", "entity", "term", "n_e", "n_t", "places")
 
 
 def disclosing_terms(
-    near_terms: DataFrame,
-    term_docs: DataFrame,
-    entity_docs: DataFrame,
+    shared_terms: DataFrame,
     n_docs: int,
     *,
     min_docs: int = MIN_DOCS,
@@ -237,21 +315,16 @@ def disclosing_terms(
 ) -> DataFrame:
     """``entity, term, disclosure`` of the pairs at or above the threshold."""
     pairs = (
-        near_terms.groupBy("row_no", "entity", "term")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_et"))
+        shared_terms.groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("n_et"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
         .where(F.col("n_et") >= min_docs)
     )
-    rated = pairs.join(entity_docs, "entity").join(term_docs, "term")
     whole = F.lit(float(n_docs))
     disclosure = F.log(whole * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(
         whole / F.col("n_e")
     )
-    return (
-        rated.where(F.col("n_e") < n_docs)
-        .select("entity", "term", disclosure.alias("disclosure"))
-        .where(F.col("disclosure") >= generalise_at)
+    return pairs.select("entity", "term", disclosure.alias("disclosure")).where(
+        F.col("disclosure") >= generalise_at
     )
 
 
@@ -260,7 +333,8 @@ def sanitise(
     id_col: str = "doc_id",
     text_col: str = "text",
     *,
-    near: int = NEAR,
+    near: int | None = None,
+    min_term: int = MIN_TERM,
     min_docs: int = MIN_DOCS,
     generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
@@ -273,48 +347,37 @@ def sanitise(
     to the staging folder if they are kept.
     """
     staging = Staging(docs.sparkSession, "disclosure")
-    found = find_entities(docs, id_col, text_col, near)
+    found = find_entities(docs, id_col, text_col)
+    words = F.when(F.size("spans") > 0, placed_terms(F.col("text"), min_term)).otherwise(
+        F.array().cast("array<struct<term:string,start:int,end:int>>")
+    )
+    found = found.withColumn("words", words)
     if not keep_text:
         found = found.drop("text")
     # Written row numbers stay the same, whatever is computed again.
     rows = staging.write(found.withColumn("row_no", F.monotonically_increasing_id()), "rows")
-    holders = rows.where(F.size("spans") > 0).select("row_no", "spans")
-    entity_docs = (
-        holders.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("n_e"))
-    )
-    near_terms = staging.write(_near_terms(holders, near), "near")
-    term_docs = (
+    term_docs = staging.write(
         docs.select(
-            F.explode(
-                F.array_distinct(
-                    F.transform(
-                        F.regexp_extract_all(
-                            F.col(text_col).cast("string"), F.lit(TERM_PATTERN), F.lit(0)
-                        ),
-                        F.lower,
-                    )
-                )
-            ).alias("term")
+            F.explode(distinct_terms(F.col(text_col).cast("string"), min_term)).alias("term")
         )
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_t"))
+        .agg(F.count(F.lit(1)).alias("n_t")),
+        "term-docs",
+    )
+    n_docs = rows.count()
+    shared = staging.write(
+        _shared_terms(rows, term_docs, n_docs, staging, near=near, generalise_at=generalise_at),
+        "shared",
     )
     strong = staging.write(
-        disclosing_terms(
-            near_terms,
-            term_docs,
-            entity_docs,
-            rows.count(),
-            min_docs=min_docs,
-            generalise_at=generalise_at,
-        ),
+        disclosing_terms(shared, n_docs, min_docs=min_docs, generalise_at=generalise_at),
         "strong",
     )
     terms = (
-        near_terms.join(strong, ["entity", "term"])
-        .groupBy("row_no", "start", "end")
+        shared.select("row_no", "entity", "term", "places")
+        .join(strong, ["entity", "term"])
+        .select("row_no", "disclosure", F.explode("places").alias("p"))
+        .groupBy("row_no", "p.start", "p.end")
         .agg(F.max("disclosure").alias("disclosure"))
         .groupBy(F.col("row_no").alias("t_row_no"))
         .agg(
@@ -333,10 +396,8 @@ def sanitise(
     joined = rows.join(
         terms.hint("shuffle_hash"), F.col("row_no") == F.col("t_row_no"), "left"
     ).select(
-        *[c for c in rows.columns if c not in ("row_no", "spans")],
-        F.transform(
-            "spans", lambda s: F.struct(s["start"], s["kind_no"], s["end"], s["entity"])
-        ).alias("spans"),
+        *[c for c in rows.columns if c not in ("row_no", "spans", "words")],
+        "spans",
         F.coalesce(
             "terms",
             F.array().cast("array<struct<start:int,end:int,disclosure:double,removed:boolean>>"),

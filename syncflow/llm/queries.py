@@ -105,7 +105,7 @@ def op5_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return disclosure.sanitise(docs, keep_text=False).select(
+    return disclosure.sanitise(docs, min_term=1, keep_text=False).select(
         "doc_id",
         *[disclosure.kind_count(k).alias(f"n_{k}") for k in disclosure.KINDS],
         F.sha2(disclosure.span_list(False), 256).alias("base_sha256"),

@@ -158,3 +158,22 @@ def test_prefix_sums(spark):
     table = spark.createDataFrame([([1] * 3000,), ([],), ([5, -2],)], "a array<int>")
     got = [r[0] for r in table.select(d.prefix_sums(F.col("a"))).collect()]
     assert got == [list(range(1, 3001)), [], [5, 3]]
+
+
+def test_terms_anywhere_in_a_document(spark):
+    """Far from the entity, behind digits that are no card, in one document, of two letters."""
+    rows = [
+        (1, "Li " + "far " * 60 + "4111 1111 1111 1111, exp 12 Zebulon, LI"),
+        (2, "zebulon@spy.org " + "far " * 60 + "Quagmire; 4111-1111-1111-1111 zebulon"),
+        *[(10 + i, "far exp quagmires") for i in range(30)],
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in d.sanitise(docs, min_term=1).collect()}
+    marked = {
+        i: [r["text"][t["start"] : t["end"]] for t in r["terms"]] for i, r in got.items()
+    }
+    assert marked[1] == ["Li", "Zebulon", "LI"]
+    # The address is an entity of its own; its letters are no terms.
+    assert marked[2] == ["Quagmire", "zebulon"]
+    assert not any(marked[i] for i in marked if i >= 10)
+    assert "Zebulon" not in got[1]["clean_text"] and "LI" not in got[1]["clean_text"]
