@@ -15,19 +15,24 @@ best values are Gumbel too, cut off at the value of the path. Backward sums over
 the lattice give all probabilities. The value of the best set left unopened is the
 threshold; a path's inclusion score is its probability of exceeding it.
 
-Pieces do not cross the start of a word, so lattices are built once per different
-word of a batch; documents of a batch are sampled in step, with numpy. Random
-numbers come from a hash of the row key and the place they are used at, so a row
-gives the same samples in any batch, order or attempt.
+A unit of a text is a run of blanks with the word behind it. Pieces do not go on
+from a word to a blank, so no piece crosses the start of a unit, and lattices are
+built once per different unit of a batch; pieces of several blanks are edges like
+others. A vocabulary with pieces of words and later blanks is refused. Documents of
+a batch are sampled in step, with numpy. Random numbers come from a hash of the row
+key and the place they are used at, so a row gives the same samples in any batch,
+order or attempt.
 
 Defined results: a null text is sampled as the empty text, which has one
 segmentation, without pieces. A text with fewer segmentations than asked for
 gives all it has, with inclusion 1. Equal keys and texts give equal samples. Very
-long texts are sampled whole; a word's lattice is linear in its length.
+long texts are sampled whole; a unit's lattice is linear in its length. A mark
+`▁` in a text is no blank, but a character without a piece.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from itertools import chain
@@ -86,10 +91,10 @@ class Vocabulary:
         usable = [
             i
             for i in ids
-            if not (i in special or model.is_byte(i) or model.is_unused(i))
-            and names[i]
-            and SPACE not in names[i][1:]
+            if not (i in special or model.is_byte(i) or model.is_unused(i)) and names[i]
         ]
+        if any(SPACE in names[i].lstrip(SPACE) for i in usable):
+            raise ValueError("the vocabulary has pieces that go on from a word to a blank")
         letters = sorted({c for i in usable for c in names[i]})
         classes = np.zeros(0x110000, np.int32)
         classes[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
@@ -107,6 +112,8 @@ class Vocabulary:
             piece_of[state] = i
         if len(piece_of) * width >= 1 << 31:
             raise ValueError("the vocabulary is too large")
+        # Texts are read with their blanks; the mark itself has no piece.
+        classes[ord(" ")], classes[ord(SPACE)] = classes[ord(SPACE)], 0
         moves = np.array([s * width + c for s, c in states], np.int32)
         order = np.argsort(moves)
         return cls(
@@ -154,7 +161,7 @@ BUILD_WORDS = 1 << 14
 
 
 def build_lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
-    """The lattices of words, each to be read after a space mark."""
+    """The lattices of units, each to be read after a blank."""
     parts = [
         _build_part(words[at : at + BUILD_WORDS], vocabulary)
         for at in range(0, len(words), BUILD_WORDS)
@@ -176,16 +183,12 @@ def build_lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
 
 def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    joined = "".join([SPACE + w for w in words])
+    joined = "".join([" " + w for w in words])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.int32)
     ends = np.cumsum(lengths)
     word_of = np.repeat(np.arange(len(words)), lengths)
     left = ends[word_of] - np.arange(len(codes))
     classes = vocabulary.classes[codes]
-    # Inside a word the space mark is a character like any other, spelled in bytes.
-    inside = np.ones(len(codes), bool)
-    inside[ends - lengths] = False
-    classes[inside & (codes == ord(SPACE))] = 0
     # Walk the trie from all characters at once; the longest pieces come first.
     longest = vocabulary.longest
     pieces = np.full((len(codes), longest), _NONE, np.int32)
@@ -358,12 +361,24 @@ class _Numbers(dict):
         return number
 
 
+_UNIT = re.compile(" ( *[^ ]*)")
+
+
+def units(text: str) -> list[str]:
+    """The units of a text that is read after a blank, each without its first blank."""
+    if not text:
+        return []
+    if text[0] != " " and "  " not in text:
+        return text.split(" ")
+    return _UNIT.findall(" " + text)
+
+
 class _Group:
     """The search over the documents of one group."""
 
     def __init__(self, texts: list[str], seeds: np.ndarray, vocabulary: Vocabulary):
         numbers = _Numbers()
-        per_text = [list(map(numbers.__getitem__, t.split(" "))) if t else [] for t in texts]
+        per_text = [list(map(numbers.__getitem__, units(t))) for t in texts]
         self.lattice = build_lattice(list(numbers), vocabulary) if numbers else None
         self.vocabulary, self.seeds, self.n = vocabulary, seeds, len(texts)
         lengths = np.array([len(w) for w in per_text], np.int64)

@@ -117,3 +117,41 @@ def test_operator(spark, vocabulary):
     assert g.sample_segmentations(nothing, vocabulary, F.col("doc_id").cast("string")).collect() == []
     nulls = spark.createDataFrame([(None,), ([],)], "ids array<int>")
     assert [r[0] for r in nulls.select(g.decode_ids(F.col("ids"), vocabulary, spark)).collect()] == [None, ""]
+
+
+@pytest.mark.parametrize("text", ["a  b", " x", "a b   ", "   ", "é  ▁ b\n     c"])
+def test_runs_of_blanks_against_the_whole_vocabulary(vocabulary, text):
+    """All segmentations, pieces of several blanks included, and the model's own one."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    first = vocabulary.first_byte
+    ids = {p: i for i, p in enumerate(vocabulary.pieces) if p and i >= first + 256}
+
+    def cut(rest):
+        if not rest:
+            yield (), 0.0
+            return
+        known = rest[0].encode() in ids
+        for n in range(1, len(rest) + 1):
+            i = ids.get(rest[:n].encode())
+            if i is not None:
+                for tail, l in cut(rest[n:]):
+                    yield (i, *tail), l + vocabulary.log_weight[i]
+        if not known:
+            data = rest[0].encode()
+            for tail, l in cut(rest[1:]):
+                yield (*(first + b for b in data), *tail), l + len(data) * vocabulary.log_weight[first]
+
+    # Blanks are read as such, so that the mark in a text has no piece.
+    paths = dict(cut(" " + text))
+    total = np.logaddexp.reduce(list(paths.values()))
+    found = list(g.sample_texts([text], np.arange(1), vocabulary, len(paths) + 5))
+    got = {tuple(ids.tolist()): log_prob for _, _, ids, log_prob, _, _ in found}
+    assert len(found) == len(got) and set(got) == set(paths)
+    assert all(inclusion == 1 for *_, inclusion in found)
+    for path, log_prob in got.items():
+        assert log_prob == pytest.approx(paths[path] - total, abs=1e-6)
+        assert vocabulary.decode(path) == text
+    if g.SPACE not in text:
+        assert tuple(model.encode(text)) in got
