@@ -16,7 +16,8 @@ Defined results: a null payload is empty. A null page id is smaller than any id;
 if no page of a payload has an id, all are responses. Repeated rows of the
 largest id are all responses, with equal records; reading gives each of them
 back. Payloads that are no UTF-8 are kept byte by byte. Records that are cut off
-or lack a segment come back with a null payload and ``intact`` false.
+or lack a segment come back with a null payload, size and digest and ``intact``
+false; other sizes and digests are those of the payload that was read.
 """
 
 from __future__ import annotations
@@ -251,16 +252,20 @@ def _parse(record: bytes) -> dict:
 
 
 def _finish(row: dict) -> dict:
-    """Decode and verify the payload of a whole record."""
-    if row["record_type"] == "response" and row["intact"]:
-        row["payload"] = payload_of(row["block"])
-        row["intact"] = (
-            row["payload"] is not None
-            and len(row["payload"]) == row["payload_bytes"]
-            and base32_sha1(row["payload"]) == row["payload_digest"]
+    """Decode the payload of a whole record; its size and digest are taken from it.
+
+    They must be those of the header. A revisit has no payload and keeps the header's.
+    """
+    if row["record_type"] == "response":
+        payload = payload_of(row["block"]) if row["intact"] else None
+        size, digest = (None, None) if payload is None else (len(payload), base32_sha1(payload))
+        row["intact"] = payload is not None and (size, digest) == (
+            row["payload_bytes"],
+            row["payload_digest"],
         )
         if not row["intact"]:
-            row["payload"] = None
+            payload = size = digest = None
+        row["payload"], row["payload_bytes"], row["payload_digest"] = payload, size, digest
     row["block"] = None
     return row
 

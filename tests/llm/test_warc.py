@@ -92,3 +92,20 @@ def test_missing_segment_is_reported(spark, folder):
 def test_empty_table(spark, folder):
     warc.write_archives(pages_of(spark, []), folder("a"))
     assert warc.read_archives(spark, folder("a")).collect() == []
+
+
+def test_size_and_digest_are_those_of_the_payload_read():
+    page = {
+        "record_id": "r", "record_type": "response", "payload_bytes": 2, "intact": True,
+        "payload_digest": warc.base32_sha1(b"ab"), "payload": None,
+    }
+    whole = warc._finish({**page, "block": warc.HTTP_HEAD + warc.chunked(b"ab")})
+    assert (whole["payload"], whole["payload_bytes"], whole["intact"]) == (b"ab", 2, True)
+    assert whole["payload_digest"] == warc.base32_sha1(b"ab")
+    blocks = [warc.HTTP_HEAD + warc.chunked(b"xy"), warc.HTTP_HEAD + b"no chunks", None]
+    for block in blocks:
+        lost = warc._finish({**page, "block": block, "intact": block is not None})
+        assert not lost["intact"]
+        assert lost["payload"] is lost["payload_bytes"] is lost["payload_digest"] is None
+    revisit = warc._finish({**page, "record_type": "revisit", "block": b""})
+    assert revisit["payload_bytes"] == 2 and revisit["payload_digest"] == page["payload_digest"]
