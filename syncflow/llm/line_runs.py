@@ -4,7 +4,7 @@ A run is a parquet table sorted by line key that tells in how many documents a
 key was found and the largest of their ids. Each batch of documents is reduced
 to a run of level 0. When a level holds ``fanout`` runs they are merged into one
 run of the next level, so a key is rewritten only once per level. To drop lines,
-the lines of a batch are joined with the merged runs: a line stays unless its key
+all lines are joined once with the merged runs: a line stays unless its key
 is common and another document is the last to hold it.
 
 A line key is the line without the white space at both ends, with A-Z lower-cased.
