@@ -143,4 +143,50 @@ ORACLES = {
                sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), ''))
                    as kept_sha256
         from marked group by r, doc_id""",
+    "op12_prefix_trie": """
+        with t as (
+            select conv_id as c, row_number() over (partition by conv_id
+                       order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as p,
+                   {'role': coalesce(role, ''), 'text': coalesce(text, '')} as m
+            from conversations where conv_id is not null),
+        lens as (select c, count(*) as n from t group by c),
+        heads as (
+            select c, n, c - c % 5 as base, xor(list_reduce(list_prepend(4294967295::bigint,
+                       list_transform(range(length(c::varchar)),
+                                      lambda i: ascii(substr(c::varchar, i + 1, 1))::bigint)),
+                       lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 9 as h
+            from lens),
+        turns as (
+            select i.c, t.p, t.m from heads i join t on t.c = i.base where t.p <= i.h
+            union all
+            select i.c, coalesce(least(i.h, b.n), 0) + t.p - i.h, t.m
+            from heads i join t on t.c = i.c left join lens b on b.c = i.base where t.p > i.h),
+        conv as (
+            select i.c, coalesce(list(u.m order by u.p) filter (where u.p is not null), []) as ms
+            from heads i left join turns u on u.c = i.c group by i.c),
+        member as (
+            select c, len(ms) as n, u.d as d, ms[1:u.d] as path
+            from conv, lateral (select unnest(range(len(ms) + 1)) as d) u),
+        node as (
+            select path, d, min(c) as conv_id, count(*) as n_convs,
+                   coalesce(string_agg(c::varchar, ',' order by c) filter (where n = d), '') as ends
+            from member group by path, d),
+        child as (select path[1:d - 1] as path, d - 1 as d, count(*) as n from node
+                  where d > 0 group by 1, 2),
+        marked as (
+            select node.*, coalesce(child.n, 0) as n_children,
+                   case when node.d > 0 then (n_convs - 1) * strlen(node.path[node.d].text) else 0 end
+                       as saved
+            from node left join child on child.path = node.path and child.d = node.d),
+        below as (
+            select path[1:u.k] as path, u.k as d, count(*) filter (where n_children = 0) as n_leaves,
+                   sum(saved) as saved_tokens
+            from marked, lateral (select unnest(range(d + 1)) as k) u group by 1, 2)
+        select m.conv_id, m.d::bigint as depth, up.conv_id as parent_conv_id,
+               m.n_convs::bigint as n_convs, m.n_children::bigint as n_children,
+               b.n_leaves::bigint as n_leaves, b.saved_tokens::bigint as saved_tokens,
+               sha256(m.ends) as ends_sha256
+        from marked m join below b on b.path = m.path and b.d = m.d
+             left join node up on m.d > 0 and up.d = m.d - 1 and up.path = m.path[1:m.d - 1]""",
 }

@@ -12,6 +12,7 @@ from syncflow.llm import (
     line_runs,
     pivot_index,
     ppm,
+    prefix_trie,
     quotes,
     risk_rules,
     schedule,
@@ -142,6 +143,14 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    turns = Staging(spark, "turns").write(turns)
+    convs = turns.select("conv_id").distinct()
+    rebuilt = prefix_trie.share_openings(turns, convs, group=5, lengths=9)
+    return prefix_trie.prefix_trie(rebuilt, convs)
+
+
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
     "op2_quote_links": op2_quote_links,
@@ -153,4 +162,5 @@ QUERIES = {
     "op8_golay_simhash": op8_golay_simhash,
     "op9_warc_segments": op9_warc_segments,
     "op10_line_runs": op10_line_runs,
+    "op12_prefix_trie": op12_prefix_trie,
 }
