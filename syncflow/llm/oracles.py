@@ -189,4 +189,38 @@ ORACLES = {
                sha256(m.ends) as ends_sha256
         from marked m join below b on b.path = m.path and b.d = m.d
              left join node up on m.d > 0 and up.d = m.d - 1 and up.path = m.path[1:m.d - 1]""",
+    "op13_fm_index": """
+        with d as (
+            select row_number() over () as r, doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+            from documents),
+        i as (
+            select item_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+            from benchmark),
+        win as (
+            select distinct item_id, least(len(w), 10) as size,
+                   array_to_string(w[u.k:u.k + least(len(w), 10) - 1], ' ') as phrase
+            from i, lateral (select unnest(range(1, greatest(len(w) - 9, 1) + 1)) as k) u
+            where len(w) > 0),
+        sizes as (select distinct size from win),
+        dw as (
+            select r, size, u.k as k, array_to_string(w[u.k:u.k + size - 1], ' ') as phrase
+            from d, sizes, lateral (select unnest(range(1, len(w) - size + 2)) as k) u),
+        hit as (select distinct r, k, size, item_id from dw join win using (size, phrase)),
+        words as (
+            select r, count(distinct u.p) as n_hit
+            from hit, lateral (select unnest(range(k, k + size)) as p) u group by r),
+        told as (
+            select r, count(distinct item_id) as n_items,
+                   string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items
+            from hit group by r)
+        select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+               coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from d left join words using (r) left join told using (r)""",
 }

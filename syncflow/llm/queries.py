@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from syncflow.llm import (
     disclosure,
+    fm_index,
     golay,
     gumbel_pieces,
     line_runs,
@@ -16,6 +17,7 @@ from syncflow.llm import (
     quotes,
     risk_rules,
     schedule,
+    token_alignment,
     warc,
 )
 from syncflow.staging import Staging
@@ -143,6 +145,16 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A public byte-level vocabulary; only the driver reads it.
+BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_alignment.align(docs, BYTE_VOCABULARY, VOCABULARY)
+    return aligned.documents.withColumnRenamed("id", "doc_id")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
     turns = Staging(spark, "turns").write(turns)
@@ -151,6 +163,18 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(rebuilt, convs)
 
 
+def op13_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fm_index.decontaminate(docs, _table(spark, sf_dir, "benchmark")).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
     "op2_quote_links": op2_quote_links,
@@ -162,5 +186,7 @@ QUERIES = {
     "op8_golay_simhash": op8_golay_simhash,
     "op9_warc_segments": op9_warc_segments,
     "op10_line_runs": op10_line_runs,
+    "op11_token_alignment": op11_token_alignment,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_fm_index": op13_fm_index,
 }
