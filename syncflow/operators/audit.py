@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from syncflow.functions.columns import instant, quoted
+from syncflow.sources import files
 
 #: Fixed values of the status column.
 STATUS = {"failure": 0, "success": 1, "no_data": 2}
@@ -119,6 +120,22 @@ def register_batch(
     )
 
 
+def claim_batch_id(
+    registry: DataFrame, claims: str, owner: str, columns: BatchColumns = BatchColumns()
+) -> int:
+    """A batch id that no other run gets, although runs may ask at the same time.
+
+    The id that follows the registry is claimed by creating a note of its name under
+    ``claims``. The file system lets one of several writers create it; the others try
+    the next id. A claim is kept when its run fails: ids grow, but may leave gaps.
+    """
+    spark = registry.sparkSession
+    batch_id = next_batch_id(registry, columns).first()[0]
+    while not files.create_note(spark, f"{claims.rstrip('/')}/{batch_id:020d}", owner):
+        batch_id += 1
+    return batch_id
+
+
 def latest_batch(
     registry: DataFrame, object_name: str, columns: BatchColumns = BatchColumns()
 ) -> DataFrame:

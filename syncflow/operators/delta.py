@@ -114,6 +114,35 @@ def delta_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def observed_stats(
+    df: DataFrame, columns: Sequence[str], taken: Column | None = None
+) -> dict[str, Column]:
+    """The aggregates of ``delta_stats`` as metrics that a write observes.
+
+    Metrics come to the driver as Python values. Instants are observed as microseconds and
+    other values as text, so that no time zone of the process changes them.
+    """
+    metrics = {"row_count": F.count(F.lit(1) if taken is None else F.when(taken, 1))}
+    for name in columns:
+        value = quoted(name) if taken is None else F.when(taken, quoted(name))
+        if isinstance(df.schema[column_name(df, name)].dataType, T.TimestampType):
+            metrics[f"max_{name}"] = F.max(F.unix_micros(value))
+        else:
+            metrics[f"max_{name}"] = F.max(value).cast("string")
+    return metrics
+
+
+def stats_row(df: DataFrame, columns: Sequence[str], seen: dict) -> DataFrame:
+    """The row of ``delta_stats`` from observed metrics of ``df``."""
+    values = [F.lit(seen["row_count"]).cast("bigint").alias("row_count")]
+    for name in columns:
+        dtype, value = df.schema[column_name(df, name)].dataType, F.lit(seen[f"max_{name}"])
+        if isinstance(dtype, T.TimestampType):
+            value = F.timestamp_micros(value.cast("bigint"))
+        values.append(value.cast(dtype).alias(f"max_{name}"))
+    return df.sparkSession.range(1).select(*values)
+
+
 def next_watermark(
     stats: DataFrame,
     old: datetime | str,

@@ -42,17 +42,18 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
-def _orderable(dtype: T.DataType) -> bool:
+def orderable(dtype: T.DataType) -> bool:
+    """Whether values of the type can be sorted."""
     if isinstance(dtype, T.StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
+        return all(orderable(f.dataType) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
-        return _orderable(dtype.elementType)
+        return orderable(dtype.elementType)
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def _tie(field: T.StructField) -> Column:
     """A column to break ties by: what has no order goes by its JSON text."""
-    if _orderable(field.dataType):
+    if orderable(field.dataType):
         return quoted(field.name)
     return F.to_json(F.struct(quoted(field.name)))
 

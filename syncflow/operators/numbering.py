@@ -91,6 +91,25 @@ def assign_batches(
     return numbered.withColumn("batch_num", batch.cast("bigint"))
 
 
+def batch_rows(
+    df: DataFrame, size: int, staging: Staging, batch: str = "batch", row: str = "batch_row"
+) -> DataFrame:
+    """Rows dealt to batches of at most ``size``: ``batch``, and ``row`` counted from 1 in it.
+
+    Batches are the files that tasks write, and a row's number is its place in its file,
+    which the scan knows. So nothing is shuffled, sorted or counted, and the numbers stay
+    as they are however often the written rows are read.
+    """
+    path = staging.folder("batches")
+    df.write.option("maxRecordsPerFile", size).parquet(path)
+    written = staging.spark.read.schema(df.schema).parquet(path)
+    file, place = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    number = F.concat_ws(
+        "-", *[F.regexp_extract(file, r"^part-(\d+)-.*[-.]c(\d+)", i) for i in (1, 2)]
+    )
+    return written.select("*", number.alias(batch), (place + 1).alias(row))
+
+
 def preview(df: DataFrame, order: Sequence[str], rows: int = 10) -> DataFrame:
     """The first rows by ``order``: a top-k report, merged from per-task top-k."""
     return df.orderBy(*[quoted(c).asc_nulls_first() for c in order]).limit(rows)

@@ -88,16 +88,17 @@ def align_by_key(
     per key first (with a partial aggregate) keeps a repeated key from pairing
     with itself. Keys are compared as text, which is how results carry them.
 
-    Only sent rows with a key of the results are aggregated. With ``staging`` the
-    result keys are written and measured; if they are few they are broadcast, and
-    the other sent rows are not shuffled.
+    With ``staging`` the result keys are written and measured; if they are few they
+    are broadcast, and only sent rows with one of them are aggregated.
     """
-    named = quoted(result_key or key).cast("string")
-    asked = results.select(named.alias("_asked")).where("_asked is not null").distinct()
     if staging is not None:
+        named = quoted(result_key or key).cast("string")
+        asked = results.select(named.alias("_asked")).where("_asked is not null").distinct()
         asked, few = staging.write_checked(asked, "asked")
-        asked = F.broadcast(asked) if few else asked
-    sent = sent.join(asked, quoted(key).cast("string") == F.col("_asked"), "left_semi")
+        if few:
+            sent = sent.join(
+                F.broadcast(asked), quoted(key).cast("string") == F.col("_asked"), "left_semi"
+            )
     grouped = sent.groupBy(quoted(key).cast("string").alias("_key"))
     if len(carry) == 1:  # a plain maximum needs no sort
         rows = grouped.agg(F.max(quoted(carry[0])).alias(carry[0]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 
@@ -63,9 +63,10 @@ class OutboundConfig(_Settings):
     batch_size: int = BATCH_SIZE
     cast: str | None = "try"  # rows with a value that does not fit are set aside
     reject_overlong: bool = False  # set texts aside that are longer than mapped
-    match: str = "key"  # how results find their rows: by "key" or by "position"
+    match: str = "key"  # how results find their rows: by "key", "position" or "batch"
     result_order: Sequence[str] = ()  # total order of the results, for "position"
-    sequence: str | None = None  # for "position": column of the exported row number
+    sequence: str | None = None  # exported row number: of all ("position"), in its batch ("batch")
+    batch: str = "batch"  # for "batch": the column, and folder, of the exported batch number
     object_name: str | None = None
     audit_columns: AuditColumns = AuditColumns()
 
@@ -77,8 +78,10 @@ class OutboundConfig(_Settings):
             raise ValueError("settings must name a target or an export_path")
         if self.deliver is not None and self.export_path is None:
             raise ValueError("deliver needs an export_path")
-        if self.match not in ("key", "position"):
-            raise ValueError(f"match must be 'key' or 'position', not {self.match!r}")
+        if self.match not in ("key", "position", "batch"):
+            raise ValueError(f"match must be 'key', 'position' or 'batch', not {self.match!r}")
+        if self.match == "batch" and self.sequence is None:
+            raise ValueError("matching by batch needs a sequence, the row's number in its batch")
         if self.match == "position" and self.deliver is not None and not self.result_order:
             raise ValueError("matching by position needs a result_order")
         if self.key.lower() not in [m.source.lower() for m in self.mapping]:
@@ -108,6 +111,10 @@ class InboundConfig(_Settings):
     cast: str | None = "try"
     late_key: Sequence[str] = ()  # target names that tell record versions apart
     rejects: TableRef | None = None  # takes records that do not parse; without it they raise
+    manifest: str | None = None  # folder that remembers taken files; only new ones are opened
+    manifest_lag: timedelta | None = None  # how late after its time a file may show up
+    claims: str | None = None  # folder of claimed batch ids, if several runs share a registry
+    unmapped: str | None = None  # column for the attributes that the mapping does not name
     rule: str = "greatest"
     on_failure: str = "hold"
     strict: bool = True
@@ -122,6 +129,8 @@ class InboundConfig(_Settings):
         super().validate()
         if self.late_key and self.datetime_as_string:
             raise ValueError("late_key needs dates as timestamps, not as text")
+        if self.late_key and self.manifest:
+            raise ValueError("a manifest takes late records without a late_key")
 
     REQUIRED = (
         "landing", "snapshot", "registry", "audit", "mapping", "object_name", "created", "updated",

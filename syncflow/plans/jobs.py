@@ -15,17 +15,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from syncflow.functions.columns import datetime_text, is_true, quoted
-from syncflow.operators.audit import audit_row, next_batch_id, register_batch, tag_snapshot
+from syncflow.functions.columns import column_name, datetime_text, is_true, quoted
+from syncflow.operators.audit import (
+    audit_row,
+    claim_batch_id,
+    next_batch_id,
+    register_batch,
+    tag_snapshot,
+)
 from syncflow.operators.delta import (
     delta_scan,
-    delta_stats,
     newer_than,
     next_watermark,
+    observed_stats,
+    stats_row,
     watermark,
 )
-from syncflow.operators.merge import dedup_latest, keyed_rows, unkeyed_rows
-from syncflow.operators.numbering import number_rows
+from syncflow.operators.merge import dedup_latest, keyed_rows, orderable, unkeyed_rows
+from syncflow.operators.numbering import batch_rows, number_rows
 from syncflow.operators.reconcile import delivery_verdicts, positioned
 from syncflow.operators.reshape import (
     apply_mapping,
@@ -36,7 +43,8 @@ from syncflow.operators.reshape import (
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.sinks.export import append_snapshot, export_batches
 from syncflow.sources import files
-from syncflow.sources.records import object_schema, read_json_object
+from syncflow.sources.manifest import LandingManifest
+from syncflow.sources.records import object_schema, read_json_object, read_json_variant
 from syncflow.sources.tables import TableRef, append_table, newest_value, read_table
 from syncflow.staging import Staging, sized_shuffles
 
@@ -48,8 +56,8 @@ UNFIT = "values do not fit: "
 NO_RESULT = "no result"
 NO_ROW = "result without a sent row"
 
-_CHANGED, _CREATED, _KEY, _UNFIT, _ROW = (
-    "_changed", "_created", "_source_key", "_unfit", "_row_num",
+_CHANGED, _CREATED, _KEY, _UNFIT, _ROW, _MAPPED_KEY = (
+    "_changed", "_created", "_source_key", "_unfit", "_row_num", "_mapped_key",
 )
 
 #: Column for the text of records that do not parse, and of those not taken.
@@ -128,15 +136,22 @@ class _Audit:
             self.append(RunResult("failure", 0, mark))
 
 
-def _measure(delta: DataFrame, cfg, mark: datetime) -> tuple[int, datetime]:
-    """Count and next watermark of the staged delta, in one pass over two columns."""
-    columns = [cfg.created] + ([cfg.updated] if cfg.updated else [])
-    stats = next_watermark(delta_stats(delta, columns), mark, cfg.created, cfg.updated, cfg.rule)
+def _stage_delta(
+    staging: Staging, rows: DataFrame, cfg, mark: datetime, taken: Column | None = None
+) -> tuple[DataFrame, int, datetime]:
+    """The written delta, its count and next watermark, both taken while it is written.
+
+    Rows for which ``taken`` is false are written, but neither counted nor dated.
+    """
+    dates = [cfg.created] + ([cfg.updated] if cfg.updated else [])
+    delta, seen = staging.write_observed(rows, observed_stats(rows, dates, taken), "delta")
+    stats = next_watermark(
+        stats_row(delta, dates, seen), mark, cfg.created, cfg.updated, cfg.rule
+    )
     following = F.col("next_watermark")
     if dict(stats.dtypes)["next_watermark"] == "timestamp":
         following = F.convert_timezone(None, F.lit("UTC"), following)
-    row = stats.select("row_count", following.cast("timestamp_ntz")).first()
-    return row[0], row[1]
+    return delta, seen["row_count"], stats.select(following.cast("timestamp_ntz")).first()[0]
 
 
 def run_outbound(spark: SparkSession, cfg: OutboundConfig) -> RunResult:
@@ -151,8 +166,9 @@ def run_outbound(spark: SparkSession, cfg: OutboundConfig) -> RunResult:
             )
             # The source may move on: count, delivery and failure matching all
             # use this one copy, which holds only the columns they need.
-            delta = staging.write(rows.select(*_needed_columns(rows, cfg)), "delta")
-            count, reached = _measure(delta, cfg, mark)
+            delta, count, reached = _stage_delta(
+                staging, rows.select(*_needed_columns(rows, cfg)), cfg, mark
+            )
             if count == 0:
                 return audit.append(RunResult("no_data", 0, mark))
             with sized_shuffles(spark, staging.size()):
@@ -170,29 +186,57 @@ def _needed_columns(rows: DataFrame, cfg: OutboundConfig) -> list[Column]:
     return [quoted(c) for c in rows.columns if c.lower() in wanted]
 
 
-def outgoing_rows(delta: DataFrame, cfg: OutboundConfig) -> DataFrame:
-    """Masked, mapped rows, plus what is needed to order them and report failures."""
+def masked_rows(delta: DataFrame, cfg: OutboundConfig) -> DataFrame:
+    """Masked rows, not cast yet, with the key they will have and when they changed."""
     for value, end in cfg.mask.items():
         delta = mask_closed(delta, value, end)
     changed = quoted(cfg.created)
     if cfg.updated:
         changed = F.greatest(changed, quoted(cfg.updated))
+    key = next(m for m in cfg.mapping if m.source.lower() == cfg.key.lower())
+    own = {c: quoted(c) for c in delta.columns}
+    return apply_mapping(
+        delta,
+        [replace(key, target=_MAPPED_KEY)],
+        cast=cfg.cast,
+        keep={**own, _CHANGED: changed},
+    )
+
+
+def latest_rows(masked: DataFrame, cfg: OutboundConfig) -> DataFrame:
+    """The newest row of each key; ties go by the mapped columns as the source has them.
+
+    Rows are chosen before values are cast. A value that does not fit is null once it is
+    cast, so its row would lose every tie and never be reported.
+    """
+    sources = [column_name(masked, m.source) for m in cfg.mapping]
+    order = [c for c in sources if orderable(masked.schema[c].dataType)]
+    order = list(dict.fromkeys([_CHANGED, column_name(masked, cfg.created), *order]))
+    return dedup_latest(keyed_rows(masked, [_MAPPED_KEY]), [_MAPPED_KEY], order)
+
+
+def outgoing_rows(rows: DataFrame, cfg: OutboundConfig) -> DataFrame:
+    """Mapped rows, plus what is needed to order them and report failures."""
     typed = [m if cfg.cast == "try" else replace(m, dtype=None) for m in cfg.mapping]
     if cfg.reject_overlong:
         typed = [t if m.max_length is None else m for t, m in zip(typed, cfg.mapping)]
     return apply_mapping(
-        delta,
+        rows,
         cfg.mapping,
         cast=cfg.cast,
         keep={
-            _CHANGED: changed,
             _CREATED: quoted(cfg.created),
             _KEY: quoted(cfg.key).cast("string"),
-            _UNFIT: unfit_values(delta, typed, cfg.reject_overlong),
+            _UNFIT: unfit_values(rows, typed, cfg.reject_overlong),
         },
     )
 
 
+def _place(cfg: OutboundConfig) -> Column:
+    """A row's batch and its place in it, as one text."""
+    return F.concat_ws(":", quoted(cfg.batch).cast("string"), quoted(cfg.sequence).cast("string"))
+
+
 def _deliver(
     spark: SparkSession, cfg: OutboundConfig, delta: DataFrame, staging: Staging
 ) -> int:
@@ -203,12 +247,9 @@ def _deliver(
     target; failed and unanswered rows are logged, and so are results that
     belong to no sent row.
     """
-    mapped = outgoing_rows(delta, cfg)
-    keyed = keyed_rows(mapped, [cfg.target_key])
+    masked = masked_rows(delta, cfg)
     # A target sees each key once, with its latest row.
-    latest, small = staging.write_checked(
-        dedup_latest(keyed, [cfg.target_key], [_CHANGED, _CREATED]).drop(_CHANGED), "latest"
-    )
+    latest, small = staging.write_checked(outgoing_rows(latest_rows(masked, cfg), cfg), "latest")
 
     def logged(rows: DataFrame, key: Column, error: Column) -> DataFrame:
         return rows.select(
@@ -217,7 +258,9 @@ def _deliver(
             F.col(_CREATED).alias("created_on_date"),
         )
 
-    no_key = unkeyed_rows(mapped, [cfg.target_key])
+    no_key = unkeyed_rows(masked, [_MAPPED_KEY]).select(
+        quoted(cfg.key).cast("string").alias(_KEY), quoted(cfg.created).alias(_CREATED)
+    )
     unfit = latest.where(F.col(_UNFIT).isNotNull())
     log = logged(no_key, F.col(_KEY), F.lit(NO_KEY)).unionByName(
         logged(unfit, F.col(_KEY), F.concat(F.lit(UNFIT), F.col(_UNFIT)))
@@ -227,8 +270,8 @@ def _deliver(
     accepted = outgoing
     if cfg.export_path is not None:
         folder = f"{cfg.export_path.rstrip('/')}/{staging.path.rsplit('-', 1)[-1]}"
-        by_position = cfg.match == "position"
-        if by_position:
+        by_key = cfg.match == "key"
+        if cfg.match == "position":
             sendable = number_rows(sendable, [cfg.target_key], staging, unique=True, name=_ROW)
             exported = sendable.drop(_CREATED, _KEY)
             if cfg.sequence is None:
@@ -236,15 +279,21 @@ def _deliver(
             else:
                 exported = exported.withColumnRenamed(_ROW, cfg.sequence)
             export_batches(exported, folder, cfg.batch_size)
+        elif cfg.match == "batch":
+            sendable = batch_rows(sendable, cfg.batch_size, staging, cfg.batch, cfg.sequence)
+            export_batches(sendable.drop(_CREATED, _KEY), folder, cfg.batch_size, cfg.batch)
+            sendable = sendable.withColumn(_ROW, _place(cfg)).drop(cfg.batch, cfg.sequence)
         else:
             export_batches(outgoing, folder, cfg.batch_size)
         if cfg.deliver is not None:
             # The results are asked for once.
             results = staging.write(cfg.deliver(folder), "results")
-            if by_position:
+            if cfg.match == "position":
                 results = positioned(results, cfg.result_order, sendable.count(), staging, _ROW)
+            elif cfg.match == "batch":
+                results = results.withColumn(_ROW, _place(cfg))
             verdicts, small = staging.write_checked(
-                delivery_verdicts(results, sendable, _ROW if by_position else cfg.target_key),
+                delivery_verdicts(results, sendable, cfg.target_key if by_key else _ROW),
                 "verdicts",
             )
             said = F.col("verdict")
@@ -259,8 +308,8 @@ def _deliver(
             accepted = verdicts.where(said == "delivered").select(
                 *[quoted(c) for c in outgoing.columns]
             )
-    log = staging.write(log, "failures")
-    failed_count = log.count()
+    log, seen = staging.write_observed(log, {"rows": F.count(F.lit(1))}, "failures")
+    failed_count = seen["rows"]
     if cfg.target is not None:
         cfg.target.upsert(accepted, null_policy=cfg.null_policy, unique=True, small=small)
     if failed_count:
@@ -269,21 +318,51 @@ def _deliver(
 
 
 def run_inbound(spark: SparkSession, cfg: InboundConfig) -> RunResult:
-    """Append the landed records created or modified since the last run."""
+    """Append the landed records created or modified since the last run.
+
+    With ``cfg.manifest`` only files that no run has taken are opened, and every active
+    record in them is new, late ones too.
+    """
     cfg.validate()
-    return sync_records(spark, cfg, read_landed(spark, cfg))
+    if cfg.manifest is None:
+        return sync_records(spark, cfg, read_landed(spark, cfg, cfg.landing))
+    manifest = LandingManifest(spark, cfg.manifest, cfg.manifest_lag)
+    run = manifest.plan(
+        cfg.landing,
+        lambda: next_batch_id(read_registry(spark, cfg), cfg.batch_columns).first()[0]
+        if cfg.claims is None
+        else claim_batch_id(
+            read_registry(spark, cfg), cfg.claims, cfg.object_name, cfg.batch_columns
+        ),
+    )
+    paths = manifest.paths(run)
+    result = sync_records(
+        spark, cfg, read_landed(spark, cfg, paths), late=True, batch_id=run.batch_id
+    )
+    manifest.commit(run)
+    return result
 
 
-def read_landed(spark: SparkSession, cfg: InboundConfig) -> DataFrame:
-    """All landed records, mapped columns only, and the text of those that do not parse."""
+def read_landed(spark: SparkSession, cfg: InboundConfig, paths: str | list[str]) -> DataFrame:
+    """Landed records of a folder or of files, and the text of those that do not parse.
+
+    Attributes that the mapping does not name are left out, or kept in ``cfg.unmapped``.
+    """
     schema = landed_schema(cfg)
-    return read_json_object(spark, cfg.landing, schema, cfg.multi_line)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    if cfg.unmapped is None:
+        return read_json_object(spark, paths, schema, cfg.multi_line)
+    return read_json_variant(
+        spark, paths, schema, multi_line=cfg.multi_line, rest=cfg.unmapped, corrupt=CORRUPT
+    ).withColumn(cfg.unmapped, F.to_json(quoted(cfg.unmapped)))
 
 
 def landed_schema(cfg: InboundConfig) -> T.StructType:
     return T.StructType(
         [
             *object_schema(cfg.mapping, cfg.read_types).fields,
+            *([T.StructField(cfg.unmapped, T.StringType())] if cfg.unmapped else []),
             T.StructField(CORRUPT, T.StringType()),
         ]
     )
@@ -312,10 +391,10 @@ def sync_records(
             taken = inbound_delta(records, cfg, None if late or polled_late else mark)
             if polled_late:
                 taken = _not_taken_before(spark, cfg, taken, mark)
-            taken = staging.write(taken, "delta")
-            delta = taken.where(F.col(REJECT).isNull()).drop(REJECT)
-            rejected = _reject(spark, cfg, taken.where(F.col(REJECT).isNotNull()), staging)
-            count, reached = _measure(delta, cfg, mark)
+            fine = F.col(REJECT).isNull()
+            staged, count, reached = _stage_delta(staging, taken, cfg, mark, fine)
+            delta = staged.where(fine).drop(REJECT)
+            rejected = _reject(spark, cfg, staged.where(~fine), staging)
             if count == 0:
                 return audit.append(RunResult("no_data", 0, mark, rejected))
             batch_id = _append_batch(spark, cfg, delta, batch_id)
@@ -333,8 +412,11 @@ def inbound_delta(records: DataFrame, cfg: InboundConfig, mark: datetime | None)
     text = F.lit(None).cast("string")
     if CORRUPT in records.columns:
         text = F.col(CORRUPT)
+    keep = {REJECT: text}
+    if cfg.unmapped is not None:
+        keep[cfg.unmapped] = quoted(cfg.unmapped)
     shaped = epoch_millis_to_datetime(
-        apply_mapping(records, cfg.mapping, cast=cfg.cast, keep={REJECT: text}),
+        apply_mapping(records, cfg.mapping, cast=cfg.cast, keep=keep),
         cfg.epoch_columns,
         move_last=True,
     )
@@ -390,11 +472,12 @@ def _reject(
     if ref.path and ref.schema is None:
         ref = TableRef(ref.format, ref.path, ref.options, REJECT_SCHEMA)
     known = read_table(spark, ref).where(F.col("object_name") == cfg.object_name).select("record")
-    fresh = staging.write(
+    fresh, seen = staging.write_observed(
         rows.select(F.col(REJECT).alias("record")).distinct().join(known, "record", "left_anti"),
+        {"rows": F.count(F.lit(1))},
         "rejects",
     )
-    count = fresh.count()
+    count = seen["rows"]
     if count:
         append_table(
             fresh.select(F.lit(cfg.object_name).alias("object_name"), "record"), ref
@@ -425,8 +508,11 @@ def _append_batch(
     registry, names, now = read_registry(spark, cfg), cfg.batch_columns, _utc_now()
     known = False
     if batch_id is None:
-        newest = newest_value(_registry_ref(cfg), names.batch)
-        batch_id = next_batch_id(read_table(spark, newest), names).first()[0]
+        newest = read_table(spark, newest_value(_registry_ref(cfg), names.batch))
+        if cfg.claims is None:
+            batch_id = next_batch_id(newest, names).first()[0]
+        else:
+            batch_id = claim_batch_id(newest, cfg.claims, cfg.object_name, names)
     else:
         same = (quoted(names.batch) == batch_id) & (quoted(names.object_name) == cfg.object_name)
         known = not registry.where(same).isEmpty()

@@ -146,7 +146,16 @@ _INBOUND = f"""
         where r.CreatedDate > m or r.LastModifiedDate > m)
 """
 
-_EVENT_COLUMNS = "event_id, user_id, event_type, value, ts"
+_EVENT_COLUMNS = "event_id, user_id, event_type, value, props, ts"
+
+_MOVED = """
+    select c_custkey, c_name, c_nationkey,
+           case when c_mktsegment = 'BUILDING' then 'BUILT' else c_mktsegment end as c_mktsegment
+    from customer where c_acctbal >= 0
+    union all
+    select -c_custkey, c_name, c_nationkey, c_mktsegment
+    from customer where c_acctbal >= 0 and c_mktsegment = 'MACHINERY'
+"""
 
 ORACLES: dict[str, str] = {
     "watermark_max": """
@@ -317,6 +326,39 @@ ORACLES: dict[str, str] = {
         select {_EVENT_COLUMNS},
                cast(case when ts <= timestamp '2024-01-10' then 0 else 1 end as bigint) as batch_id
         from events""",
+    "json_ingest_variant": f"""
+        select {_EVENT_COLUMNS}, cast(props ->> '$.k' as bigint) as k,
+               concat_ws(',', case when event_type is not null then 'event_type' end,
+                         case when props is not null then 'props' end,
+                         case when value is not null then 'value' end) as unmapped,
+               true as parsed
+        from events""",
+    "stream_deduplicated": f"select {_EVENT_COLUMNS} from events",
+    "register_batch_race": """
+        select 'click' as object_name, timestamp '2024-03-01 12:00:00' as created_on_date,
+               0 as is_merged, max(event_id) + 1 as batch_id
+        from events
+        union all
+        select 'view', timestamp '2024-03-01 12:00:00', 0, max(event_id) + 2 from events""",
+    "load_times": """
+        select cast(7 as bigint) as batch_id, count(*) as row_count,
+               cast(1 as bigint) as load_times, true as loaded_in_run,
+               true as audit_in_order, true as audited_after_load
+        from events""",
+    "vanished_keys": f"""
+        with s as ({_MOVED})
+        select coalesce(c.c_custkey, s.c_custkey) as c_custkey,
+               case when s.c_custkey is null then 'vanished'
+                    when c.c_custkey is null then 'added' else 'changed' end as change
+        from customer c full join s on s.c_custkey = c.c_custkey
+        where s.c_custkey is null or c.c_custkey is null or c.c_mktsegment <> s.c_mktsegment""",
+    "reconcile_ranges": """
+        with r as (
+            select substr(md5(length(o_orderkey::varchar)::varchar || ':' || o_orderkey::varchar),
+                          1, 3) as range, o_orderkey % 1009 <> 7 as kept
+            from orders)
+        select range, count(*) as target_rows, count(*) filter (where kept) as source_rows
+        from r group by range having count(*) <> count(*) filter (where kept)""",
     "outbound_delta": f"""
         select cast(o_orderkey as varchar) as order_key, c_name as full_name,
                case when c_acctbal < 0 then 'NA' else c_mktsegment end as program,
@@ -364,6 +406,10 @@ ORACLES: dict[str, str] = {
         "select id, 'PRICE_LIMIT', o_orderdate from latest where o_totalprice > 400000",
         "o_totalprice <= 400000",
     ),
+    "run_outbound_batch_positions": _once(
+        "select id, 'PRICE_LIMIT', o_orderdate from latest where o_totalprice > 400000",
+        "o_totalprice <= 400000",
+    ),
     "run_outbound_failed": """
         select 0 as is_success, 0 as record_count, timestamp '1970-01-01' as watermark,
                'orders' as object_name, 0 as failed_count
@@ -423,6 +469,15 @@ ORACLES: dict[str, str] = {
         select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,
                cast(batch_id as bigint) as batch_id
         from (select * from first_run union all select * from second_run)""",
+    "run_inbound_manifest": f"""
+        select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,
+               cast(case when ts <= timestamp '2024-01-10' then 1 else 2 end as bigint) as batch_id
+        from ({_RECORDS})""",
+    "run_inbound_unmapped": f"""
+        select Id, '{{"Kind__c":"' || Kind || '"}}' as others, IsActive, LastModifiedDate,
+               CreatedDate, LastLoginDate,
+               cast(case when ts <= timestamp '2024-01-10' then 1 else 2 end as bigint) as batch_id
+        from ({_RECORDS})""",
     "stream_inbound": f"""
         select Id, Kind, IsActive, LastModifiedDate, CreatedDate, LastLoginDate,
                cast(case when ts <= timestamp '2024-01-10' then 1 else 2 end as bigint) as batch_id

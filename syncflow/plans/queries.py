@@ -9,13 +9,14 @@ enrolments are derived from the rows' own columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from syncflow.functions.columns import instant
-from syncflow.operators import audit, delta, merge, numbering, reconcile, reshape
+from syncflow.operators import audit, delta, digest, merge, numbering, reconcile, reshape
 from syncflow.operators.reshape import ColumnMap
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.plans.jobs import run_inbound, run_outbound
@@ -27,6 +28,7 @@ from syncflow.sources.mapping import load_mapping
 from syncflow.sources.records import (
     RESULT_SCHEMA,
     read_json_object,
+    read_json_variant,
     read_results,
     results_frame,
 )
@@ -585,6 +587,91 @@ def register_batch(spark, d):
     return row.withColumn("created_on_date", F.col("created_on_date").cast("timestamp_ntz"))
 
 
+@query
+def register_batch_race(spark, d):
+    """Two runs register at the same time: both read the registry before either has written."""
+    registry = _registry(spark, d)
+    claims = Staging(spark, "claims").folder("ids")
+    rows = [
+        audit.register_batch(
+            registry, name, "2024-03-01 12:00:00", audit.claim_batch_id(registry, claims, name)
+        )
+        for name in ("click", "view")
+    ]
+    both = rows[0].unionByName(rows[1])
+    return both.withColumn("created_on_date", F.col("created_on_date").cast("timestamp_ntz"))
+
+
+@query
+def load_times(spark, d):
+    """Load time of a snapshot and times of an audit row: inside the run, and in order."""
+    before = F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp")
+    rows = audit.tag_snapshot(table(spark, d, "events").select("event_id"), 7)
+    ref = _snapshot_ref(spark, "load-times")
+    export.append_snapshot(rows, ref)
+    row = audit.audit_row(spark, datetime.now(timezone.utc), None, "success", 1, MARK, "events")
+    log = Staging(spark, "load-times").write(row, "audit")
+    loaded = read_table(spark, ref).groupBy("batch_id").agg(
+        F.count("time_stamp").alias("row_count"),
+        F.count_distinct("time_stamp").alias("load_times"),
+        F.min("time_stamp").alias("first"),
+        F.max("time_stamp").alias("last"),
+    )
+    now = F.current_timestamp()
+    ended = log.select(
+        F.lit(7).cast("int").alias("batch_id"),
+        (F.col("execution_end_time") >= F.col("execution_start_time")).alias("audit_in_order"),
+        F.col("execution_end_time").alias("end"),
+    )
+    return loaded.join(F.broadcast(ended), "batch_id").select(
+        F.col("batch_id").cast("bigint").alias("batch_id"),
+        "row_count",
+        "load_times",
+        ((F.col("first") >= before) & (F.col("last") <= now)).alias("loaded_in_run"),
+        "audit_in_order",
+        ((F.col("end") >= F.col("last")) & (F.col("end") <= now)).alias("audited_after_load"),
+    )
+
+
+# -- what a watermark does not tell --------------------------------------------------
+
+
+def _moved_customers(spark, d) -> DataFrame:
+    """The source later: debtors are gone, building customers moved, each machinist has a twin."""
+    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    rows = table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
+    twins = rows.where(segment == "MACHINERY").withColumn("c_custkey", -key)
+    moved = F.when(segment == "BUILDING", F.lit("BUILT")).otherwise(segment)
+    return rows.withColumn("c_mktsegment", moved).unionByName(twins)
+
+
+_COMPARED = ["c_name", "c_nationkey", "c_mktsegment"]
+
+
+@query
+def vanished_keys(spark, d):
+    """Keys that the target holds and the source does not, or differently, or the reverse."""
+    return digest.table_differences(
+        table(spark, d, "customer"), _moved_customers(spark, d), ["c_custkey"], _COMPARED
+    )
+
+
+@query
+def reconcile_ranges(spark, d):
+    """Ranges of orders that differ after a few were lost, and the rows of both sides in them."""
+    orders = table(spark, d, "orders")
+    staging = Staging(spark, "ranges")
+    ranges, _ = digest.differing_ranges(
+        orders,
+        orders.where(F.col("o_orderkey") % 1009 != 7),
+        ["o_orderkey"],
+        ["o_custkey", "o_orderstatus"],
+        staging,
+        levels=(1, 2, 3),
+    )
+    return ranges
+
+
 @query
 def latest_batch(spark, d):
     return audit.latest_batch(_registry(spark, d), "click")
@@ -627,6 +714,7 @@ _LANDED = T.StructType(
         T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
         T.StructField(MICROS, T.LongType()),
     ]
 )
@@ -662,7 +750,8 @@ def stream_incremental(spark, d):
     staging = Staging(spark, "stream")
     landing, checkpoint = staging.folder("landing"), staging.folder("checkpoint")
     schema = T.StructType.fromDDL(
-        "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz"
+        "event_id bigint, user_id bigint, event_type string, value double, props string,"
+        " ts timestamp_ntz"
     )
     target = KeyedTable(spark, staging.folder("target"), schema, ["user_id"], buckets=8)
 
@@ -676,6 +765,52 @@ def stream_incremental(spark, d):
     return target.read()
 
 
+@query
+def json_ingest_variant(spark, d):
+    """Three attributes are mapped; the others, props too, stay with their types."""
+    path = Staging(spark, "landing").folder("json")
+    _land(table(spark, d, "events"), path)
+    schema = T.StructType([f for f in _LANDED.fields if f.name in ("event_id", "user_id", MICROS)])
+    rows = read_json_variant(spark, path, schema)
+    props = F.variant_get("unmapped", "$.props", "string")
+    return _unpack(rows).select(
+        "event_id",
+        "user_id",
+        "ts",
+        F.variant_get("unmapped", "$.event_type", "string").alias("event_type"),
+        F.variant_get("unmapped", "$.value", "double").alias("value"),
+        props.alias("props"),
+        F.variant_get(F.parse_json(props), "$.k", "bigint").alias("k"),
+        F.concat_ws(
+            ",", F.array_sort(F.map_keys(F.col("unmapped").cast("map<string,variant>")))
+        ).alias("unmapped"),
+        F.col("_corrupt_record").isNull().alias("parsed"),
+    )
+
+
+@query
+def stream_deduplicated(spark, d):
+    """Every record lands twice, the second time in a later file; the target sees it once."""
+    staging = Staging(spark, "stream")
+    landing, checkpoint = staging.folder("landing"), staging.folder("checkpoint")
+    snapshot = TableRef(path=staging.folder("snapshot"))
+    events = table(spark, d, "events")
+
+    def run():
+        stream = _unpack(read_landing(spark, landing, _LANDED)).withColumn(
+            "at", F.col("ts").cast("timestamp")
+        )
+        once = incremental.drop_repeats(stream, ["event_id"], "at", "365 days")
+        incremental.stream_snapshots(once.drop("at"), snapshot, checkpoint).awaitTermination()
+
+    split = instant("2024-01-10", T.TimestampNTZType())
+    for rows in (events.where(F.col("ts") <= split), events, events):
+        _land(rows, landing)
+        run()
+    # Spark numbers a batch without rows too, when only the watermark has moved.
+    return read_table(spark, snapshot).drop("time_stamp", "stream_id", "batch_id")
+
+
 @query
 def stream_snapshots(spark, d):
     """Every landed event once, tagged with its micro-batch."""
@@ -918,6 +1053,26 @@ def run_outbound_positional(spark, d):
     )
 
 
+@query
+def run_outbound_batch_positions(spark, d):
+    """Results without a key: batch, and place in the batch."""
+
+    def answer(sent: DataFrame) -> DataFrame:
+        fine = F.col("price").cast("double") <= _PRICE_LIMIT
+        return results_frame(
+            sent,
+            "last_order",
+            F.when(fine, "true").otherwise("false"),
+            F.when(~fine, "PRICE_LIMIT"),
+            batch=F.col("batch"),
+            seq=F.col("seq").cast("bigint"),
+        )
+
+    return _outcome(
+        spark, _one_outbound_run(spark, d, answer, match="batch", sequence="seq", batch_size=1000)
+    )
+
+
 @query
 def run_outbound_failed(spark, d):
     """The remote side breaks down once: the run is audited, holds its mark and is repeated."""
@@ -1048,6 +1203,30 @@ def stream_inbound(spark, d):
     return _snapshot_rows(spark, cfg)
 
 
+@query
+def run_inbound_manifest(spark, d):
+    """Polled runs that open new files only, and so take late records too."""
+    cfg, older, newer = _inbound(spark, d, Staging(spark, "inbound-manifest"))
+    cfg.manifest = cfg.landing + "-manifest"
+    for rows in (older, newer):
+        rows.write.mode("append").json(cfg.landing)
+        run_inbound(spark, cfg)
+    run_inbound(spark, cfg)
+    return _snapshot_rows(spark, cfg)
+
+
+@query
+def run_inbound_unmapped(spark, d):
+    """Attributes that the mapping does not name are kept beside the mapped ones."""
+    cfg, older, newer = _inbound(spark, d, Staging(spark, "inbound-unmapped"))
+    cfg.manifest, cfg.unmapped = cfg.landing + "-manifest", "others"
+    cfg.mapping = [m for m in cfg.mapping if m.target != "Kind"]
+    for rows in (older, newer):
+        rows.write.mode("append").json(cfg.landing)
+        run_inbound(spark, cfg)
+    return _snapshot_rows(spark, cfg)
+
+
 @query
 def run_inbound_late(spark, d):
     """Polled runs that also take late records: those dated before the mark, but not yet held."""

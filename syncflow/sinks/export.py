@@ -20,12 +20,16 @@ CSV_OPTIONS = {
 }
 
 
-def export_batches(df: DataFrame, path: str, size: int = BATCH_SIZE) -> None:
+def export_batches(
+    df: DataFrame, path: str, size: int = BATCH_SIZE, batch: str | None = None
+) -> None:
     """Write CSV files of at most ``size`` rows each, every one with a header.
 
-    Each task writes its own files: nothing is shuffled, sorted or collected.
+    Each task writes its own files: nothing is shuffled, sorted or collected. With
+    ``batch``, a column that numbers batches, each batch has a folder of its own.
     """
-    df.write.options(**CSV_OPTIONS).option("maxRecordsPerFile", size).csv(path)
+    writer = df.write.options(**CSV_OPTIONS).option("maxRecordsPerFile", size)
+    (writer if batch is None else writer.partitionBy(batch)).csv(path)
 
 
 def append_snapshot(df: DataFrame, ref: TableRef, partition: Sequence[str] = ("batch_id",)) -> None:

@@ -6,6 +6,7 @@ few kilobytes. Rows never do.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -67,3 +68,21 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
     if not fs.rename(draft, final):
         raise FileExistsError(path)
+
+
+def create_note(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file that does not exist yet; false if somebody else did."""
+    fs, jpath = _fs(spark, path)
+    if fs.exists(jpath):
+        return False
+    try:
+        stream = fs.create(jpath, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    return True

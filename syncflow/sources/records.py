@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from syncflow.functions.columns import quoted
 from syncflow.operators.reshape import ColumnMap
 
 RESULT_SCHEMA = T.StructType(
@@ -35,7 +36,7 @@ def object_schema(
 
 def read_json_object(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     multi_line: bool = False,
     options: dict[str, str] | None = None,
@@ -50,6 +51,52 @@ def read_json_object(
     return reader.json(path)
 
 
+def read_json_variant(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    multi_line: bool = False,
+    rest: str = "unmapped",
+    corrupt: str = "_corrupt_record",
+) -> DataFrame:
+    """Read landed JSON pages whole: typed columns, and all other attributes as a VARIANT.
+
+    The columns of ``schema`` are taken out of the parsed record. What the schema does not
+    name is kept in ``rest`` with its types (null if there is nothing), so an attribute that
+    the remote side adds later is not lost. Lines and arrays as for ``read_json_object``. A line that
+    is no JSON, and a record whose attribute does not fit its type, have their text in ``corrupt``
+    and nulls elsewhere.
+    """
+    named = [f for f in schema.fields if f.name not in (rest, corrupt)]
+    lines = spark.read.text(path, wholetext=multi_line)
+    page = F.try_parse_json("value")
+    records = F.coalesce(
+        F.try_variant_get(page, "$", "array<variant>"), F.array(page)
+    )
+    rows = lines.where(F.trim("value") != "").select(
+        "value", F.explode(records).alias("record")
+    )
+    attributes = F.col("record").try_cast("map<string,variant>")
+    broken = attributes.isNull()
+    columns = []
+    for f in named:
+        held = F.element_at(attributes, f.name)
+        value = F.try_variant_get(held, "$", f.dataType.simpleString())
+        broken = broken | (held.isNotNull() & ~F.is_variant_null(held) & value.isNull())
+        columns.append(value.alias(f.name))
+    names = [f.name for f in named]
+    others = F.map_filter(attributes, lambda k, _: ~k.isin(*names))
+    whole = rows.select(
+        *columns,
+        F.when(F.size(others) > 0, F.parse_json(F.to_json(others))).alias(rest),
+        F.when(broken, F.coalesce(F.to_json("record"), F.col("value"))).alias(corrupt),
+    )
+    fine = quoted(corrupt).isNull()
+    return whole.select(
+        *[F.when(fine, quoted(c)).alias(c) for c in [*names, rest]], quoted(corrupt)
+    )
+
+
 def read_results(
     spark: SparkSession,
     path: str,

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,19 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_observed(
+        self, df: DataFrame, metrics: dict[str, Column], name: str = "rows"
+    ) -> tuple[DataFrame, dict]:
+        """``write``, and aggregates of the rows that were taken while they were written.
+
+        The metrics are observed above everything else, so in the tasks that write. Of a
+        task that runs twice, only the attempt that is committed counts.
+        """
+        observation = Observation()
+        named = [column.alias(key) for key, column in metrics.items()]
+        written = self.write(df.observe(observation, *named), name)
+        return written, observation.get
+
     def size(self) -> int:
         """Bytes written so far."""
         return files.size(self.spark, self.path)

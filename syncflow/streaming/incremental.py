@@ -54,6 +54,18 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
+def drop_repeats(
+    stream: DataFrame, keys: Sequence[str], event_time: str, horizon: str
+) -> DataFrame:
+    """Leave out records whose ``keys`` came before, within ``horizon`` of event time.
+
+    ``event_time`` is a timestamp column. Spark keeps a key as long as the watermark, which
+    trails the newest event by ``horizon``, has not passed it; so the state is bounded by
+    the keys of one horizon. Records older than the watermark are late and left out.
+    """
+    return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+
+
 def stream_incremental(
     stream: DataFrame,
     target: KeyedTable,

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
@@ -70,3 +71,20 @@ def test_snapshot_tags(spark):
     tagged = audit.tag_snapshot(rows, 3, START)
     assert rows_of(as_utc(tagged)) == [(1, START, 3)]
     assert audit.tag_snapshot(rows, 3, load_col=None).columns == ["id", "batch_id"]
+
+
+def test_claimed_ids_are_never_shared(spark, folder):
+    registry = spark.createDataFrame([("User", 7)], "object_name string, batch_id long")
+    claims = folder("claims")
+    # Nothing is registered in between, as if all had asked at the same time.
+    got = [audit.claim_batch_id(registry, claims, f"run {i}") for i in range(4)]
+    assert got == [8, 9, 10, 11]
+    later = registry.union(spark.createDataFrame([("User", 20)], registry.schema))
+    assert audit.claim_batch_id(later, claims, "run 5") == 21
+
+
+def test_claims_of_many_threads(spark, folder):
+    registry = spark.createDataFrame([], "object_name string, batch_id long")
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda i: audit.claim_batch_id(registry, folder("ids"), str(i)), range(8)))
+    assert max(got) >= len(set(got)) and min(got) == 1

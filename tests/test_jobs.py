@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from conftest import forget_last_commit, rows_of
 from syncflow.functions.columns import EPOCH
-from syncflow.operators.reshape import apply_mapping
+from syncflow.operators.reshape import ColumnMap, apply_mapping
 from syncflow.plans.config import OutboundConfig
 from syncflow.plans.jobs import NO_KEY, run_inbound, run_outbound
 from syncflow.plans.presets import ACCOUNT_AUDIT, USER_AUDIT, account_sync, user_sync
 from syncflow.plans.standard_mappings import ACCOUNT_MAPPING, USER_MAPPING, parse_mapping
+from syncflow.sinks.export import CSV_OPTIONS
 from syncflow.sinks.keyed_table import KeyedTable
 from syncflow.sources.tables import TableRef, read_table
 from syncflow.streaming.incremental import stream_inbound
@@ -348,3 +349,124 @@ def test_a_repeated_inbound_micro_batch_replaces_its_batch(spark, inbound, folde
     land(inbound, "2", user("u2", D[2]))
     stream_inbound(spark, inbound, folder("checkpoint")).awaitTermination()
     assert rows_of(snapshot(spark, inbound)) == [("u1", 1), ("u2", 2)]
+
+
+# -- latest row before the cast, batches, manifest, unmapped attributes ------------
+
+
+def one_outbound(spark, folder, rows, **settings):
+    schema = "k string, amount double, n int, changed timestamp_ntz"
+    cfg = OutboundConfig(
+        source=TableRef(path=folder("source")),
+        audit=TableRef(path=folder("audit")),
+        failure_log=TableRef(path=folder("failures")),
+        mapping=[
+            ColumnMap("k", "k", "varchar(10)"),
+            ColumnMap("amount", "amount", "decimal(5,2)"),
+            ColumnMap("n", "n", "int"),
+        ],
+        key="k",
+        created="changed",
+        target=KeyedTable(
+            spark, folder("target"), T.StructType.fromDDL("k string, amount decimal(5,2), n int"), ["k"]
+        ),
+        **settings,
+    )
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(cfg.source.path)
+    return cfg
+
+
+def test_the_latest_row_is_chosen_before_values_are_cast(spark, folder):
+    rows = [("a", 1.0, 1, D[1]), ("a", 12345.0, 2, D[1]), ("b", 5.0, 3, D[2]), ("b", None, 4, D[2])]
+    cfg = one_outbound(spark, folder, rows)
+    result = run_outbound(spark, cfg)
+    # The larger amount wins the tie, does not fit, and is reported instead of lost.
+    assert (result.count, result.failed_count, result.watermark) == (4, 1, D[2])
+    assert rows_of(read_table(spark, cfg.failure_log)) == [("a", "values do not fit: amount", D[1])]
+    assert [r["k"] for r in cfg.target.read().collect()] == ["b"]
+
+
+def test_results_are_matched_by_batch_and_place(spark, folder):
+    def deliver(path):
+        sent = spark.read.options(**CSV_OPTIONS).csv(path)
+        assert {c for c in ("batch", "seq")} <= set(sent.columns)
+        sizes = {r["batch"]: r["count"] for r in sent.groupBy("batch").count().collect()}
+        assert all(n <= 2 for n in sizes.values())
+        answered = sent.where("k <> 'k7'").select("batch", F.col("seq").cast("int").alias("seq"), "k")
+        stray = spark.createDataFrame([("nobody", 1, "x")], "batch string, seq int, k string")
+        return answered.union(stray).select(
+            "batch",
+            "seq",
+            F.when(F.col("k") == "k3", "false").otherwise("true").alias("success"),
+            F.when(F.col("k").isin("k3", "x"), F.concat(F.lit("no "), "k")).alias("error"),
+        )
+
+    rows = [(f"k{i}", float(i), i, D[1]) for i in range(11)]
+    cfg = one_outbound(
+        spark, folder, rows, export_path=folder("out"), deliver=deliver, match="batch",
+        sequence="seq", batch_size=2,
+    )
+    assert run_outbound(spark, cfg).failed_count == 3
+    log = read_table(spark, cfg.failure_log).select("k", "error_message")
+    assert rows_of(log) == [
+        ("k3", "no k3"), ("k7", "no result"), ("nobody:1", "result without a sent row"),
+    ]
+    assert {r["k"] for r in cfg.target.read().collect()} == {f"k{i}" for i in range(11)} - {"k3", "k7"}
+    with pytest.raises(ValueError, match="sequence"):
+        replace(cfg, sequence=None).validate()
+
+
+def test_a_manifest_run_opens_new_files_only(spark, inbound):
+    inbound.manifest = inbound.landing + "-manifest"
+    assert run_inbound(spark, inbound).status == "no_data"
+    land(inbound, "1", user("u1", D[5]), user("off", D[5], IsActive=False))
+    assert run_inbound(spark, inbound).count == 1
+    # Were the first file opened again, its broken records would fail the run.
+    path = f"{inbound.landing}/1.json"
+    seen = os.stat(path)
+    with open(path, "r+") as old:
+        old.write("x" * seen.st_size)
+    os.utime(path, ns=(seen.st_atime_ns, seen.st_mtime_ns))
+    land(inbound, "2", user("late", D[2]))
+    third = run_inbound(spark, inbound)
+    assert (third.count, third.watermark, third.batch_id) == (1, D[5], 2)
+    assert run_inbound(spark, inbound).status == "no_data"
+    assert rows_of(snapshot(spark, inbound)) == [("late", 2), ("u1", 1)]
+
+
+def test_a_manifest_run_that_dies_is_repeated_as_planned(spark, inbound, monkeypatch):
+    inbound.manifest = inbound.landing + "-manifest"
+    land(inbound, "1", user("u1", D[1]))
+
+    def crash(*_args):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("syncflow.sources.manifest.LandingManifest.commit", crash)
+        with pytest.raises(OSError):
+            run_inbound(spark, inbound)
+    land(inbound, "2", user("u2", D[2]))
+    assert run_inbound(spark, inbound).batch_id == 1
+    assert rows_of(snapshot(spark, inbound)) == [("u1", 1)]
+    assert read_table(spark, inbound.registry).count() == 1
+    assert run_inbound(spark, inbound).batch_id == 2
+    assert rows_of(snapshot(spark, inbound)) == [("u1", 1), ("u2", 2)]
+
+
+@pytest.mark.parametrize("manifest", [False, True])
+def test_unmapped_attributes_are_kept(spark, inbound, manifest):
+    inbound.unmapped = "others"
+    inbound.manifest = inbound.landing + "-manifest" if manifest else None
+    land(inbound, "1", user("u1", D[1]), user("u2", D[2], New={"a": [1, "x"]}, Flag=True))
+    assert run_inbound(spark, inbound).count == 2
+    got = read_table(spark, inbound.snapshot).select("Id", "others")
+    assert rows_of(got) == [("u1", None), ("u2", '{"Flag":true,"New":{"a":[1,"x"]}}')]
+
+
+def test_claimed_batch_ids(spark, inbound, folder):
+    inbound.claims = folder("claims")
+    land(inbound, "1", user("u1", D[1]))
+    os.makedirs(folder("claims"))
+    with open(os.path.join(folder("claims"), f"{1:020d}"), "w"):
+        pass  # another run has claimed the first id and not registered it yet
+    assert run_inbound(spark, inbound).batch_id == 2

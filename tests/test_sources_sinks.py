@@ -10,11 +10,17 @@ from pyspark.sql import types as T
 
 from conftest import plan_of, rows_of
 from syncflow.operators.audit import tag_snapshot
+from syncflow.operators.numbering import batch_rows
 from syncflow.operators.reshape import ColumnMap
 from syncflow.sinks.export import append_snapshot, export_batches
 from syncflow.sources import files
 from syncflow.sources.mapping import load_mapping
-from syncflow.sources.records import object_schema, read_json_object, read_results
+from syncflow.sources.records import (
+    object_schema,
+    read_json_object,
+    read_json_variant,
+    read_results,
+)
 from syncflow.sources.tables import JdbcSplit, TableRef, append_table, newest_value, read_table
 from syncflow.staging import PARTITION_BYTES, Staging, decoded_bytes, sized_shuffles, staging_root
 
@@ -191,3 +197,72 @@ def test_a_database_is_asked_for_the_newest_value_only():
         newest_value(log, "id", [("a", "; drop", 1)])
     files_ref = TableRef(path="p")
     assert newest_value(files_ref, "id") is files_ref
+
+
+VARIANT_SCHEMA = T.StructType.fromJson(
+    {
+        "type": "struct",
+        "fields": [
+            {"name": n, "type": t, "nullable": True, "metadata": {}}
+            for n, t in (("Id", "string"), ("n", "long"), ("on", "boolean"), ("odd name", "double"))
+        ],
+    }
+)
+
+
+def test_variant_records_keep_what_the_schema_does_not_name(spark, folder):
+    lines = [
+        '{"Id": "1", "n": 5, "on": true, "odd name": 1.5}',
+        '[{"Id": 2, "more": {"x": [1, null]}, "n": null}, {"Id": "3", "Id2": "y"}]',
+        "{}",
+        "  ",
+        '{"Id": "cut',
+        '{"Id": "5", "n": "soon", "more": 1}',
+        "[1, {}]",
+    ]
+    write(folder("in/a.json"), "\n".join(lines) + "\n")
+    got = read_json_variant(spark, folder("in"), VARIANT_SCHEMA)
+    rest = F.to_json("unmapped").alias("unmapped")
+    assert rows_of(got.select("Id", "n", "on", "odd name", rest, "_corrupt_record")) == sorted(
+        [
+            ("1", 5, True, 1.5, None, None),
+            ("2", None, None, None, '{"more":{"x":[1,null]}}', None),
+            ("3", None, None, None, '{"Id2":"y"}', None),
+            (None,) * 6,
+            (None, None, None, None, None, '{"Id": "cut'),
+            (None, None, None, None, None, '{"Id":"5","more":1,"n":"soon"}'),
+            (None, None, None, None, None, "1"),
+            (None,) * 6,
+        ],
+        key=repr,
+    )
+
+
+def test_variant_pages_that_span_lines_and_no_files(spark, folder):
+    write(folder("in/a.json"), '[\n {"Id": "2",\n  "x": false}\n]\n')
+    got = read_json_variant(spark, folder("in"), VARIANT_SCHEMA, multi_line=True, rest="others")
+    assert rows_of(got.select("Id", F.to_json("others"))) == [("2", '{"x":false}')]
+
+
+def test_metrics_are_observed_while_rows_are_written(spark):
+    with Staging(spark) as staging:
+        rows = spark.range(1000, numPartitions=7).withColumn("t", F.timestamp_micros(F.col("id") + 1))
+        metrics = {"n": F.count(F.lit(1)), "most": F.max(F.unix_micros("t"))}
+        written, seen = staging.write_observed(rows.where("id % 3 = 0"), metrics)
+        assert (written.count(), seen) == (334, {"n": 334, "most": 1000})
+        for empty in (rows.where("id < 0"), spark.createDataFrame([], rows.schema)):
+            assert staging.write_observed(empty, metrics)[1] == {"n": 0, "most": None}
+
+
+def test_batch_rows_are_numbered_by_their_files(spark):
+    with Staging(spark) as staging:
+        rows = batch_rows(spark.range(100, numPartitions=3), 8, staging, "b", "r")
+        got = rows.collect()
+        assert sorted(x["id"] for x in got) == list(range(100))
+        batches = {}
+        for x in got:
+            batches.setdefault(x["b"], []).append(x["r"])
+        assert len(batches) == 15
+        assert all(sorted(r) == list(range(1, len(r) + 1)) and len(r) <= 8 for r in batches.values())
+        assert rows_of(rows) == rows_of(rows) and "Exchange" not in plan_of(rows)
+        assert batch_rows(spark.range(0), 8, staging).collect() == []

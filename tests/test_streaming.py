@@ -95,3 +95,30 @@ def test_an_interval_keeps_the_stream_running(spark, folder):
         assert started.isActive and target.read().count() == 1
     finally:
         started.stop()
+
+
+EVENTS = T.StructType().add("k", T.StringType()).add("at", T.TimestampType()).add("v", T.StringType())
+
+
+def test_repeats_within_the_horizon_are_left_out(spark, folder):
+    ref = TableRef(path=folder("snapshot"))
+
+    def land_and_run(*rows):
+        frame = spark.createDataFrame(rows, "k string, at string, v string")
+        frame = frame.withColumn("at", F.col("at").cast("timestamp"))
+        frame.coalesce(1).write.mode("append").parquet(folder("events"))
+        stream = incremental.read_landing(spark, folder("events"), EVENTS, "parquet")
+        once = incremental.drop_repeats(stream, ["k"], "at", "1 hour")
+        incremental.stream_snapshots(once, ref, folder("checkpoint")).awaitTermination()
+        return sorted(r["v"] for r in read_table(spark, ref).collect())
+
+    assert land_and_run(("a", "2024-01-01 10:00", "1"), ("a", "2024-01-01 10:10", "2")) in (["1"], ["2"])
+    # A repeat in a later file, and a new key.
+    seen = land_and_run(("a", "2024-01-01 10:30", "3"), ("b", "2024-01-01 10:30", "4"))
+    assert len(seen) == 2 and "4" in seen
+    # Long after, the key's state is gone: the record counts as a new one.
+    land_and_run(("c", "2024-01-02 10:00", "5"))
+    land_and_run(("d", "2024-01-02 10:01", "6"))
+    assert "7" in land_and_run(("a", "2024-01-02 10:05", "7"))
+    # Older than the watermark: late, and left out.
+    assert "8" not in land_and_run(("e", "2024-01-01 10:00", "8"))
