@@ -13,8 +13,9 @@ overlap, of the two tokens that hold the byte before it.
 
 Encoding: neither tokenizer lets a token reach over the place before a blank that follows a
 character that is not white space (for pieces this is checked in the vocabulary, else
-texts are encoded whole). Texts are cut there, and a part is encoded once as long as it is
-in a dictionary of bounded size. Other texts are encoded whole.
+texts are encoded whole). Texts are cut there; a part is encoded once as long as it is in a
+dictionary of bounded size, new parts of a chunk together. Texts with white space before a
+blank, or with a blank first, are encoded whole.
 
 Defined results: null and empty texts, and texts that the tokens of A or B do not spell
 byte by byte (U+2581, say), have no tokens: zeros and an empty digest. Strings of special tokens are
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -104,49 +104,119 @@ class Tokenizers:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = (array("i"), array("i"))
-        self.ends = (array("i", [0]), array("i", [0]))
+        self.known = _Parts()
+        self.ids = ([np.zeros(0, np.int32)], [np.zeros(0, np.int32)])
+        self.sizes = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
+        self.n_ids = 0
 
-    def _encode(self, part: str) -> int:
-        """Encode a blank and ``part``; the number of its id lists."""
+    def _one(self, part: str) -> tuple[list[int], list[int]]:
+        """Ids of a blank and ``part``."""
         b = self.pieces.encode(part, num_threads=1) if part else self._lone_blank
-        for ids, ends, got in zip(self.ids, self.ends, (self.bpe.encode_ordinary(" " + part), b)):
-            ids.extend(got)
-            ends.append(len(ids))
-        return len(self.ends[0]) - 2
+        return self.bpe.encode_ordinary(" " + part), b
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode parts that are not known yet: as one text, which is cut at their ends."""
+        text = " ".join(parts)
+        flat = [np.array(ids, np.int32) for ids in self._one(text)] if parts else []
+        wanted = np.cumsum([len(p.encode()) + 1 for p in parts])
+        cuts = []
+        for ids, lengths in zip(flat, self.lengths):
+            ends = np.cumsum(lengths[ids])
+            cut = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+            if not np.array_equal(ends[cut], wanted):
+                break
+            cuts.append(cut + 1)
+        if len(cuts) == 2:
+            for held, sizes, ids, cut in zip(self.ids, self.sizes, flat, cuts):
+                held.append(ids)
+                sizes.append(np.diff(cut, prepend=0))
+            self.n_ids += len(flat[0])
+        else:
+            self._learn_each(parts)
+
+    def _learn_each(self, parts: list[str]) -> None:
+        each = [self._one(part) for part in parts]
+        for held, sizes, lists in zip(self.ids, self.sizes, zip(*each)):
+            held.append(np.array([i for x in lists for i in x], np.int32))
+            sizes.append(np.array([len(x) for x in lists], np.int64))
+        self.n_ids += sum(len(x[0]) for x in each)
 
     def encode(self, texts: list[str]) -> tuple[pa.LargeListArray, pa.LargeListArray]:
         """Id lists of A and B of a blank and each text; none of an empty text."""
-        if len(self.ids[0]) > KNOWN_TOKENS:
+        if self.n_ids > KNOWN_TOKENS:
             self._forget()
-        numbers, sizes = array("i"), [0]
-        for text in texts:
-            if not text:
-                parts = []
-            elif self.parted and not re.search(r"^ |\s ", text):
-                parts = text.split(" ")
-                for part in parts:
-                    number = self.known.get(part)
-                    if number is None:
-                        number = self.known[part] = self._encode(part)
-                    numbers.append(number)
-            else:
-                parts = [text]
-                numbers.append(self._encode(text))
-            sizes.append(len(parts))
-        ends_of = np.cumsum(sizes)
-        chosen = pa.array(np.array(numbers, np.int32))
+        parts = [t.split(" ") if t and self.parted else [] for t in texts]
+        numbers = array("i")
+        for own in parts:
+            numbers.extend(map(self.known.__getitem__, own))
+        joined, alone = self.known.take_new()
+        self._learn(joined)
+        self._learn_each(alone)
+        # A part that ends in white space may be followed by no other.
+        sizes = np.array([len(own) for own in parts], np.int64)
+        ends = np.cumsum(sizes)
+        numbers = np.array(numbers, np.int64)
+        odd = self.known.odd[numbers]
+        odd[ends[sizes > 0] - 1] = False
+        odd = np.add.reduceat(np.append(odd, False), ends - sizes) * (sizes > 0) > 0
+        odd |= np.array([bool(t) and not self.parted for t in texts], bool)
+        chosen = self.known.place[numbers]
+        if odd.any():
+            whole = np.flatnonzero(odd)
+            first = self.known.n_places
+            self.known.n_places += len(whole)
+            self._learn_each([texts[i] for i in whole])
+            each = np.split(chosen, ends[:-1])
+            for place, i in enumerate(whole, first):
+                each[i], sizes[i] = np.array([place]), 1
+            chosen = np.concatenate(each)
+        ends_of = np.concatenate(([0], np.cumsum(sizes)))
         lists = []
-        for ids, ends in zip(self.ids, self.ends):
+        for ids, lengths in zip(self.ids, self.sizes):
+            ids[:], lengths[:] = [np.concatenate(ids)], [np.concatenate(lengths)]
             held = pa.LargeListArray.from_arrays(
-                pa.array(np.array(ends, np.int64)), pa.array(np.array(ids, np.int32))
-            ).take(chosen)
-            places = np.concatenate(([0], np.cumsum(pc.list_value_length(held).to_numpy())))
+                pa.array(np.concatenate(([0], np.cumsum(lengths[0])))), pa.array(ids[0])
+            ).take(pa.array(chosen))
+            places = np.concatenate(([0], np.cumsum(lengths[0][chosen])))
             lists.append(pa.LargeListArray.from_arrays(pa.array(places[ends_of]), held.flatten()))
         return lists[0], lists[1]
 
 
+class _Parts(dict):
+    """Numbers of parts of texts; new ones are noted until they are encoded.
+
+    ``odd`` tells of each number whether its part is empty or ends in white space, and
+    ``place`` where its ids are kept.
+    """
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.odd, self.place = np.zeros(0, bool), np.zeros(0, np.int64)
+        self.n_places = 0
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.new.append(part)
+        return number
+
+    def take_new(self) -> tuple[list[str], list[str]]:
+        """The new parts: those to be encoded as one text, and those to be encoded alone."""
+        odd = np.array([not p or p[-1].isspace() for p in self.new], bool)
+        alone = odd | np.array([BLANK in p for p in self.new], bool)
+        place = np.empty(len(alone), np.int64)
+        place[~alone] = np.arange(len(alone) - alone.sum())
+        place[alone] = np.arange(len(alone) - alone.sum(), len(alone))
+        start = self.n_places
+        self.odd = np.concatenate((self.odd, odd))
+        self.place = np.concatenate((self.place, start + place))
+        parts = ([], [])
+        for part, one in zip(self.new, alone.tolist()):
+            parts[one].append(part)
+        self.n_places += len(alone)
+        self.new = []
+        return parts
+
+
 _OPEN: dict[bytes, Tokenizers] = {}
 
 
@@ -244,10 +314,11 @@ def align_chunk(texts: list[str], tokenizers: Tokenizers) -> _Chunk:
     # Tokens in the order of groups, A before B; the mark tells what follows a token.
     before_b = np.concatenate(([0], at_b + 1))
     after_a = at_a + 1
-    group_a, group_b = np.searchsorted(cut, ends[0]), np.searchsorted(cut, ends[1])
     marked = np.empty(len(ids[0]) + len(ids[1]), np.int32)
     mark_a, mark_b = (np.zeros(len(x), np.int32) for x in ids)
-    mark_a[at_a], mark_b[at_b] = 1, 2
+    mark_a[at_a], mark_b[at_b] = 1, 1
+    group_a, group_b = (np.cumsum(m) - m for m in (mark_a, mark_b))
+    mark_b[at_b] = 2
     mark_b[starts[1][1:][starts[1][1:] > starts[1][:-1]] - 1] = 3
     marked[np.arange(len(ids[0])) + before_b[group_a]] = ids[0] * 4 + mark_a
     if len(ids[1]):
