@@ -41,6 +41,7 @@ from syncflow.operators.reshape import (
     unfit_values,
 )
 from syncflow.plans.config import InboundConfig, OutboundConfig
+from syncflow.session import footer_session
 from syncflow.sinks.export import append_snapshot, export_batches
 from syncflow.sources import files
 from syncflow.sources.manifest import LandingManifest
@@ -508,7 +509,8 @@ def _append_batch(
     registry, names, now = read_registry(spark, cfg), cfg.batch_columns, _utc_now()
     known = False
     if batch_id is None:
-        newest = read_table(spark, newest_value(_registry_ref(cfg), names.batch))
+        # Ids are the registry's greatest plus one: footers know it, so no rows are read.
+        newest = read_table(footer_session(spark), newest_value(_registry_ref(cfg), names.batch))
         if cfg.claims is None:
             batch_id = next_batch_id(newest, names).first()[0]
         else:

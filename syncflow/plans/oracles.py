@@ -256,6 +256,13 @@ ORACLES: dict[str, str] = {
     "upsert": _OVERWRITE,
     "upsert_keep": _KEEP,
     "keyed_table_upsert": _OVERWRITE,
+    "bucketed_table_upsert": _OVERWRITE,
+    "key_filter_rows": """
+        select l_orderkey, l_linenumber, l_shipdate from lineitem
+        where l_orderkey in (select o_orderkey from orders
+                             where o_orderdate > timestamp '2001-06-01')""",
+    "watermark_footer": """
+        select max(event_id) as watermark, count(*) as row_count from events""",
     "number_rows": _NUMBERED,
     "number_rows_tied": """
         with n as (select l_shipdate, count(*) as row_count from lineitem group by 1),

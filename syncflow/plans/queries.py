@@ -16,12 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from syncflow.functions.columns import instant
-from syncflow.operators import audit, delta, digest, merge, numbering, reconcile, reshape
+from syncflow.operators import (
+    audit,
+    delta,
+    digest,
+    key_filter,
+    merge,
+    numbering,
+    reconcile,
+    reshape,
+)
 from syncflow.operators.reshape import ColumnMap
 from syncflow.plans.config import InboundConfig, OutboundConfig
 from syncflow.plans.jobs import run_inbound, run_outbound
-from syncflow.session import configure
+from syncflow.session import configure, footer_session
 from syncflow.sinks import export
+from syncflow.sinks.bucketed_table import BucketedTable
 from syncflow.sinks.export import CSV_OPTIONS
 from syncflow.sinks.keyed_table import KeyedTable
 from syncflow.sources.mapping import load_mapping
@@ -399,6 +409,28 @@ def keyed_table_upsert(spark, d):
     return target.read()
 
 
+@query
+def bucketed_table_upsert(spark, d):
+    """The same upsert where many keys change: merged into Spark's own buckets."""
+    customers = table(spark, d, "customer")
+    path = Staging(spark, "target").folder("table")
+    target = BucketedTable(spark, path, customers.schema, ["c_custkey"], buckets=8)
+    target.upsert(customers, compact=True)
+    target.upsert(incoming_customers(spark, d), compact=True)
+    return target.read()
+
+
+@query
+def key_filter_rows(spark, d):
+    """Lines of the orders that a delta holds: filtered by its keys first, then joined."""
+    staging = Staging(spark, "key-filter")
+    orders = table(spark, d, "orders").where(F.col("o_orderdate") > instant(MARK, T.TimestampNTZType()))
+    keys = staging.write(orders.select(F.col("o_orderkey").alias("l_orderkey")), "keys")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    some = key_filter.may_match(lines, ["l_orderkey"], key_filter.key_filter(keys, ["l_orderkey"], staging))
+    return some.join(keys, "l_orderkey", "left_semi")
+
+
 # -- numbering and batches --------------------------------------------------------
 
 
@@ -672,6 +704,15 @@ def reconcile_ranges(spark, d):
     return ranges
 
 
+@query
+def watermark_footer(spark, d):
+    """Greatest id and number of events, by the footers of their files."""
+    events = table(footer_session(spark), d, "events")
+    return events.agg(
+        F.max("event_id").alias("watermark"), F.count(F.lit(1)).alias("row_count")
+    )
+
+
 @query
 def latest_batch(spark, d):
     return audit.latest_batch(_registry(spark, d), "click")

@@ -31,3 +31,23 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
     return spark
+
+
+#: File formats of the older reader; parquet is left out, so that it is read by the newer one.
+_OLDER_SOURCES = "avro,csv,json,kafka,orc,text"
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` that answers counts and extremes from parquet footers.
+
+    It shares the application but not the settings: those of ``spark`` are copied, and
+    changes here are seen by nobody else. Extremes of numbers and dates, and counts, without a
+    filter on other than partition columns, then read no rows; Spark scans for the rest.
+    """
+    beside = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and beside.conf.isModifiable(key):
+            beside.conf.set(key, value)
+    beside.conf.set("spark.sql.sources.useV1SourceList", _OLDER_SOURCES)
+    beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return beside

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from syncflow.functions.columns import quoted
+from syncflow.operators.key_filter import key_filter, may_match
 from syncflow.operators.merge import NULL_POLICIES, classify_changes, dedup_latest, keyed_rows
 from syncflow.sources import files
 from syncflow.staging import Staging
@@ -91,10 +92,14 @@ class KeyedTable:
             *[f"{self.path}/data/{folder}" for folder in folders]
         )
 
+    def _base(self, commit: dict) -> DataFrame:
+        """The rows of a commit without its deltas."""
+        return self._read_folders(sorted(commit.get("current", {}).values()))
+
     def read(self) -> DataFrame:
         """The table as of its newest commit."""
         commit = self._commit()
-        base = self._read_folders(sorted(commit.get("current", {}).values()))
+        base = self._base(commit)
         deltas = commit.get("deltas", [])
         if not deltas:
             return base
@@ -166,7 +171,9 @@ class KeyedTable:
             found = not incoming.isEmpty()
             if found:
                 whole = len(carried) == len(self.schema.fields) and null_policy == "overwrite"
-                rows = incoming if whole else self._filled(incoming, null_policy, small)
+                rows = incoming if whole else self._filled(
+                    incoming, null_policy, small, staging
+                )
                 folder = self._new_folder()
                 rows.select(*[quoted(f.name) for f in self.schema.fields]).write.parquet(
                     f"{self.path}/data/{folder}"
@@ -177,16 +184,27 @@ class KeyedTable:
         elif not found:
             return False
         self._publish(commit.get("current", {}), deltas, writers)
-        if compact or (self.compact_after is not None and len(deltas) >= self.compact_after):
+        if compact:
             self.compact()
+        elif self.compact_after is not None and len(deltas) >= self.compact_after:
+            self._relieve()
         return True
 
-    def _filled(self, incoming: DataFrame, null_policy: str, small: bool) -> DataFrame:
+    def _relieve(self) -> None:
+        """What is done about ``compact_after`` deltas."""
+        self.compact()
+
+    def _filled(
+        self, incoming: DataFrame, null_policy: str, small: bool, staging: Staging
+    ) -> DataFrame:
         """Incoming rows, completed by what the table holds under their keys."""
         old = self.read()
         if small:
             keys = incoming.select(*[quoted(k) for k in self.keys])
             old = old.join(F.broadcast(keys), self.keys, "left_semi")
+        else:
+            # Old rows that match nothing are not shuffled.
+            old = may_match(old, self.keys, key_filter(incoming, self.keys, staging))
         others = [f.name for f in self.schema.fields if f.name not in self.keys]
         held = old.select(
             *[quoted(k) for k in self.keys], *[quoted(c).alias(f"_old_{c}") for c in others]
