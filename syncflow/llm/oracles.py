@@ -13,14 +13,29 @@ ORACLES = {
         original as (
             select words, min({'conv_id': conv_id, 'turn': turn}) as first
             from said where words <> '' group by words),
+        quote as (
+            select m.conv_id, m.turn, m.text, 1 as level, b.words from m
+            left join said b on b.conv_id = m.conv_id and b.turn = m.turn - 1
+            union all
+            select m.conv_id, m.turn, m.text, 2, b.words from m
+            left join said b on b.conv_id = m.conv_id and b.turn = m.turn - 2),
+        near as (
+            select q.conv_id, q.turn, q.level, max(s.turn) as turn_before
+            from (select distinct conv_id, turn, level, words from quote) q
+            join said s on s.conv_id = q.conv_id and s.turn < q.turn and s.words = q.words
+            where q.words <> '' group by q.conv_id, q.turn, q.level),
+        found as (
+            select q.*, case when n.turn_before is not null
+                             then {'conv_id': q.conv_id, 'turn': n.turn_before}
+                             when o.first < {'conv_id': q.conv_id, 'turn': q.turn}
+                             then o.first end as f
+            from quote q left join original o on o.words = q.words
+                 left join near n on n.conv_id = q.conv_id and n.turn = q.turn
+                                     and n.level = q.level),
         linked as (
-            select m.*, b1.words as w1, b2.words as w2,
-                   case when o1.first < {'conv_id': m.conv_id, 'turn': m.turn} then o1.first end as f1,
-                   case when o2.first < {'conv_id': m.conv_id, 'turn': m.turn} then o2.first end as f2
-            from m left join said b1 on b1.conv_id = m.conv_id and b1.turn = m.turn - 1
-                   left join said b2 on b2.conv_id = m.conv_id and b2.turn = m.turn - 2
-                   left join original o1 on o1.words = b1.words
-                   left join original o2 on o2.words = b2.words),
+            select a.conv_id, a.turn, a.text, a.words as w1, b.words as w2, a.f as f1, b.f as f2
+            from found a join found b
+              on a.conv_id = b.conv_id and a.turn = b.turn and a.level = 1 and b.level = 2),
         thread as (
             select conv_id, turn, coalesce(f1, f2) as up,
                    {'conv_id': conv_id, 'turn': turn} as root, 0::bigint as depth

@@ -15,16 +15,16 @@ Ordered by root, depth and id, every message comes after what it replies to.
 
 Defined results: a null text is empty and has no passages. A message with a null
 in its id neither replies nor is replied to. Messages that share an id are one
-for linking, each keeps its own text. Repeated passages link to the first message
-that wrote them. A line that introduces a quote ("On ... wrote:") and quotes are
+for linking, each keeps its own text. A line that introduces a quote ("On ... wrote:") and quotes are
 left out of the message's own text; blank lines at its ends too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from syncflow.operators.skew import HOT_ROWS, join_one
 from syncflow.staging import Staging
 
 #: Marks of a quoted line: each with up to one blank after it.
@@ -107,11 +107,32 @@ def own_text(lines: Column) -> Column:
     return _let(lines, of)
 
 
-def link_quotes(messages: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
+def _in_own_box(found: DataFrame, box_cols: list[str]) -> DataFrame:
+    """Quoted passages with ``near``, the last earlier message of their box that wrote them."""
+    if not box_cols:
+        none = F.lit(None).cast(found.schema["id"].dataType)
+        return found.where("level > 0").withColumn("near", none)
+    # Only smaller ids count, so that a message which quotes itself has no link to itself.
+    same = Window.partitionBy("key", *[F.col(f"id.{c}") for c in box_cols])
+    placed = found.withColumn("place", F.dense_rank().over(same.orderBy("id")))
+    earlier = same.orderBy("place").rangeBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(F.col("level") == 0, F.col("id"))).over(earlier)
+    return placed.withColumn("near", last).where("level > 0").drop("place")
+
+
+def link_quotes(
+    messages: DataFrame,
+    id_cols: list[str],
+    text_col: str = "text",
+    *,
+    n_box: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """``id``, ``own_text``, ``parent``, ``root``, ``depth``, ``n_quoted`` and ``n_linked``.
 
     Ids are structs of ``id_cols``; ``parent`` is null for roots. ``n_quoted`` counts
-    quoted passages, ``n_linked`` those with an original.
+    quoted passages, ``n_linked`` those with an original. The first ``n_box`` columns
+    name the box of a message; all but the last, unless told.
     """
     staging = Staging(messages.sparkSession, "quotes")
     parsed = messages.select(
@@ -129,15 +150,29 @@ def link_quotes(messages: DataFrame, id_cols: list[str], text_col: str = "text")
     found = parsed.where(whole).select("id", F.explode("passages").alias("p")).select(
         "id", "p.level", "p.key"
     )
-    originals = staging.write(
-        found.where("level = 0").groupBy("key").agg(F.min("id").alias("original")), "originals"
+    # Repeats within a message are counted before anything is put in order.
+    found = staging.write(
+        found.groupBy("id", "level", "key").agg(F.count(F.lit(1)).alias("n")), "passages"
+    )
+    box_cols = id_cols[: len(id_cols) - 1 if n_box is None else n_box]
+    quotes = staging.write(_in_own_box(found, box_cols), "quotes")
+    far = quotes.where("near is null")
+    # Only what is quoted from elsewhere needs the first holder of all.
+    asked = far.select("key").distinct()
+    first = (
+        found.where("level = 0")
+        .join(asked, "key", "left_semi")
+        .groupBy("key")
+        .agg(F.min("id").alias("first"))
+    )
+    first = staging.write(first, "originals")
+    elsewhere = join_one(far, first, ["key"], hot_rows=hot_rows, staging=staging).where(
+        F.col("first") < F.col("id")
     )
     linked = staging.write(
-        found.where("level > 0")
-        .groupBy("id", "level", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(originals, "key")
-        .where(F.col("original") < F.col("id"))
+        quotes.where("near is not null")
+        .select("id", "level", "n", F.col("near").alias("original"))
+        .unionByName(elsewhere.select("id", "level", "n", F.col("first").alias("original")))
         .groupBy("id", "level", "original")
         .agg(F.sum("n").alias("n")),
         "linked",
@@ -169,21 +204,39 @@ def link_quotes(messages: DataFrame, id_cols: list[str], text_col: str = "text")
 
 
 def _threads(replies: DataFrame, staging: Staging) -> DataFrame:
-    """``id, root, depth`` of all replies, by doubling the way to an ancestor."""
-    ways = replies.select("id", F.col("parent").alias("up"), F.lit(1).cast("long").alias("steps"))
-    while True:
-        ways = staging.write(ways, "ways")
+    """``id, root, depth`` of all replies, by doubling the way to an ancestor.
+
+    A way whose end is a root is finished and not joined again. Both sides of each join are
+    tables, so Spark can split the task of a message that very many ways lead to.
+    """
+    known = replies.select(F.col("id").alias("a_id"))
+    ends = F.col("a_id").isNull()
+    ways = staging.write(
+        replies.join(known, F.col("parent") == F.col("a_id"), "left").select(
+            "id", F.col("parent").alias("up"), F.lit(1).cast("long").alias("steps"), ends.alias("done")
+        ),
+        "ways",
+    )
+    while not ways.where("not done").isEmpty():
         above = ways.select(
-            F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps")
+            F.col("id").alias("a_id"),
+            F.col("up").alias("a_up"),
+            F.col("steps").alias("a_steps"),
+            F.col("done").alias("a_done"),
         )
-        further = ways.join(above, F.col("up") == F.col("a_id"), "left")
-        if not further.where("a_id is not null").limit(1).count():
-            return ways.select("id", F.col("up").alias("root"), F.col("steps").alias("depth"))
-        ways = further.select(
-            "id",
-            F.coalesce("a_up", "up").alias("up"),
-            (F.col("steps") + F.coalesce("a_steps", F.lit(0))).alias("steps"),
+        further = ways.where("not done").join(above, F.col("up") == F.col("a_id"))
+        ways = staging.write(
+            ways.where("done").unionByName(
+                further.select(
+                    "id",
+                    F.col("a_up").alias("up"),
+                    (F.col("steps") + F.col("a_steps")).alias("steps"),
+                    F.col("a_done").alias("done"),
+                )
+            ),
+            "ways",
         )
+    return ways.select("id", F.col("up").alias("root"), F.col("steps").alias("depth"))
 
 
 def conversations(linked: DataFrame) -> DataFrame:

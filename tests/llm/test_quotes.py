@@ -5,9 +5,9 @@ from syncflow.llm.quotes import as_mailbox, conversations, link_quotes
 SCHEMA = "box string, no long, text string, id string, root int"
 
 
-def linked(spark, rows):
+def linked(spark, rows, **settings):
     messages = spark.createDataFrame([(*r, "x", 0) for r in rows], SCHEMA)
-    found = link_quotes(messages, ["box", "no"]).collect()
+    found = link_quotes(messages, ["box", "no"], **settings).collect()
     return {
         (r["id"]["box"], r["id"]["no"]): (
             r["own_text"],
@@ -57,7 +57,27 @@ def test_long_chain_ties_and_repeats(spark):
     got, found = linked(spark, rows)
     assert len(found) == len(rows)
     assert all(got["a", i][1:4] == (("a", i - 1), ("a", 0), i) for i in range(1, 40))
-    assert got["z", 2][1:4] == (("a", 3), ("a", 0), 4)
+    # The message before it, not the first of all that ever said so.
+    assert got["z", 2][1:4] == (("z", 1), ("z", 1), 1)
+    apart, _ = linked(spark, rows, n_box=0, hot_rows=1)
+    assert apart["z", 2][1:4] == (("a", 3), ("a", 0), 4)
+
+
+def test_copies_of_a_conversation_stay_apart(spark):
+    rows = [(box, i, f"> message {i - 1}\nmessage {i}") for box in "abcde" for i in range(8)]
+    rows += [(box, 20 + i, "> Thanks!\nThanks!") for box in "ab" for i in range(5)]
+    rows += [("f", 3, "> message 5\nquotes what others wrote"), ("a", 30, "> message 2\nmessage 2")]
+    for hot_rows in (1, 10**6):
+        got, _ = linked(spark, rows, hot_rows=hot_rows)
+        for box in "abcde":
+            assert got[box, 0][1:4] == (None, (box, 0), 0)
+            assert all(got[box, i][1:4] == ((box, i - 1), (box, 0), i) for i in range(1, 8))
+        assert got["a", 20][1] is None and got["b", 20][1] == ("a", 20)
+        assert all(got["a", 20 + i][1:4] == (("a", 19 + i), ("a", 20), i) for i in range(1, 5))
+        assert all(got["b", 20 + i][1:4] == (("b", 19 + i), ("a", 20), i + 1) for i in range(1, 5))
+        assert got["f", 3][1:4] == (("a", 5), ("a", 0), 6)
+        # It wrote what it quotes: only the earlier message counts.
+        assert got["a", 30][1] == ("a", 2)
 
 
 def test_most_quoted_original_wins(spark):
