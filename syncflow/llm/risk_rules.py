@@ -1,14 +1,17 @@
 """Quality rules with risk-controlled thresholds.
 
 A rule rejects a document whose statistic is above a cutoff. Cutoffs are chosen
-from fixed grids by labelled holdouts: in each stratum a cutoff is admissible if
-the share of good documents it would reject has an exact (Clopper-Pearson) upper
-confidence bound of at most the rule's part of the allowed risk. All cutoffs of
-all rules and strata are tested at once, so the error probability is divided by
-their number (Bonferroni); then every chosen cutoff holds its promise together
-with all others, whichever is chosen. The risk is divided among the rules, so a
-stratum loses at most ``risk`` of its good documents to all rules together. The
-lowest admissible cutoff is taken; a rule without one rejects nothing there.
+from fixed grids by labelled holdouts, for all rules of a stratum together. The grids make
+one fixed path, from settings that reject least to settings that reject most: each
+step tightens one rule by one cutoff, all rules in turn. A step is admissible if
+the share of good documents that any of its rules would reject has an exact
+(Clopper-Pearson) upper confidence bound of at most the allowed risk. Steps are
+tested in order, up to the first that is not admissible; the cutoffs of the step before
+it are taken. As the path is fixed and each step rejects what those before it
+reject, testing in sequence needs no correction for the number of steps. The
+error probability is divided by the number of strata (Bonferroni), so with probability
+1 - ``error`` no stratum loses more than ``risk`` of its good documents to all
+rules together. A rule that the path has not reached rejects nothing there.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+`. A null text has no words. A null
 stratum is a stratum of its own. A document counts as good if it is labelled and
@@ -41,7 +44,7 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-#: Share of good documents that all rules may reject in a stratum.
+#: Share of good documents that all rules together may reject in a stratum.
 RISK = 0.05
 #: Probability that any promise fails.
 ERROR = 0.05
@@ -181,25 +184,37 @@ def admissible(rejected: int, n: int, risk: float, error: float) -> bool:
     return n > 0 and rejected < n * risk and log_tail(rejected, n, risk) <= math.log(error)
 
 
-def _bounds(
-    frames: Iterator[pd.DataFrame], grids: dict, n_strata: int, risk: float, error: float
+def cutoff_path(grids: dict[str, tuple[float, ...]]) -> list[dict[str, float]]:
+    """Settings (cutoff by rule) from the loosest on; each has one cutoff more, or a lower one."""
+    path: list[dict[str, float]] = []
+    current: dict[str, float] = {}
+    for place in range(max(map(len, grids.values()), default=0)):
+        for rule, grid in grids.items():
+            if place < len(grid):
+                current = {**current, rule: sorted(grid, reverse=True)[place]}
+                path.append(current)
+    return path
+
+
+def last_admissible(rejected: list[int], n: int, risk: float, error: float) -> int:
+    """How many steps of a path are admissible before the first that is not."""
+    for step, k in enumerate(rejected):
+        if not admissible(k, n, risk, error):
+            return step
+    return len(rejected)
+
+
+def _chosen(
+    frames: Iterator[pd.DataFrame], path: list[dict], rules: list[str], risk: float, error: float
 ) -> Iterator[pd.DataFrame]:
-    each = error / (n_strata * sum(map(len, grids.values())))
     for frame in frames:
-        out = {"stratum": frame["stratum"]}
-        for rule, grid in grids.items():
-            out[rule] = [
-                next(
-                    (
-                        c
-                        for i, c in enumerate(grid)
-                        if admissible(int(row[f"{rule}_{i}"]), int(row["n"]), risk / len(grids), each)
-                    ),
-                    None,
-                )
-                for _, row in frame.iterrows()
-            ]
-        yield pd.DataFrame(out)
+        counts = frame[[f"step_{i}" for i in range(len(path))]].to_numpy()
+        chosen = [
+            ({}, *path)[last_admissible(own.tolist(), int(n), risk, error)]
+            for own, n in zip(counts, frame["n"])
+        ]
+        out = {rule: pd.array([c.get(rule) for c in chosen], "Float64") for rule in rules}
+        yield pd.DataFrame({"stratum": frame["stratum"], **out})
 
 
 def select_cutoffs(
@@ -214,19 +229,22 @@ def select_cutoffs(
     ``good`` has ``stratum`` and a column per rule. Counting is one aggregation; a
     row per stratum is left.
     """
-    rejected = [
-        F.sum(F.when(F.col(rule) > cutoff, 1).otherwise(0)).alias(f"{rule}_{i}")
-        for rule, grid in grids.items()
-        for i, cutoff in enumerate(grid)
-    ]
+    path = cutoff_path(grids)
+    rejected = []
+    for i, setting in enumerate(path):
+        above = F.lit(False)
+        for rule, cutoff in setting.items():
+            above = above | F.coalesce(F.col(rule) > cutoff, F.lit(False))
+        rejected.append(F.sum(F.when(above, 1).otherwise(0)).alias(f"step_{i}"))
     staging = Staging(good.sparkSession, "cutoffs")
     counts = staging.write(
         good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *rejected), "counts"
     )
-    n_strata = max(1, counts.count())
-    schema = "stratum string, " + ", ".join(f"{rule} double" for rule in grids)
+    each = error / max(1, counts.count())
+    rules = list(grids)
+    schema = "stratum string, " + ", ".join(f"{rule} double" for rule in rules)
     return staging.write(
-        counts.mapInPandas(lambda frames: _bounds(frames, grids, n_strata, risk, error), schema),
+        counts.mapInPandas(lambda frames: _chosen(frames, path, rules, risk, each), schema),
         "cutoffs",
     )
 

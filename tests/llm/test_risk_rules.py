@@ -70,6 +70,37 @@ def test_promise_holds():
     assert broken / 300 < error
 
 
+def test_path_is_nested():
+    path = rr.cutoff_path(rr.GRIDS)
+    assert len(path) == sum(map(len, rr.GRIDS.values()))
+    for before, after in zip([{}, *path], path):
+        changed = [r for r in after if after[r] != before.get(r)]
+        assert len(changed) == 1 and after[changed[0]] < before.get(changed[0], math.inf)
+        assert set(before) <= set(after)
+    assert path[-1] == {rule: min(grid) for rule, grid in rr.GRIDS.items()}
+
+
+def test_joint_promise_holds():
+    """All rules and strata together: the share of runs with any broken promise."""
+    rng = np.random.default_rng(1)
+    grids = {r: tuple(np.linspace(0.0, 0.9, 10)) for r in "abc"}
+    path, risk, error, strata, broken, found = rr.cutoff_path(grids), 0.1, 0.1, 4, 0, 0
+    true = [1 - math.prod(max(0.0, c) ** 0.5 for c in setting.values()) for setting in path]
+    for _ in range(300):
+        any_broken = False
+        for _ in range(strata):
+            sample = rng.random((250, 3)) ** 2
+            rejected = [
+                int(np.any([sample[:, "abc".index(r)] > c for r, c in setting.items()], axis=0).sum())
+                for setting in path
+            ]
+            steps = rr.last_admissible(rejected, 250, risk, error / strata)
+            found += steps > 0
+            any_broken |= steps > 0 and true[steps - 1] > risk + 1e-12
+        broken += any_broken
+    assert found and broken / 300 < error
+
+
 def documents(n):
     rng = random.Random(1)
     rows, labels = [], []
