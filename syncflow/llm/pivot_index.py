@@ -4,9 +4,11 @@ Vectors are scaled to whole numbers. One more component, the root of what a
 vector's square lacks to the largest square, brings all vectors to one length;
 the larger the inner product with a query (which gets 0 there), the smaller the
 distance. Every vector is keyed by its nearest pivot and its distance from it, and
-the distances of a pivot are cut into annuli. By the triangle inequality no member
-of an annulus is closer to a query than the query's distance from the pivot less
-(or from) the annulus; that bounds the inner products inside.
+the distances of a pivot are cut into annuli. Of each annulus the index knows between
+which distances its members lie from every pivot, not from their own only. By the
+triangle inequality no member is closer to a query than the query's distance from
+any pivot lies outside of that interval; the widest such gap bounds the inner
+products inside.
 
 A search has two rounds. The first looks into each query's annuli of the highest
 bounds. The second expands to all annuli whose bound reaches the k-th score of
@@ -16,7 +18,7 @@ for rounding, scores are computed in whole numbers, so results are exact.
 Pivots come from a bounded sample (``sample_rows``, smallest hashes), all rows are
 indexed. Annuli are tables of rows split into blocks of ``block_rows``; queries come
 in blocks too, so a task never holds more than two blocks, however many rows are
-alike. The annuli's bounds (at most pivots x annuli x dimensions) are all the
+alike. The annuli's bounds (two numbers for each annulus and pivot) are all the
 driver and the queries see of the index.
 
 Defined results: null vectors, and those with a null or non-finite component,
@@ -129,15 +131,41 @@ def _assign(batches: Iterator[pa.RecordBatch], pivots: Pivots) -> Iterator[pa.Re
 
 @dataclass
 class Annuli:
-    """The bounds of all annuli of a dimension, by number."""
+    """The bounds of all annuli of a dimension, by number.
+
+    ``low`` and ``high`` have a row for each annulus and a column for each pivot.
+    """
 
     number: np.ndarray
-    pivot: np.ndarray
     low: np.ndarray
     high: np.ndarray
     rows: np.ndarray
 
 
+def _intervals(batches: Iterator[pa.RecordBatch], pivots: Pivots) -> Iterator[pa.RecordBatch]:
+    """Of each annulus in a batch: its rows, and the least and largest distances from all pivots."""
+    for whole in batches:
+        for batch in _by_dimension(whole):
+            vectors = _matrix(batch["v"])
+            distances = _distances(pivots.lifted(vectors), pivots.points[vectors.shape[1]])
+            cells = batch["cell"].to_numpy()
+            order = np.argsort(cells, kind="stable")
+            found, begin, counts = np.unique(cells[order], return_index=True, return_counts=True)
+            low, high = (f.reduceat(distances[order], begin) for f in (np.minimum, np.maximum))
+            n_pivots = distances.shape[1]
+            yield pa.record_batch(
+                [
+                    pa.array(np.full(len(found) * n_pivots, vectors.shape[1], np.int32)),
+                    pa.array(np.repeat(found, n_pivots).astype(np.int32)),
+                    pa.array(np.tile(np.arange(n_pivots, dtype=np.int32), len(found))),
+                    pa.array(low.ravel()),
+                    pa.array(high.ravel()),
+                    pa.array(np.repeat(counts, n_pivots)),
+                ],
+                ["dim", "cell", "pivot", "low", "high", "n"],
+            )
+
+
 @dataclass
 class PivotIndex:
     """``rows``: ``id, v, dim, cell``, with ``cell`` the number of the annulus."""
@@ -199,16 +227,25 @@ def build_index(
     edges = keyed.groupBy("dim", "pivot").agg(cuts.alias("edges"))
     ring = F.size(F.filter("edges", lambda e: e < F.col("distance"))).alias("ring")
     ringed = keyed.join(F.broadcast(edges), ["dim", "pivot"]).select(
-        "id", "v", "dim", (F.col("pivot") * n_annuli + ring).alias("cell"), "distance", "pivot"
+        "id", "v", "dim", (F.col("pivot") * n_annuli + ring).alias("cell")
     )
     ringed = staging.write(ringed, "ringed")
-    index = PivotIndex(ringed.select("id", "v", "dim", "cell"), pivots)
-    bounds = ringed.groupBy("dim", "pivot", "cell").agg(
-        F.min("distance").alias("low"), F.max("distance").alias("high"), F.count(F.lit(1)).alias("n")
+    index = PivotIndex(ringed, pivots)
+    bounds = (
+        ringed.mapInArrow(
+            lambda b: _intervals(b, pivots),
+            "dim int, cell int, pivot int, low double, high double, n long",
+        )
+        .groupBy("dim", "cell", "pivot")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     )
-    for dim, own in bounds.toPandas().sort_values("cell").groupby("dim"):
+    for dim, own in bounds.toPandas().sort_values(["cell", "pivot"]).groupby("dim"):
+        shape = (-1, len(points[int(dim)]))
         index.annuli[int(dim)] = Annuli(
-            *(own[c].to_numpy() for c in ("cell", "pivot", "low", "high", "n"))
+            own["cell"].to_numpy().reshape(shape)[:, 0],
+            own["low"].to_numpy().reshape(shape),
+            own["high"].to_numpy().reshape(shape),
+            own["n"].to_numpy().reshape(shape)[:, 0],
         )
     return index
 
@@ -220,9 +257,13 @@ def upper_bounds(queries: np.ndarray, index: PivotIndex) -> np.ndarray:
     squares = (queries * queries).sum(axis=1)
     # Queries get 0 as the added component; their length is their own.
     lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
-    to_pivot = _distances(lifted, index.pivots.points[dim])[:, annuli.pivot]
+    to_pivot = _distances(lifted, index.pivots.points[dim])
+    gap = np.zeros((len(queries), len(annuli.number)))
+    for p in range(to_pivot.shape[1]):
+        off = to_pivot[:, p : p + 1]
+        np.maximum(gap, np.maximum(off - annuli.high[:, p], annuli.low[:, p] - off), out=gap)
     slack = 1e-6 * (1 + np.sqrt(square + squares))[:, None]
-    gap = np.maximum(np.maximum(to_pivot - annuli.high, annuli.low - to_pivot) - slack, 0)
+    gap = np.maximum(gap - slack, 0)
     bound = (squares[:, None] + square - gap * gap) / 2
     return bound + 1e-9 * np.abs(bound) + 1e-3
 

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from syncflow.llm.pivot_index import top_k
+from syncflow.llm.pivot_index import build_index, top_k, upper_bounds
+from syncflow.staging import Staging
 
 SCHEMA = "vec_id long, embedding array<float>, score long, id string"
 
@@ -69,3 +70,34 @@ def test_no_rows_and_no_queries(spark):
     assert found(spark, []) == []
     assert found(spark, [(1, [0.5, 0.5]), (2, [0.5, 0.1])]) == []
     assert found(spark, [(7, [0.5, 0.5])]) == []
+
+
+def share_opened(spark, rows, k=5):
+    """Rows of annuli whose bound reaches a query's k-th score, of all; and that bounds hold."""
+    whole = {i: np.floor(256 * np.array(v)) for i, v in rows}
+    table = spark.createDataFrame(
+        [(i, [int(x) for x in v]) for i, v in whole.items()], "id long, v array<long>"
+    )
+    index = build_index(table, Staging(spark))
+    data = np.array(list(whole.values()))
+    cells = {r["id"]: r["cell"] for r in index.rows.collect()}
+    queries = data[::20]
+    bounds = upper_bounds(queries, index)
+    annuli = index.annuli[data.shape[1]]
+    at = np.searchsorted(annuli.number, [cells[i] for i in whole])
+    scores = queries @ data.T
+    assert (scores <= bounds[:, at]).all()
+    least = np.sort(scores, axis=1)[:, -k - 1]
+    return float(((bounds >= least[:, None]) * annuli.rows).sum() / (len(queries) * len(data)))
+
+
+def test_annuli_are_skipped(spark):
+    """Where vectors lie in groups, most rows are never scored."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(24, 16))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    grouped = centres[rng.integers(0, 24, 2000)] + 0.02 * rng.normal(size=(2000, 16))
+    assert share_opened(spark, list(enumerate(grouped.tolist()))) < 0.2
+    # Without any structure there is nothing that a bound could tell apart.
+    even = rng.normal(size=(500, 16))
+    assert share_opened(spark, list(enumerate(even.tolist()))) <= 1
