@@ -35,7 +35,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,8 @@ GROUP_CHARS = 1 << 20
 SLICE_ROWS = 1 << 10
 #: Rows that are decoded together.
 DECODE_ROWS = 1 << 8
+#: Edges of units' lattices beyond which a task starts anew.
+KEPT_EDGES = 1 << 21
 
 
 @dataclass
@@ -181,6 +183,18 @@ def build_lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
     )
 
 
+def _behind(before: Lattice | None, new: Lattice) -> Lattice:
+    """Lattices of more units, behind those there are."""
+    if before is None:
+        return new
+    for of_nodes in (new.start, new.final, new.node, new.target):
+        of_nodes += len(before.first)
+    new.first += len(before.node)
+    return Lattice(
+        *(np.concatenate((getattr(before, f.name), getattr(new, f.name))) for f in fields(Lattice))
+    )
+
+
 def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     joined = "".join([" " + w for w in words])
@@ -373,13 +387,30 @@ def units(text: str) -> list[str]:
     return _UNIT.findall(" " + text)
 
 
+class _Known:
+    """Units and their lattices, kept from group to group; a lattice depends on its unit only."""
+
+    def __init__(self):
+        self.numbers, self.lattice, self.built = _Numbers(), None, 0
+
+    def number(self, texts: list[str], vocabulary: Vocabulary) -> list[list[int]]:
+        """The units of texts as numbers of lattices; unknown ones are built together."""
+        if self.lattice is not None and len(self.lattice.node) > KEPT_EDGES:
+            self.__init__()
+        numbers = [list(map(self.numbers.__getitem__, units(t))) for t in texts]
+        if len(self.numbers) > self.built:
+            new = list(islice(self.numbers, self.built, None))
+            self.lattice = _behind(self.lattice, build_lattice(new, vocabulary))
+            self.built = len(self.numbers)
+        return numbers
+
+
 class _Group:
     """The search over the documents of one group."""
 
-    def __init__(self, texts: list[str], seeds: np.ndarray, vocabulary: Vocabulary):
-        numbers = _Numbers()
-        per_text = [list(map(numbers.__getitem__, units(t))) for t in texts]
-        self.lattice = build_lattice(list(numbers), vocabulary) if numbers else None
+    def __init__(self, texts: list[str], seeds: np.ndarray, vocabulary: Vocabulary, known: _Known):
+        per_text = known.number(texts, vocabulary)
+        self.lattice = known.lattice
         self.vocabulary, self.seeds, self.n = vocabulary, seeds, len(texts)
         lengths = np.array([len(w) for w in per_text], np.int64)
         self.word_begin = np.r_[0, np.cumsum(lengths)]
@@ -554,16 +585,23 @@ class _Group:
 
 
 def sample_texts(
-    texts: list[str | None], keys: np.ndarray, vocabulary: Vocabulary, k: int
+    texts: list[str | None],
+    keys: np.ndarray,
+    vocabulary: Vocabulary,
+    k: int,
+    known: _Known | None = None,
 ) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
     """(text number, rank, ids, log_prob, perturbed, inclusion), ranks from 1."""
+    known = known or _Known()
     seeds = _mixed(keys.astype(np.int64).view(np.uint64) + _GOLDEN)
     begin = held = 0
     for i, text in enumerate(texts):
         held += len(text or "")
         if held < GROUP_CHARS and i < len(texts) - 1:
             continue
-        group = _Group([t or "" for t in texts[begin : i + 1]], seeds[begin : i + 1], vocabulary)
+        group = _Group(
+            [t or "" for t in texts[begin : i + 1]], seeds[begin : i + 1], vocabulary, known
+        )
         for d, paths in enumerate(group.run(k)):
             for rank, (edges, log_prob, value, inclusion) in enumerate(paths, 1):
                 yield begin + d, rank, group.ids(edges), log_prob, value, inclusion
@@ -571,43 +609,66 @@ def sample_texts(
 
 
 def _emit(
-    batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, k: int
+    batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, k: int, verify: bool
 ) -> Iterator[pa.RecordBatch]:
     """Samples of each row, with the row's other columns."""
+    known = _Known()
+    spelled = pa.array(vocabulary.pieces, pa.large_binary()) if verify else None
     for whole in batches:
         for at in range(0, len(whole), SLICE_ROWS):
             batch = whole.slice(at, SLICE_ROWS)
             rest = batch.drop_columns(["row_key", "text"])
             keys = batch["row_key"].to_numpy(zero_copy_only=False)
+            texts = batch["text"].to_pylist()
             rows: list[tuple] = []
             held = 0
-            for row in sample_texts(batch["text"].to_pylist(), keys, vocabulary, k):
+            for row in sample_texts(texts, keys, vocabulary, k, known):
                 rows.append(row)
                 held += len(row[2]) + 16
                 if held > 1 << 19:
-                    yield _as_batch(rest, rows)
+                    yield _as_batch(rest, rows, texts, spelled)
                     rows, held = [], 0
             if rows:
-                yield _as_batch(rest, rows)
+                yield _as_batch(rest, rows, texts, spelled)
 
 
-def _as_batch(rest: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+def _as_batch(
+    rest: pa.RecordBatch, rows: list[tuple], texts: list[str | None], spelled: pa.Array | None
+) -> pa.RecordBatch:
     numbers, ranks, ids, log_probs, values, inclusions = zip(*rows, strict=True)
     offsets = np.r_[0, np.cumsum([len(i) for i in ids])].astype(np.int32)
-    found = [
-        pa.array(np.array(ranks, np.int32)),
-        pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))),
-        pa.array(np.array(log_probs)),
-        pa.array(np.array(values)),
-        pa.array(np.array(inclusions)),
-    ]
+    flat = pa.array(np.concatenate(ids))
+    found = {
+        "rank": pa.array(np.array(ranks, np.int32)),
+        "ids": pa.ListArray.from_arrays(pa.array(offsets), flat),
+        "log_prob": pa.array(np.array(log_probs)),
+        "perturbed": pa.array(np.array(values)),
+        "inclusion": pa.array(np.array(inclusions)),
+    }
+    if spelled is not None:
+        found["round_trip"] = pa.array(_decoded_right(flat, offsets, numbers, texts, spelled))
     carried = rest.take(pa.array(numbers, pa.int64()))
     return pa.RecordBatch.from_arrays(
-        [*carried.columns, *found],
-        [*carried.schema.names, "rank", "ids", "log_prob", "perturbed", "inclusion"],
+        [*carried.columns, *found.values()], [*carried.schema.names, *found]
     )
 
 
+def _decoded_right(
+    flat: pa.Array, offsets: np.ndarray, numbers, texts: list[str | None], spelled: pa.Array
+) -> list[bool]:
+    """Whether the bytes of the pieces are a blank and the text; of no pieces, the empty text."""
+    joined = spelled.take(flat)
+    places = np.frombuffer(joined.buffers()[1], np.int64)[offsets].tolist()
+    data = memoryview(joined.buffers()[2]).cast("B") if len(joined) else memoryview(b"")
+    right, last, whole = [], None, b""
+    for number, low, high in zip(numbers, places[:-1], places[1:], strict=True):
+        if number != last:
+            last, text = number, texts[number]
+            whole = b" " + text.encode() if text else b""
+        right.append(data[low:high] == whole)
+    return right
+
+
 def sample_segmentations(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -615,11 +676,13 @@ def sample_segmentations(
     text_col: str = "text",
     *,
     k: int = 3,
+    verify: bool = False,
 ) -> DataFrame:
     """``row`` (the input row without its text), ``rank``, ``ids``, ``log_prob``,
     ``perturbed`` and ``inclusion``: ``k`` rows per document at most.
 
-    ``key`` seeds a row's samples. The vocabulary is broadcast; its size is fixed.
+    ``key`` seeds a row's samples. The vocabulary is broadcast; its size is fixed. With
+    ``verify``, ``round_trip`` tells whether the decoded ids are the text again.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(
@@ -630,8 +693,8 @@ def sample_segmentations(
     schema = (
         f"row {rows.schema['row'].dataType.simpleString()}, rank int, ids array<int>, "
         "log_prob double, perturbed double, inclusion double"
-    )
-    return rows.mapInArrow(lambda b: _emit(b, shared.value, k), schema)
+    ) + (", round_trip boolean" if verify else "")
+    return rows.mapInArrow(lambda b: _emit(b, shared.value, k, verify), schema)
 
 
 def decode_ids(ids: Column, vocabulary: Vocabulary, session) -> Column:
