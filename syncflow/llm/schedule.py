@@ -347,13 +347,14 @@ def _taken(documents: DataFrame, schedule: DataFrame, block: float, epochs: int)
 
 
 def tokens_taken(mix: Mix) -> DataFrame:
-    """``id, place, size, source_size, target, taken`` for every document."""
+    """``id, place, source_no, size, source_size, target, taken`` for every document."""
     taken = mix.taken.groupBy(F.col("doc_no").alias("t_doc_no")).agg(
         F.sum("n_tokens").alias("taken")
     )
     return mix.documents.join(taken, F.col("doc_no") == F.col("t_doc_no"), "left").select(
         "id",
         "place",
+        "source_no",
         "size",
         "source_size",
         "target",

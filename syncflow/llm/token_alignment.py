@@ -47,11 +47,11 @@ from syncflow.staging import Staging
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Bytes of texts in a chunk, if a document does not have more.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Tokens that Acero joins at a time: its hash table then stays in the cache.
 JOIN_TOKENS = 200_000
 #: Tokens of parts of texts that a Python worker remembers, before it starts anew.
-KNOWN_TOKENS = 2_000_000
+KNOWN_TOKENS = 1_500_000
 #: Pairs in a row of a chunk's counts.
 PAIRS_IN_ROW = 20_000
 

@@ -111,7 +111,7 @@ def test_empty_corpus(spark, tmp_path):
 
 def test_registered():
     names = entry_point.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names and set(ORACLES) <= set(entry_point.oracle_sql()) <= set(names)
 
 
@@ -147,3 +147,20 @@ def test_language_accuracy_on_held_out_documents(spark):
 def test_queries_without_sql_keep_every_document(spark, name):
     got = queries.QUERIES[name](spark, DATA).select("doc_id").distinct().count()
     assert got == spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").distinct().count()
+
+
+def test_a_corpus_without_languages_stays(spark):
+    docs = spark.createDataFrame(corpus(), SCHEMA).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert sorted(kept.columns) == sorted(docs.columns)
+    gone = [x for x in texts(docs) if x not in texts(kept)]
+    assert sorted(x[0] for x in gone) == [200, 201, 202]
+
+
+def test_a_source_of_one_long_document_stays(spark):
+    long = "long " * 20_000
+    rows = [(1, long, "en", "a"), (2, long.upper(), "en", "b"), (3, long + "x", "en", "c")]
+    rows += [(10 + i, f"short {i}", "en", "d") for i in range(5)] + [(20, "", "en", "e")]
+    docs = spark.createDataFrame([(*r, 1, 1, "k", "r", 5, 0.5) for r in rows], SCHEMA)
+    kept = corpus_pipeline.mix(spark, docs, "")
+    assert {r["source"] for r in kept.select("source").distinct().collect()} == {*"abcd"}
