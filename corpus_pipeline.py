@@ -17,8 +17,15 @@ from syncflow.staging import Staging
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters or of doubtful language."""
-    found = ppm.identify(docs, ppm.train(docs))
+    """Drops documents without letters or of doubtful language.
+
+    If no document has both a language and a text, nothing can be learned; then all documents
+    with letters stay.
+    """
+    model = ppm.train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = ppm.identify(docs, model)
     return found.where((F.col("lang_pred") != ppm.UNKNOWN) & (F.col("score") >= 0.5)).select(
         "row.*"
     )
@@ -65,14 +72,29 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents, as the mix takes them: 0, 1 or 2 times."""
-    taken = (
+    """Repeats or leaves out documents, as the mix takes them: 0, 1 or 2 times.
+
+    Shares of a document are rounded. A source of which the mix takes something keeps at
+    least the document that most is taken of, so that sources of few long documents stay.
+    """
+    staging = Staging(spark, "mix-stage")
+    shares = staging.write(
         schedule.tokens_taken(schedule.mix_sources(docs))
-        .groupBy(F.col("id").alias("t_id"), F.col("place").alias("t_place"))
-        .agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"))
-        .select("t_id", "t_place", F.round("share").cast("int").alias("times"))
-        .where("times > 0")
+        .groupBy("source_no", F.col("id").alias("t_id"), F.col("place").alias("t_place"))
+        .agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+        .withColumn("times", F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")),
+        "shares",
+    )
+    lost = (
+        shares.groupBy("source_no")
+        .agg(
+            F.max("times").alias("times"),
+            F.max(F.struct("taken", "t_id", "t_place")).alias("most"),
+        )
+        .where("times = 0 and most.taken > 0")
+        .select("most.t_id", "most.t_place", F.lit(1).alias("times"))
     )
+    taken = shares.where("times > 0").select("t_id", "t_place", "times").unionByName(lost)
     place = schedule.shuffled_place(F.col("doc_id"), F.col("text"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), place.alias("p"))
     return (
