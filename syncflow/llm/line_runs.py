@@ -1,11 +1,14 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
 A run is a parquet table sorted by line key that tells in how many documents a
-key was found and the largest of their ids. Each batch of documents is reduced
-to a run of level 0. When a level holds ``fanout`` runs they are merged into one
-run of the next level, so a key is rewritten only once per level. To drop lines,
-all lines are joined once with the merged runs: a line stays unless its key
-is common and another document is the last to hold it.
+key was found and the largest of their ids. Each batch of documents is reduced to its
+keys and merged with the runs: keys that no run holds become a run of level 0, so
+a key is in one run only; keys that a run holds become corrections of its
+count and its largest id. When a level holds ``fanout`` runs they are compacted into one
+run of the next level, so a key is rewritten only once per level. A line goes only if
+enough documents hold it, whichever batch they came in. So lines are dropped when all
+batches are in: all lines are joined once with the runs and their corrections, and a line
+stays unless its key is common and another document is the last to hold it.
 
 A line key is the line without the white space at both ends, with A-Z lower-cased.
 
@@ -48,56 +51,71 @@ def key_hashes(text: Column, min_chars: int) -> Column:
     keys = F.filter(
         F.transform(lines_of(text), line_key), lambda k: F.length(k) >= F.lit(min_chars)
     )
-    return F.array_distinct(F.transform(keys, lambda k: F.md5(k.cast("binary"))))
+    return F.array_distinct(F.transform(keys, lambda k: F.unhex(F.md5(k.cast("binary")))))
 
 
 class LineRuns:
-    """Runs under one folder; ``levels[i]`` lists the paths of level ``i``."""
+    """Runs under one folder; ``levels[i]`` lists the runs of level ``i``.
 
-    COLUMNS = ["key", "n_docs", "last_doc"]
+    ``corrections`` has a table for each batch: what it adds to keys of earlier runs.
+    """
 
     def __init__(self, staging: Staging, fanout: int = 4):
         if fanout < 2:
             raise ValueError("fanout must be at least 2")
         self.staging, self.fanout = staging, fanout
         self.levels: list[list[DataFrame]] = []
+        self.corrections: list[DataFrame] = []
 
     def _put(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(
-            self.staging.write(run.sortWithinPartitions("key"), f"run-{level}")
-        )
+        self.levels[level].append(run)
         if len(self.levels[level]) == self.fanout:
-            merged = self._merge(self.levels[level])
+            # No key is in two runs: compacting sorts them into one, and counts nothing.
+            rows = _all(self.levels[level]).sortWithinPartitions("key")
             self.levels[level] = []
-            self._put(level + 1, merged)
+            self._put(level + 1, self.staging.write(rows, f"run-{level + 1}"))
 
-    @staticmethod
-    def _merge(runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.unionByName(run)
-        return rows.groupBy("key").agg(
-            F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc")
-        )
+    def _runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
 
     def add(self, batch: DataFrame) -> None:
-        """Add the run of a batch of (key, doc_id), a row for each document and key."""
-        self._put(
-            0,
-            batch.groupBy("key").agg(
-                F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc")
-            ),
+        """Merge a batch of (key, doc_id), a row for each document and key."""
+        found = batch.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc")
+        )
+        runs = self._runs()
+        known = F.lit(False)
+        if runs:
+            held = _all(runs).select("key", F.lit(True).alias("held"))
+            found = found.join(held.hint("merge"), "key", "left")
+            known = F.col("held").isNotNull()
+        merged = self.staging.write(
+            found.select("key", "n_docs", "last_doc", known.alias("known")).sortWithinPartitions("key"),
+            "batch",
         )
+        if runs:
+            self.corrections.append(merged.where("known").drop("known"))
+        self._put(0, merged.where("not known").drop("known"))
 
     def merged(self) -> DataFrame:
-        """All runs as one."""
-        return self._merge([run for level in self.levels for run in level])
+        """All runs as one, with their corrections."""
+        rows = _all([*self._runs(), *self.corrections])
+        return rows.groupBy("key").agg(
+            F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc")
+        )
 
     def unseen(self, batch: DataFrame) -> DataFrame:
         """The rows of a batch whose key no run holds."""
-        return batch.join(self.merged().select("key"), "key", "left_anti")
+        return batch.join(_all(self._runs()).select("key"), "key", "left_anti")
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    rows = tables[0]
+    for more in tables[1:]:
+        rows = rows.unionByName(more)
+    return rows
 
 
 def _drop_lines(texts: pd.Series, keys: pd.Series, min_chars: int) -> Iterator[str | None]:
@@ -109,7 +127,7 @@ def _drop_lines(texts: pd.Series, keys: pd.Series, min_chars: int) -> Iterator[s
         for line in text.split("\n"):
             key = line.strip(WHITE)
             if len(key) >= min_chars:
-                digest = hashlib.md5(key.encode().lower(), usedforsecurity=False).hexdigest()
+                digest = hashlib.md5(key.encode().lower(), usedforsecurity=False).digest()
                 if digest in drop:
                     continue
             kept.append(line)

@@ -65,6 +65,10 @@ def test_runs_are_compacted_and_sum_up(spark):
     for batch in range(5):
         runs.add(spark.createDataFrame([("a", batch), (f"b{batch}", batch)], "key string, doc_id long"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
+    # A key is in the run of the batch that brought it; later batches correct it.
+    held = [r["key"] for level in runs.levels for run in level for r in run.collect()]
+    assert sorted(held) == ["a", "b0", "b1", "b2", "b3", "b4"]
+    assert [[tuple(r) for r in c.collect()] for c in runs.corrections] == [[("a", 1, i)] for i in range(1, 5)]
     merged = {r["key"]: (r["n_docs"], r["last_doc"]) for r in runs.merged().collect()}
     assert merged["a"] == (5, 4) and merged["b3"] == (1, 3)
     fresh = spark.createDataFrame([("a", 9), ("c", 9)], "key string, doc_id long")
