@@ -35,8 +35,9 @@ def delivery_verdicts(
     ``sent`` has one row per key and no null keys. ``verdict`` is ``delivered``,
     ``failed`` (some result of the key did not succeed), ``unanswered`` (no result
     has the key) or ``unmatched`` (the sent columns are null; ``result_key`` is
-    what the result said). ``error`` is the least error text of the failures.
-    Results are reduced to a row per key before the join.
+    what the result said). ``error`` is the least error text of a key's failures
+    (``failed_results`` has them all), or that of the unmatched result. Results are
+    reduced to a row per key before the join; unmatched ones are not.
     """
     success = F.col("success").cast("string")
     failed = ~success.eqNullSafe(F.lit("true")) if null_is_failure else success != "true"
@@ -54,22 +55,39 @@ def delivery_verdicts(
         )
     )
     sent_key = quoted(key).cast("string")
-    joined = sent.join(reduced, sent_key == F.col("result_key"), "full_outer")
+    joined = sent.join(reduced, sent_key == F.col("result_key"), "left")
     verdict = (
-        F.when(quoted(key).isNull(), "unmatched")
-        .when(F.col("result_key").isNull(), "unanswered")
+        F.when(F.col("result_key").isNull(), "unanswered")
         .when(F.col("_failed"), "failed")
         .otherwise("delivered")
     )
     columns = [quoted(c) for c in sent.columns]
     matched = joined.select(*columns, verdict.alias("verdict"), "error", "result_key")
-    keyless = said.where(F.col("result_key").isNull()).select(
+    keys = sent.select(sent_key.alias("_sent_key"))
+    strays = said.join(keys, F.col("result_key") == F.col("_sent_key"), "left_anti").select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in sent.schema.fields],
         F.lit("unmatched").alias("verdict"),
         "error",
         "result_key",
     )
-    return matched.unionByName(keyless)
+    return matched.unionByName(strays)
+
+
+def failed_results(
+    results: DataFrame,
+    verdicts: DataFrame,
+    key: str,
+    null_is_failure: bool = True,
+    staging: Staging | None = None,
+) -> DataFrame:
+    """A row per failed result of a sent key: the columns of its verdict, and its own error."""
+    said = failures(results, null_is_failure).select(
+        quoted(key).cast("string").alias("result_key"), F.col("error").cast("string").alias("error")
+    )
+    failed = verdicts.where(F.col("verdict") == "failed").drop("error")
+    return join_one(said, failed, ["result_key"], staging=staging).select(
+        *[quoted(c) for c in verdicts.columns]
+    )
 
 
 def align_by_key(

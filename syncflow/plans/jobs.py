@@ -33,7 +33,7 @@ from syncflow.operators.delta import (
 )
 from syncflow.operators.merge import dedup_latest, keyed_rows, orderable, unkeyed_rows
 from syncflow.operators.numbering import batch_rows, number_rows
-from syncflow.operators.reconcile import delivery_verdicts, positioned
+from syncflow.operators.reconcile import delivery_verdicts, failed_results, positioned
 from syncflow.operators.reshape import (
     apply_mapping,
     epoch_millis_to_datetime,
@@ -293,9 +293,9 @@ def _deliver(
                 results = positioned(results, cfg.result_order, sendable.count(), staging, _ROW)
             elif cfg.match == "batch":
                 results = results.withColumn(_ROW, _place(cfg))
+            answer_key = cfg.target_key if by_key else _ROW
             verdicts, small = staging.write_checked(
-                delivery_verdicts(results, sendable, cfg.target_key if by_key else _ROW),
-                "verdicts",
+                delivery_verdicts(results, sendable, answer_key), "verdicts"
             )
             said = F.col("verdict")
             error = (
@@ -303,7 +303,10 @@ def _deliver(
                 .when(said == "unmatched", F.concat_ws(": ", F.lit(NO_ROW), F.col("error")))
                 .otherwise(F.col("error"))
             )
-            refused = verdicts.where(said != "delivered")
+            # Every failed result is logged, also several of one row.
+            refused = verdicts.where(~said.isin("delivered", "failed")).unionByName(
+                failed_results(results, verdicts, answer_key, staging=staging)
+            )
             key = F.when(said == "unmatched", F.col("result_key")).otherwise(F.col(_KEY))
             log = log.unionByName(logged(refused, key, error))
             accepted = verdicts.where(said == "delivered").select(

@@ -409,7 +409,7 @@ def test_results_are_matched_by_batch_and_place(spark, folder):
     assert run_outbound(spark, cfg).failed_count == 3
     log = read_table(spark, cfg.failure_log).select("k", "error_message")
     assert rows_of(log) == [
-        ("k3", "no k3"), ("k7", "no result"), ("nobody:1", "result without a sent row"),
+        ("k3", "no k3"), ("k7", "no result"), ("nobody:1", "result without a sent row: no x"),
     ]
     assert {r["k"] for r in cfg.target.read().collect()} == {f"k{i}" for i in range(11)} - {"k3", "k7"}
     with pytest.raises(ValueError, match="sequence"):
@@ -470,3 +470,18 @@ def test_claimed_batch_ids(spark, inbound, folder):
     with open(os.path.join(folder("claims"), f"{1:020d}"), "w"):
         pass  # another run has claimed the first id and not registered it yet
     assert run_inbound(spark, inbound).batch_id == 2
+
+
+def test_every_failed_result_is_logged(spark, folder):
+    def deliver(path):
+        sent = spark.read.options(**CSV_OPTIONS).csv(path)
+        first = sent.select("k", F.lit("false").alias("success"), F.lit("first").alias("error"))
+        return first.union(sent.select("k", F.lit("false"), F.lit("second"))).where("k = 'a'").union(
+            sent.where("k <> 'a'").select("k", F.lit("true"), F.lit(None).cast("string"))
+        )
+
+    rows = [("a", 1.0, 1, D[1]), ("b", 1.0, 2, D[2])]
+    cfg = one_outbound(spark, folder, rows, export_path=folder("out"), deliver=deliver)
+    assert run_outbound(spark, cfg).failed_count == 2
+    log = read_table(spark, cfg.failure_log).select("k", "error_message")
+    assert rows_of(log) == [("a", "first"), ("a", "second")]

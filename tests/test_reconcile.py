@@ -122,3 +122,20 @@ def test_verdicts(spark):
     )
     plain = delivery_verdicts(results, sent, "k", null_is_failure=False)
     assert plain.where("k = 4").first()["verdict"] == "delivered"
+    failed = reconcile.failed_results(results, got, "k")
+    assert rows_of(failed.select("k", "v", "error")) == [
+        (2, "b", "bad"), (2, "b", "no"), (4, "d", None),
+    ]
+
+
+def test_every_stray_result_has_its_row(spark):
+    sent = spark.createDataFrame([(1,)], "k long")
+    results = spark.createDataFrame(
+        [("9", "false", "x"), ("9", "false", "x"), ("9", "true", None), (None, None, "y"), (None, None, "y")],
+        "k string, success string, error string",
+    )
+    got = delivery_verdicts(results, sent, "k").where("verdict = 'unmatched'")
+    assert rows_of(got.select("result_key", "error")) == sorted(
+        [("9", "x"), ("9", "x"), ("9", None), (None, "y"), (None, "y")], key=repr
+    )
+    assert reconcile.failed_results(results, delivery_verdicts(results, sent, "k"), "k").isEmpty()
