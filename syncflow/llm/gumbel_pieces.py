@@ -35,6 +35,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
+from functools import cached_property
 from itertools import chain, islice
 
 import numpy as np
@@ -52,7 +53,7 @@ SLICE_ROWS = 1 << 10
 #: Rows that are decoded together.
 DECODE_ROWS = 1 << 8
 #: Edges of units' lattices beyond which a task starts anew.
-KEPT_EDGES = 1 << 21
+KEPT_EDGES = 2 << 20
 
 
 @dataclass
@@ -69,6 +70,15 @@ class Vocabulary:
     piece_of: np.ndarray
     longest: int
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """The state that each class of letters leads to from the root; 0 if none."""
+        out = np.zeros(self.n_classes, np.int32)
+        root = self.moves < self.n_classes
+        out[self.moves[root]] = self.targets[root]
+        out[0] = 0
+        return out
+
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         """Read a sentencepiece model with byte pieces."""
@@ -209,10 +219,16 @@ def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     at, state = np.arange(len(codes)), np.zeros(len(codes), np.int32)
     for step in range(1, longest + 1):
         here = classes[at + step - 1]
-        moves = state * np.int32(vocabulary.n_classes) + here
-        place = np.minimum(np.searchsorted(vocabulary.moves, moves), len(vocabulary.moves) - 1)
-        found = (vocabulary.moves[place] == moves) & (here > 0)
-        at, state = at[found], vocabulary.targets[place[found]]
+        if step == 1:
+            # From the root, where most walks are, a letter leads straight on.
+            state = vocabulary.starts[here]
+            found = state > 0
+            at, state = at[found], state[found]
+        else:
+            moves = state * np.int32(vocabulary.n_classes) + here
+            place = np.minimum(np.searchsorted(vocabulary.moves, moves), len(vocabulary.moves) - 1)
+            found = (vocabulary.moves[place] == moves) & (here > 0)
+            at, state = at[found], vocabulary.targets[place[found]]
         piece = vocabulary.piece_of[state]
         whole = piece >= 0
         pieces[at[whole], longest - step] = piece[whole]
@@ -297,6 +313,8 @@ def uniforms(seeds: np.ndarray, *places) -> np.ndarray:
 
 #: No Gumbel value drawn from such numbers is above this.
 LARGEST_NOISE = -np.log(-np.log1p(-(2.0**-54))) + 1e-6
+#: Steps of a path that are looked at first for sets to open.
+HEAD_STEPS = 256
 #: Log-probability of sets whose noise is drawn only if it could matter.
 LITTLE_MASS = -60.0
 
@@ -453,21 +471,31 @@ class _Group:
             paths.append(self._branch(paths, chosen, opened, attempt, found, k))
         return [self._finish(d, paths, found[d], opened[d]) for d in range(self.n)]
 
-    def _log_prefix(self, path: _Paths) -> np.ndarray:
-        """Log-probability of what comes before each step, within its document."""
-        log_p = self.lattice.log_p[path.edges]
-        each = np.split(log_p, path.begin[1:-1])
-        return np.concatenate([np.cumsum(own) - own for own in each])
-
     def _siblings(self, path, number, since, bound, opened, k) -> None:
-        """Open the sets beside a path, from step ``since`` of each document on."""
-        lengths = np.diff(path.begin)
-        step = np.arange(len(path.edges)) - np.repeat(path.begin[:-1], lengths)
-        log_p = self.lattice.log_p[path.edges]
+        """Open the sets beside a path, from step ``since`` of each document on.
+
+        What lies behind a path's first steps is soon too unlikely to matter, so whole
+        paths are looked at only where that is not so.
+        """
+        docs = np.arange(self.n)
+        docs = self._open(path, number, since, bound, opened, k, docs, HEAD_STEPS)
+        if len(docs):
+            self._open(path, number, since, bound, opened, k, docs, None)
+
+    def _open(self, path, number, since, bound, opened, k, docs, limit) -> np.ndarray:
+        """Open sets beside the first ``limit`` steps; the documents that need more of them."""
+        whole = np.diff(path.begin)[docs]
+        lengths = whole if limit is None else np.minimum(whole, limit)
+        ends = np.cumsum(lengths)
+        step = np.arange(lengths.sum()) - np.repeat(ends - lengths, lengths)
+        doc = np.repeat(docs, lengths)
+        log_p = self.lattice.log_p[path.edges[path.begin[doc] + step]]
+        each = np.split(log_p, ends[:-1]) if len(docs) else []
+        sums = [np.cumsum(own) for own in each]
+        behind = np.array([own[-1] if len(own) else 0.0 for own in sums])
         with np.errstate(divide="ignore"):
-            mass = self._log_prefix(path) + np.log(-np.expm1(log_p))
-        mass[step < np.repeat(since, lengths)] = -np.inf
-        doc = np.repeat(np.arange(self.n), lengths)
+            mass = np.concatenate([np.zeros(0), *sums]) - log_p + np.log(-np.expm1(log_p))
+        mass[step < since[doc]] = -np.inf
         seeds = keyed(self.seeds, _BESIDE, number)
         value = np.full(len(mass), -np.inf)
 
@@ -478,19 +506,23 @@ class _Group:
         # The noise has a largest value, so steps of little mass need none unless
         # fewer than k of the others are above what they could reach.
         put(np.flatnonzero(mass > LITTLE_MASS))
+        more = (lengths < whole) & (behind > LITTLE_MASS)
         # No more than the k best of a path can ever be opened, or be the threshold.
-        for d in range(self.n):
-            own = value[path.of(d)]
-            if not len(own):
+        for i, (d, low, high) in enumerate(zip(docs.tolist(), (ends - lengths).tolist(), ends.tolist())):
+            own = value[low:high]
+            if not len(own) or more[i]:
                 continue
             if np.count_nonzero(own > LITTLE_MASS + LARGEST_NOISE) < k:
-                begin = int(path.begin[d])
-                put(begin + np.flatnonzero(mass[path.of(d)] <= LITTLE_MASS))
+                if lengths[i] < whole[i]:
+                    more[i] = True
+                    continue
+                put(low + np.flatnonzero(mass[low:high] <= LITTLE_MASS))
             top = np.argpartition(-own, k - 1)[:k] if len(own) > k else np.arange(len(own))
             for t in top:
                 if own[t] > -np.inf:
                     edge = int(path.edges[path.begin[d] + t])
                     opened[d].append(_OpenSet(float(own[t]), number, int(t), (edge,)))
+        return docs[more]
 
     def _branch(self, paths, chosen, opened, attempt, found, k) -> _Paths:
         """Sample the best path of each chosen set, and open what is left of the sets."""
