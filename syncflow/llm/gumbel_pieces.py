@@ -645,7 +645,7 @@ def _emit(
 ) -> Iterator[pa.RecordBatch]:
     """Samples of each row, with the row's other columns."""
     known = _Known()
-    spelled = pa.array(vocabulary.pieces, pa.large_binary()) if verify else None
+    spelled = _Spelling(vocabulary.pieces) if verify else None
     for whole in batches:
         for at in range(0, len(whole), SLICE_ROWS):
             batch = whole.slice(at, SLICE_ROWS)
@@ -665,14 +665,14 @@ def _emit(
 
 
 def _as_batch(
-    rest: pa.RecordBatch, rows: list[tuple], texts: list[str | None], spelled: pa.Array | None
+    rest: pa.RecordBatch, rows: list[tuple], texts: list[str | None], spelled: _Spelling | None
 ) -> pa.RecordBatch:
     numbers, ranks, ids, log_probs, values, inclusions = zip(*rows, strict=True)
     offsets = np.r_[0, np.cumsum([len(i) for i in ids])].astype(np.int32)
-    flat = pa.array(np.concatenate(ids))
+    flat = np.concatenate(ids)
     found = {
         "rank": pa.array(np.array(ranks, np.int32)),
-        "ids": pa.ListArray.from_arrays(pa.array(offsets), flat),
+        "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
         "log_prob": pa.array(np.array(log_probs)),
         "perturbed": pa.array(np.array(values)),
         "inclusion": pa.array(np.array(inclusions)),
@@ -685,19 +685,36 @@ def _as_batch(
     )
 
 
+class _Spelling:
+    """The bytes of all pieces, and where each one's begin."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.data = np.frombuffer(b"".join(pieces), np.uint8)
+        self.sizes = np.fromiter(map(len, pieces), np.int32, len(pieces))
+        self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+
+    def decoded(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of many pieces, and where each one's end."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes, dtype=np.int32)
+        places = np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        places += np.arange(len(places), dtype=np.int32)
+        return self.data[places].tobytes(), ends
+
+
 def _decoded_right(
-    flat: pa.Array, offsets: np.ndarray, numbers, texts: list[str | None], spelled: pa.Array
+    flat: np.ndarray, offsets: np.ndarray, numbers, texts: list[str | None], spelling: _Spelling
 ) -> list[bool]:
     """Whether the bytes of the pieces are a blank and the text; of no pieces, the empty text."""
-    joined = spelled.take(flat)
-    places = np.frombuffer(joined.buffers()[1], np.int64)[offsets].tolist()
-    data = memoryview(joined.buffers()[2]).cast("B") if len(joined) else memoryview(b"")
+    data, ends = spelling.decoded(flat)
+    places = np.r_[0, ends][offsets].tolist()
+    view = memoryview(data)
     right, last, whole = [], None, b""
     for number, low, high in zip(numbers, places[:-1], places[1:], strict=True):
         if number != last:
             last, text = number, texts[number]
             whole = b" " + text.encode() if text else b""
-        right.append(data[low:high] == whole)
+        right.append(view[low:high] == whole)
     return right
 
 
