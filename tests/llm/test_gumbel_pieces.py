@@ -155,3 +155,24 @@ def test_runs_of_blanks_against_the_whole_vocabulary(vocabulary, text):
         assert vocabulary.decode(path) == text
     if g.SPACE not in text:
         assert tuple(model.encode(text)) in got
+
+
+def test_round_trip_is_checked_by_the_sampler(spark, vocabulary):
+    texts = ["a text", "", None, "  two  blanks ", "ünïcode 你好 ▁ \x00", "long " * 2000]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, text string, ids string")
+    found = g.sample_segmentations(docs, vocabulary, F.col("i"), verify=True)
+    rows = found.select("row.i", "rank", "ids", "round_trip").collect()
+    assert all(r["round_trip"] for r in rows) and {r["i"] for r in rows} == set(range(6))
+    for r in rows:
+        assert vocabulary.decode(r["ids"]) == (texts[r["i"]] or "")
+    assert "round_trip" not in g.sample_segmentations(docs, vocabulary, F.col("i")).columns
+
+
+def test_a_wrong_piece_is_noticed(vocabulary):
+    spelling = g._Spelling(vocabulary.pieces)
+    good = np.array([i for i, p in enumerate(vocabulary.pieces) if p == b" a"][:1], np.int32)
+    offsets = np.array([0, 1, 2, 2], np.int32)
+    flat = np.concatenate((good, good))
+    assert g._decoded_right(flat, offsets, [0, 1, 2], ["a", "b", None], spelling) == [
+        True, False, True,
+    ]
