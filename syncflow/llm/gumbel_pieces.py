@@ -46,7 +46,6 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Shift of the ranks in the weights, as in the Zipf-Mandelbrot law.
 RANK_SHIFT = 2.7
-_NONE = np.iinfo(np.int32).min
 #: Characters that are sampled together, and rows whose texts are held as such.
 GROUP_CHARS = 1 << 20
 SLICE_ROWS = 1 << 10
@@ -214,10 +213,11 @@ def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
     left = ends[word_of] - np.arange(len(codes))
     classes = vocabulary.classes[codes]
     # Walk the trie from all characters at once; the longest pieces come first.
-    longest = vocabulary.longest
-    pieces = np.full((len(codes), longest), _NONE, np.int32)
+    found_at: list[tuple[np.ndarray, np.ndarray, int]] = []
     at, state = np.arange(len(codes)), np.zeros(len(codes), np.int32)
-    for step in range(1, longest + 1):
+    for step in range(1, vocabulary.longest + 1):
+        if not len(at):
+            break
         here = classes[at + step - 1]
         if step == 1:
             # From the root, where most walks are, a letter leads straight on.
@@ -231,13 +231,24 @@ def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
             at, state = at[found], vocabulary.targets[place[found]]
         piece = vocabulary.piece_of[state]
         whole = piece >= 0
-        pieces[at[whole], longest - step] = piece[whole]
+        found_at.append((at[whole], piece[whole], step))
         more = left[at] > step
         at, state = at[more], state[more]
-    bare = np.flatnonzero(pieces[:, -1] == _NONE)
-    pieces[bare, -1] = -1 - codes[bare]
-    row, column = np.nonzero(pieces != _NONE)
-    piece = pieces[row, column]
+    lone = np.ones(len(codes), bool)
+    for own, _, step in found_at[:1]:
+        lone[own] = False
+    bare = np.flatnonzero(lone)
+    found_at.insert(0, (bare, -1 - codes[bare], 1))
+    count = np.zeros(len(codes), np.int64)
+    for own, _, _ in found_at:
+        count[own] += 1
+    row = np.repeat(np.arange(len(codes)), count)
+    place = np.cumsum(count) - count
+    piece, length = np.empty(len(row), np.int32), np.empty(len(row), np.int64)
+    for own, ids, step in reversed(found_at):
+        spots = place[own]
+        piece[spots], length[spots] = ids, step
+        place[own] += 1
     weight = vocabulary.log_weight[np.maximum(piece, 0)]
     spelled = np.flatnonzero(piece < 0)
     point = -1 - piece[spelled]
@@ -246,7 +257,7 @@ def _build_part(words: list[str], vocabulary: Vocabulary) -> Lattice:
 
     # Backward sums, from the ends of all words at once. Node = character + word.
     node = row + word_of[row]
-    target = node + longest - column
+    target = node + length
     sums = np.zeros(len(codes) + len(words))
     edge_left = left[row]
     if len(edge_left) and edge_left.max() < 1 << 15:
@@ -314,7 +325,7 @@ def uniforms(seeds: np.ndarray, *places) -> np.ndarray:
 #: No Gumbel value drawn from such numbers is above this.
 LARGEST_NOISE = -np.log(-np.log1p(-(2.0**-54))) + 1e-6
 #: Steps of a path that are looked at first for sets to open.
-HEAD_STEPS = 256
+HEAD_STEPS = 64
 #: Log-probability of sets whose noise is drawn only if it could matter.
 LITTLE_MASS = -60.0
 
